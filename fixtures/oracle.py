@@ -155,3 +155,304 @@ SELECT strftime(created, '%d.%m.%Y') AS date_only, strftime(created, '%Y_%m') AS
  {total(f"dst LIKE '5%' AND dc='Overstock' AND {NOT_SORTING}", 'ov_fin_ap')},
  {total(f"dc='Overstock' AND {NOT_SORTING}", 'total_overstock')}
 FROM d GROUP BY 1, 2""", "ledger")
+
+# --- Manual sorting -----------------------------------------------------------------
+
+SORTED_BY = "sequence, created, artnr, lhmnr, menge, ziel, createdby, cust_data"
+DUMMY_OUT = "tpartnr=614 AND typ_id=120 AND menge<0 AND ziel='IN_SZR_OV'"
+DUMMY_IN = "tpartnr=207 AND ziel IN ('IN_SZR_OV','SZR_OV') AND menge>0"
+
+
+def numbered(where: str) -> str:
+    return (f"(SELECT *, row_number() OVER (PARTITION BY local_transaction_id ORDER BY {SORTED_BY}) AS rn "
+            f"FROM ledger WHERE {where})")
+
+
+SORTING_PAIRS = f"""p AS (
+  SELECT 'NORMAL' AS good_type, o.created, o.artnr AS ean, o.ziel, o.createdby, o.lhmnr AS src, i.lhmnr AS dst, o.menge, o.cust_data AS cd1, NULL AS cd2
+  FROM (SELECT * FROM ledger WHERE tpartnr=520 AND menge<0 AND ziel IN ('IN_SZR_OV','SZR_OV')) o
+  JOIN (SELECT * FROM ledger WHERE tpartnr=520 AND menge=1 AND ziel IN ('IN_SZR_OV','SZR_OV')) i USING (local_transaction_id)
+  UNION ALL
+  SELECT 'DUMMY', o.created, CASE WHEN o.artnr LIKE '2%' THEN o.artnr WHEN {attr('o.cust_data', 'LASTEANGOTFROMMAUS_ZIEL')} IS NOT NULL THEN {attr('o.cust_data', 'LASTEANGOTFROMMAUS_ZIEL')} WHEN i.artnr LIKE '2%' THEN i.artnr ELSE o.artnr END,
+   o.ziel, o.createdby, o.lhmnr, i.lhmnr, o.menge, o.cust_data, i.cust_data
+  FROM {numbered(DUMMY_OUT)} o JOIN {numbered(DUMMY_IN)} i ON o.local_transaction_id=i.local_transaction_id AND o.rn=i.rn
+)"""
+MANUAL_SORTING = with_views(f"""WITH {SORTING_PAIRS}
+SELECT strftime(created, '%d.%m.%Y %H:%M:%S') AS timestamp, ean, ziel AS ap, createdby AS benutzer, src AS source_lhm, dst AS ziel_lhm,
+ CAST(abs(menge) AS BIGINT) AS quantity, {REFERENCE} AS reference_lhm,
+ {labels(attr('cd1', 'SOURCEID_SEKTOR'), SOURCES, 'Resale')} AS source_channel,
+ {labels(attr('cd1', 'QUALITYID_SEKTOR'), GRADES, 'Unknown')} AS quality, {CATEGORY_NORMAL} AS category,
+ CASE WHEN dst LIKE '50%' THEN 'Overstock' WHEN {attr('cd1', 'QUALITYID_SEKTOR')} IN ('3','4') THEN 'Overstock'
+  WHEN {attr('cd1', 'DISTRIBUTIONCHANNELID_ART')}='4' THEN 'Outlet' WHEN {attr('cd1', 'DISTRIBUTIONCHANNELID_ART')}='3' THEN 'Overstock' ELSE 'Unknown' END AS distribution_channel,
+ {SKU} AS sku, {SORT_ID} AS sort_id
+FROM p WHERE coalesce(src,'value1') <> dst AND regexp_full_match(dst, '[0-9]+')""", "ledger")
+
+SEQUENCE_INDEX = with_views(
+    f"SELECT local_transaction_id, sequence, artnr, created, CAST(rn AS INTEGER) AS rn FROM {numbered(DUMMY_OUT)}", "ledger")
+PAIR_LEGS = with_views(f"""WITH {pairs()}
+SELECT good_type, src AS source_lhm, dst AS ziel_lhm, count(*) AS pairs, CAST(sum(abs(menge)) AS BIGINT) AS quantity
+FROM p GROUP BY ALL""", "ledger")
+PAIR_SEQUENCED = with_views(f"""WITH {SORTING_PAIRS}
+SELECT good_type, src AS source_lhm, dst AS ziel_lhm, count(*) AS pairs FROM p
+WHERE coalesce(src,'value1') <> dst AND regexp_full_match(dst, '[0-9]+') GROUP BY ALL""", "ledger")
+UNION_GOODS = with_views(f"""WITH {pairs()}
+SELECT good_type, count(*) AS pairs, CAST(sum(abs(menge)) AS BIGINT) AS quantity FROM p GROUP BY ALL""", "ledger")
+
+# --- Outlet ---------------------------------------------------------------------------
+
+IS_45 = "(lhmnr LIKE '4%' OR lhmnr LIKE '5%')"
+GRADE_CODE = attr("cust_data", "QUALITYID_SEKTOR")
+
+
+def first_grade(where: str, keys: str) -> str:
+    return f"""(SELECT {keys}, {labels('code', GRADES, None)} AS grade FROM (
+  SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY created NULLS LAST, sequence NULLS LAST, code NULLS LAST) AS n
+  FROM (SELECT *, {GRADE_CODE} AS code, trim(lhmnr) AS station FROM outlet) WHERE {where}) WHERE n = 1)"""
+
+
+H120 = first_grade(f"typ_id=120 AND tpartnr=614 AND menge<0 AND {IS_45}", "lhmnr, artnr")
+STATION = first_grade("typ_id=101 AND tpartnr=520 AND station LIKE 'KF\\_%' ESCAPE '\\'", "artnr, station")
+HISTORY = first_grade(f"code IN ('1','2','3','4') AND {IS_45}", "lhmnr")
+NET = f"""booked AS (SELECT lhmnr, artnr, sum(menge) AS b, max(created) AS created, max(cust_data) AS cust_data FROM outlet
+  WHERE typ_id=103 AND tpartnr=202 AND {IS_45} GROUP BY 1,2),
+clarified AS (SELECT lhmnr, artnr, sum(abs(menge)) AS c FROM outlet WHERE typ_id=102 AND tpartnr=402 AND {IS_45} GROUP BY 1,2),
+net AS (SELECT booked.*, c, b - coalesce(c,0) AS q FROM booked LEFT JOIN clarified USING (lhmnr, artnr))"""
+CARRIERS = """carriers AS (SELECT mainlhm AS lc, artnr, quality, 'mainlhm' AS lhm_type FROM stock WHERE mainlhm IS NOT NULL
+  UNION ALL SELECT sublhm, artnr, quality, 'sublhm' FROM stock WHERE sublhm IS NOT NULL)"""
+BEST = """best AS (SELECT lc, artnr, quality FROM (SELECT *, row_number() OVER (PARTITION BY lc, artnr ORDER BY quality DESC NULLS FIRST) AS n
+  FROM carriers WHERE lc LIKE '4%' OR lc LIKE '5%') WHERE n = 1)"""
+OUTLET_PARTS = f"""{NET}, {CARRIERS}, {BEST},
+items AS (
+  SELECT strftime(created,'%Y-%m-%d') AS date, {shift('created')} AS shift, lhmnr AS lc, {labels(attr('cust_data', 'CATEGORYID_ART'), CATEGORIES, None)} AS category,
+   {attr('cust_data', 'SORTINGCRITERIAID_ART')} AS sort_id, artnr AS ean, q, grade AS fallback, 1 AS origin
+  FROM net LEFT JOIN {H120} h USING (lhmnr, artnr) WHERE q > 0
+  UNION ALL
+  SELECT strftime(o.created,'%Y-%m-%d'), {shift('o.created')}, o.lhmnr, {labels(attr('o.cust_data', 'CATEGORYID_ART'), CATEGORIES, None)},
+   {attr('o.cust_data', 'SORTINGCRITERIAID_ART')}, o.artnr, abs(o.menge), FALLBACK, 2
+  FROM outlet o
+  LEFT JOIN {STATION} s ON s.artnr=o.artnr AND s.station = 'KF_' || coalesce(trim(o.ziel),'')
+  LEFT JOIN (SELECT lc, max(quality) AS grade FROM carriers WHERE quality IS NOT NULL GROUP BY 1) z ON z.lc = o.lhmnr
+  LEFT JOIN {HISTORY} t ON t.lhmnr = o.lhmnr
+  WHERE o.typ_id=102 AND o.tpartnr=402 AND (o.lhmnr LIKE '4%' OR o.lhmnr LIKE '5%')
+)"""
+OWN_GRADE = labels(attr("o.cust_data", "QUALITYID_SEKTOR"), GRADES, None)
+FOUR_TIERS = f"coalesce({OWN_GRADE}, s.grade, z.grade, t.grade)"
+
+
+def outlet(fallback: str, carrier: str) -> str:
+    return with_views(f"""WITH {OUTLET_PARTS.replace('FALLBACK', fallback)}
+SELECT date, shift, items.lc AS {carrier}, category, sort_id, coalesce(best.quality, fallback) AS quality,
+ CASE origin WHEN 2 THEN 'Yes' ELSE 'No' END AS clarification, CAST(sum(q) AS BIGINT) AS items
+FROM items LEFT JOIN best ON best.lc=items.lc AND best.artnr=items.ean GROUP BY ALL HAVING sum(q) > 0""", "outlet", "stock")
+
+
+OUTLET_BOOKING = outlet(FOUR_TIERS, "hus")
+OUTLET_BOOKING_SIMPLE = outlet(OWN_GRADE, "lhm")
+NET_JOIN = with_views(f"""WITH {NET}
+SELECT lhmnr, artnr, CAST(b AS BIGINT) AS total_booked, CAST(c AS BIGINT) AS total_clarified FROM net""", "outlet")
+NET_BOOKED = with_views(f"""WITH {NET} SELECT lhmnr, artnr, CAST(q AS BIGINT) AS quantity FROM net WHERE q > 0""", "outlet")
+REPRESENTATIVE = with_views(f"WITH {NET} SELECT lhmnr, artnr, created, cust_data FROM net", "outlet")
+HAVING_POSITIVE = with_views(f"""SELECT lhmnr, artnr, CAST(sum(menge) AS BIGINT) AS items FROM outlet GROUP BY ALL HAVING sum(menge) > 0""", "outlet")
+SCALAR_LOOKUP = with_views(f"SELECT lhmnr, artnr, grade FROM {H120}", "outlet")
+FIRST_PER_KEY = with_views(f"SELECT lhmnr, grade FROM {HISTORY}", "outlet")
+OR_KEY_LOOKUP = with_views(f"""SELECT o.lhmnr, o.artnr, count(*) AS n, max(z.quality) AS grade FROM outlet o
+LEFT JOIN (SELECT lhmnr, max(quality) AS quality FROM (SELECT DISTINCT lhmnr FROM outlet) c JOIN stock ON mainlhm = lhmnr OR sublhm = lhmnr GROUP BY 1) z USING (lhmnr)
+WHERE typ_id=102 GROUP BY ALL""", "outlet", "stock")
+BEST_GRADE = with_views(f"WITH {CARRIERS}, {BEST} SELECT * FROM best", "stock")
+STOCK_QUALITY = with_views(f"""WITH {CARRIERS}, {BEST}
+SELECT lhmnr, outlet.artnr, best.quality, count(*) AS n FROM outlet LEFT JOIN best ON lc=lhmnr AND best.artnr=outlet.artnr
+WHERE typ_id=103 GROUP BY ALL""", "outlet", "stock")
+UNPIVOT = with_views(f"WITH {CARRIERS} SELECT lc, lhm_type, artnr, quality FROM carriers", "stock")
+UNION_NET = with_views(f"""WITH {OUTLET_PARTS.replace('FALLBACK', FOUR_TIERS)}
+SELECT CASE origin WHEN 2 THEN 'Yes' ELSE 'No' END AS clarification, fallback, CAST(sum(q) AS BIGINT) AS items
+FROM items GROUP BY ALL""", "outlet", "stock")
+GRADE_FALLBACK = with_views(f"""WITH {OUTLET_PARTS.replace('FALLBACK', FOUR_TIERS)}
+SELECT lc, ean, fallback, CAST(sum(q) AS BIGINT) AS quantity FROM items WHERE origin = 2 GROUP BY ALL""", "outlet", "stock")
+PARAMS_CROSS = with_views(f"""WITH params AS (SELECT TIMESTAMP '1997-01-01 00:00:00' AS start_dt, CAST(NULL AS TIMESTAMP) AS end_dt)
+SELECT lhmnr, artnr, CAST(sum(menge) AS BIGINT) AS total_booked FROM outlet CROSS JOIN params
+WHERE typ_id=103 AND tpartnr=202 AND {IS_45} AND (start_dt IS NULL OR created >= start_dt) AND (end_dt IS NULL OR created <= end_dt)
+GROUP BY ALL""", "outlet")
+OPEN_WINDOW = with_views("""SELECT typ_id, count(*) AS n, CAST(sum(menge) AS BIGINT) AS quantity FROM outlet
+WHERE created <= TIMESTAMP '1998-06-30 12:00:00' GROUP BY ALL""", "outlet")
+
+# --- Volumes ----------------------------------------------------------------------------
+
+LONG_WINDOW = "created BETWEEN TIMESTAMP '1995-06-01 00:00:00' AND TIMESTAMP '2001-05-31 23:59:59'"
+INBOUND_LINES = with_views(f"""SELECT strftime(created,'%d.%m.%Y') AS date_only, strftime(created,'%Y_%m') AS year_month, transportlhmnr,
+ ziel AS source, {attr('cust_data', 'REFERENCENUMBER_LHM')} AS reference_lhm,
+ {labels(attr('cust_data', 'QUALITYID_ART'), GRADES, 'Unknown')} AS quality, menge
+FROM inbound WHERE typ_id=103 AND {LONG_WINDOW} AND ziel='WE' AND hostauftrnr LIKE 'UN%'""", "inbound")
+SORTER_VOLUME = with_views(f"""SELECT strftime(created,'%d.%m.%Y') AS date_only, strftime(created,'%Y_%m') AS year_month, CAST(sum(menge) AS BIGINT) AS quantity
+FROM inbound WHERE lagbez='Sorter' AND {LONG_WINDOW} AND hostauftrnr LIKE 'LCCONTENT%' AND menge=1 GROUP BY 1, 2""", "inbound")
+
+# --- Transport ---------------------------------------------------------------------------
+
+AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
+
+
+def since(days: int) -> str:
+    return f"created >= {AS_OF} - INTERVAL {days} DAY"
+
+
+WE_BGL = f"typ_id=42 AND transporttaskquelle LIKE '%WE%' AND transporttaskziel LIKE '%BGL%' AND {since(7)}"
+WE_BSF = f"typ_id=42 AND transporttaskquelle='WE' AND transportrequestziel LIKE '%BSF_O%' AND lagbez='Wareneingang' AND {since(2)}"
+FIN_BGL = f"typ_id=42 AND transporttaskquelle='FIN_AP01' AND transportrequestziel LIKE '%BGL%' AND {since(5)}"
+BGL_BSF = f"typ_id=42 AND transporttaskquelle LIKE '%BGL%' AND transportrequestziel LIKE '%BSF_O%' AND {since(7)}"
+BGL_FIN = (f"typ_id=42 AND transporttaskquelle LIKE 'BGL%' AND transporttaskziel LIKE '%FIN_AP%' "
+           f"AND (lagbez <> 'AKL' OR lagbez IS NULL) AND zuggruppe_sender='BESTANDFREIGABE' AND {since(5)}")
+
+
+def no_event(types: str, key: str = "transportlhmnr", later: bool = False) -> str:
+    more = "AND e.created > s.created" if later else ""
+    return (f"NOT EXISTS (SELECT 1 FROM transport e WHERE e.typ_id IN ({types}) AND e.{key} = s.{key} "
+            f"AND e.zug_id = s.zug_id {more})")
+
+
+OPEN_STARTS = {
+    "we_bgl": ("count(*)", WE_BGL, no_event("47, 39")),
+    "we_bsf_ov": ("count(*)", WE_BSF, no_event("47, 39")),
+    "fin_ap_bgl": ("count(*)", FIN_BGL, no_event("47, 39")),
+    "bgl_bsf_ov": ("count(*)", BGL_BSF, no_event("47", later=True) + " AND " + no_event("39")),
+    "open_orders": ("count(DISTINCT zuggruppe_token)", BGL_FIN, no_event("47", "lhmnr")),
+    "open_positions": ("count(*)", BGL_FIN, no_event("47", "lhmnr")),
+}
+
+
+def open_count(name: str) -> str:
+    number, where, still = OPEN_STARTS[name]
+    return f"SELECT {number} AS {name} FROM transport s WHERE {where} AND {still}"
+
+
+TRANSPORT_KPI = {name: with_views(open_count(name), "transport") for name in OPEN_STARTS}
+
+
+def board(cast: str = "BIGINT") -> str:
+    return ", ".join(f"CAST(({open_count(name)}) AS {cast}) AS {name}" for name in sorted(OPEN_STARTS))
+
+
+KPI_BOARD = with_views(f"SELECT {AS_OF} AS last_updated, {board()}", "transport")
+KPI_SNAPSHOT = with_views(
+    f"SELECT {AS_OF} AS last_updated, {board('DOUBLE')}, CAST(NULL AS DOUBLE) AS broken, 'broken' AS failed", "transport")
+KPI_ROWS = {
+    name: with_views(f"SELECT sequence, transportlhmnr, zug_id, created FROM transport s WHERE {where} AND {still}", "transport")
+    for name, (_, where, still) in OPEN_STARTS.items()
+}
+# The same starts whatever their age.
+OPEN_ANY_AGE = with_views(
+    "SELECT sequence, transportlhmnr, zug_id, created FROM transport s WHERE "
+    + BGL_BSF.replace(f" AND {since(7)}", "") + " AND " + OPEN_STARTS["bgl_bsf_ov"][2], "transport")
+ROLLING_WINDOW = with_views(f"""SELECT 2 AS days, count(*) AS n FROM transport WHERE {since(2)}
+UNION ALL SELECT 5, count(*) FROM transport WHERE {since(5)} UNION ALL SELECT 7, count(*) FROM transport WHERE {since(7)}""", "transport")
+NULLABLE_EXCLUDE = with_views("SELECT lagbez, count(*) AS n FROM transport WHERE lagbez <> 'AKL' OR lagbez IS NULL GROUP BY ALL", "transport")
+DISTINCT_ROWS = with_views("SELECT DISTINCT transportlhmnr, zug_id FROM transport WHERE typ_id=47", "transport")
+
+# --- Hazardous stock -------------------------------------------------------------------------
+
+VOLUME = "coalesce(TRY_CAST(trim(replace(volume_text, ',', '')) AS DOUBLE), 0)"
+READY = ("(upper(trim(coalesce(channel,''))) = 'OUTLET' AND NOT upper(trim(place)) LIKE 'OLAP%' "
+         "AND NOT upper(trim(place)) LIKE 'FIN%' AND trim(carrier) LIKE '50%')")
+OF_CATEGORY = "category = 'Beauty' AND place NOT LIKE 'T%' AND place NOT LIKE 'BSF_T%'"
+STOCK_BY_CATEGORY = with_views(f"SELECT place, channel, carrier, count(*) AS n FROM stock_volume WHERE {OF_CATEGORY} GROUP BY ALL", "stock_volume")
+HAZARD_STOCK = with_views(f"""SELECT carrier, mainlhm, artnr, place, coalesce(channel,'') AS channel, coalesce(volume_text,'') AS volume_text,
+ category, {VOLUME} AS volume, {READY} AS ready
+FROM stock_volume WHERE {OF_CATEGORY} AND regexp_matches(mainlhm, '^[0-9]')""", "stock_volume")
+TOTAL_READY = with_views(f"""SELECT count(*) AS rows, sum({VOLUME}) AS total_vol, sum(CASE WHEN {READY} THEN {VOLUME} ELSE 0 END) AS ready_vol
+FROM stock_volume""", "stock_volume")
+MASK_AND = with_views(f"SELECT channel, place, {READY} AS ready, count(*) AS n FROM stock_volume GROUP BY ALL", "stock_volume")
+CLASSES = "classes(un_no, hazard_class, volume_limit) AS (VALUES ('UN1950','2.1',1e9), ('UN1266','3',5e9), ('UN1170','3',1e6))"
+MERGED = f"""{CLASSES},
+merged AS (SELECT s.*, {VOLUME} AS volume, h.un_no, hazard_class, volume_limit
+  FROM stock_volume s LEFT JOIN handling_unit h USING (artnr) LEFT JOIN classes ON classes.un_no = h.un_no)"""
+HAZARD = ("stock_volume", "handling_unit")
+HAZARD_MERGE = with_views(f"WITH {MERGED} SELECT un_no, hazard_class, count(*) AS n, sum(volume) AS volume FROM merged GROUP BY ALL", *HAZARD)
+HAZARD_ROLLUP = with_views(f"""WITH {MERGED} SELECT place, hazard_class, un_no, CAST(grouping(place, hazard_class, un_no) AS BIGINT) AS level, sum(volume) AS volume
+FROM merged GROUP BY ROLLUP (place, hazard_class, un_no)""", *HAZARD)
+HAZARD_DRILL = with_views(f"""WITH {MERGED} SELECT carrier, artnr, CAST(grouping(carrier, artnr) AS BIGINT) AS level, sum(volume) AS volume
+FROM merged GROUP BY ROLLUP (carrier, artnr)""", *HAZARD)
+HAZARD_COMPLIANCE = with_views(f"""WITH {MERGED},
+t AS (SELECT hazard_class, un_no, CAST(volume_limit AS DOUBLE) AS volume_limit, sum(CASE direction WHEN 'out' THEN -volume ELSE volume END) AS volume,
+  CAST(date_diff('day', min(booked), max(booked)) + 1 AS BIGINT) AS days FROM merged WHERE hazard_class IS NOT NULL GROUP BY 1, 2, 3)
+SELECT *, CASE WHEN volume > 0 THEN (volume_limit - volume) / (volume / days) END AS days_to_limit, volume > volume_limit AS over_limit FROM t""", *HAZARD)
+
+# --- Audits ------------------------------------------------------------------------------------
+
+DPMI = """s AS (SELECT bucket, sub_process, CAST(sum(items) AS BIGINT) AS items, CAST(sum(defects) AS BIGINT) AS defects, sum(defects) * 1e6 / sum(items) AS dpmi
+  FROM audit GROUP BY ALL),
+t AS (SELECT bucket, sub_process, items, defects, CAST(dpmi AS DOUBLE) AS dpmi, dpmi < 3500 AS target_met FROM s)"""
+MULTI_SOURCE = with_views("""SELECT sub_process AS source, bucket, count(*) AS n, CAST(sum(defects) AS BIGINT) AS defects FROM audit GROUP BY ALL""", "audit")
+DPMI_SCORE = with_views(f"WITH {DPMI} SELECT * FROM t", "audit")
+QUALITY_SCORE = with_views(f"""WITH {DPMI} SELECT coalesce(bucket,'overall') AS bucket, count(*) AS targets, count(*) FILTER (target_met) AS met,
+ CAST(count(*) FILTER (target_met) * 100.0 / count(*) AS DOUBLE) AS score FROM t GROUP BY ROLLUP (bucket)""", "audit")
+
+# --- Orders ----------------------------------------------------------------------------------------
+
+
+def moment(text: str) -> str:
+    return f"strptime({text}, '%d.%m.%Y %H:%M:%S')"
+
+
+def second(when: str) -> str:
+    return f"CAST(hour({when})*3600 + minute({when})*60 + second({when}) AS INTEGER)"
+
+
+CARTONS = f"""cartons AS (SELECT carrier AS carton,
+  min(CASE WHEN event='Transportrequest erstellt' THEN {moment('stamp')} END) AS released,
+  min(CASE WHEN event='Transportrequest erledigt' AND to_place LIKE 'PALAP%' THEN {moment('stamp')} END) AS arrived
+  FROM transport_log WHERE carrier_type LIKE 'Versand%' GROUP BY 1)"""
+SIZES = """ranked AS (SELECT *, row_number() OVER (PARTITION BY order_no ORDER BY changed, colli) AS n_any,
+  row_number() OVER (PARTITION BY order_no, channel ORDER BY changed, pallets) AS n_own FROM order_status WHERE status='Finalisierung gestartet'),
+sizes AS (SELECT o.order_no, o.pallets, a.colli FROM ranked o JOIN ranked a ON a.order_no=o.order_no AND a.n_any=1 WHERE o.channel='OUTLET' AND o.n_own=1)"""
+WINDOWS = f"""{CARTONS}, {SIZES},
+monitor AS (SELECT m.*, CAST({moment('release_text')} AS DATE) AS day, {second('released')} AS s, {second('arrived')} AS e FROM order_monitor m LEFT JOIN cartons USING (carton)
+  WHERE channel='OUTLET' AND carton LIKE '4%' AND state <> 'Deleted'),
+win AS (SELECT DISTINCT order_no, day, station, max(s) OVER (PARTITION BY order_no) AS start, max(e) OVER (PARTITION BY order_no) AS "end" FROM monitor),
+orders_in AS (SELECT win.*, pallets, colli, CAST(floor((dayofyear(day) + dayofweek(date_trunc('year', day)) - 1) / 7) + 1 AS INTEGER) AS week
+  FROM win JOIN sizes USING (order_no) WHERE colli > 16)"""
+ROUTES = {
+    "aklg_to_zu": "from_place='AKL_G' AND to_place='ZU' AND carrier_type='Outletbehälter'",
+    "pall_to_vd": "from_place='PALL' AND to_place='VD' AND carrier_type='Outletbehälter'",
+    "akl_to_pallpzu": "from_place='AKL' AND to_place='PALLPZU' AND carrier_type='Outletbehälter'",
+    "aklg_to_ol": "from_place='AKL G' AND to_place='OL' AND carrier_type='Outletbehälter'",
+    "gs_to_akl": "from_place='GS' AND to_place='AKL' AND carrier_type='Outletbehälter'",
+    "any_to_akl": "to_place='AKL' AND carrier_type='Outletbehälter'",
+    "aklg_out": "from_place='AKL G' AND carrier_type='Outletbehälter'",
+    "akl_carton_out": "from_place='AKL' AND carrier_type='Versandkarton'",
+    "aklg_any_out": "from_place='AKL G'",
+}
+INCLUSIVE = ("aklg_out", "akl_carton_out", "aklg_any_out")
+
+
+def route_count(name: str) -> str:
+    inside = "x.at >= start AND x.at <= \"end\"" if name in INCLUSIVE else "x.at > start AND x.at < \"end\""
+    return f"count(DISTINCT CASE WHEN {inside} AND {ROUTES[name]} THEN x.carrier END) AS {name}"
+
+
+COUNTED = f"""{WINDOWS},
+moves AS (SELECT carrier, carrier_type, from_place, to_place, CAST({moment('stamp')} AS DATE) AS day, {second(moment('stamp'))} AS at
+  FROM transport_log WHERE event='Transportrequest gestartet'),
+counted AS (SELECT o.order_no, o.day, o.station, o.start, o."end", o.pallets, o.colli, o.week, {', '.join(route_count(name) for name in ROUTES)}
+  FROM orders_in o LEFT JOIN moves x ON x.day = o.day AND x.at BETWEEN o.start AND o."end" GROUP BY ALL)"""
+DURATION = f"""{COUNTED},
+timed AS (SELECT *, CAST("end" - start AS DOUBLE) AS duration_s FROM counted)"""
+ORDER_TABLES = ("transport_log", "order_status", "order_monitor")
+RATES = """duration_s, duration_s / nullif(colli, 0) AS seconds_per_colli, CAST(colli AS DOUBLE) / nullif(duration_s / 60, 0) AS colli_per_minute,
+ duration_s / nullif(pallets, 0) AS seconds_per_pallet, CASE WHEN start BETWEEN 21600 AND 53100 THEN 1 ELSE 2 END AS shift"""
+ORDER_DURATION = with_views(f"""WITH {DURATION} SELECT order_no, day AS date, station, start, "end", pallets, colli, week, {', '.join(ROUTES)}, {RATES} FROM timed""", *ORDER_TABLES)
+INTERVAL_CONGESTION = with_views(f"WITH {COUNTED} SELECT order_no, {', '.join(ROUTES)} FROM counted", *ORDER_TABLES)
+MAX_IF = with_views(f"""WITH {CARTONS} SELECT order_no, max({second('released')}) AS start, max({second('arrived')}) AS "end" FROM order_monitor LEFT JOIN cartons USING (carton) GROUP BY 1""", *ORDER_TABLES)
+FIRST_MATCH = with_views(f"WITH {SIZES} SELECT order_no, pallets, colli FROM sizes", "order_status")
+DURATION_METRICS = with_views(f"WITH {WINDOWS}, timed AS (SELECT *, CAST(\"end\" - start AS DOUBLE) AS duration_s FROM orders_in) SELECT order_no, {RATES} FROM timed", *ORDER_TABLES)
+CORRELATION = with_views(f"""WITH {DURATION} SELECT count(duration_s) AS orders, {', '.join(f"round(CASE WHEN var_pop({r}) > 0 THEN corr(CAST({r} AS DOUBLE), duration_s) END, 9) AS {r}" for r in ROUTES)} FROM timed""", *ORDER_TABLES)
+APPEND_NEW_KEYS = with_views(f"""SELECT order_no, carton FROM (SELECT order_no, carton, row_number() OVER (PARTITION BY order_no ORDER BY carton) AS n FROM order_monitor)
+WHERE n = 1 AND order_no NOT IN (SELECT order_no FROM order_status WHERE status = 'Angelegt')""", "order_monitor", "order_status")
+
+# --- Ideas -------------------------------------------------------------------------------------------
+
+TICKET = r"TRY_CAST(nullif(regexp_extract(ticket, '^\s*([+-]?[0-9]+)', 1), '') AS BIGINT)"
+TRANSLATION_PENDING = with_views("SELECT ticket, source_text FROM intake WHERE coalesce(target_text,'')='' AND coalesce(source_text,'')<>''", "intake")
+NOTIFICATION_OUTBOX = with_views(f"""SELECT number, 'TKT-' || right('000' || number, 3) AS ticket_id, source_text FROM (SELECT *, {TICKET} AS number FROM intake)
+WHERE number >= 65 AND coalesce(status,'')='' AND number NOT IN (SELECT doc_id FROM labels)""", "intake")
+FIRST_NAME = "upper(substr(split_part(split_part(mail,'@',1),'.',1),1,1)) || substr(split_part(split_part(mail,'@',1),'.',1),2)"
+REWARD_DIGEST = with_views(f"SELECT mail, {FIRST_NAME} AS first_name, points FROM scoreboard WHERE trim(mail) <> '' AND points > 0", "scoreboard")
+TICKET_FORMAT = with_views(f"SELECT ticket, 'TKT-' || right('000' || {TICKET}, 3) AS ticket_id FROM intake", "intake")
+NAME_FROM_MAIL = with_views(f"SELECT mail, {FIRST_NAME} AS first_name FROM scoreboard", "scoreboard")

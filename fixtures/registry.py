@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fixtures import oracle
 from fixtures.views import spark_view
 from palletrail import config as c
-from palletrail.plans import receive
+from palletrail.functions import predicates, rules, text, times
+from palletrail.functions.attributes import json_fields
+from palletrail.operators import enrich, legs, transports
+from palletrail.operators.skew import first_per_key, sequence_index
+from palletrail.plans import hazard, ideas, orders, outlet, quality, receive, sorting, summary, transport, volumes
+from palletrail.sources import readers, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -43,3 +50,227 @@ query("monthly_zfs", oracle.MONTHLY_ZFS, "ledger", "brand_dim")(
 query("monthly_beauty", oracle.MONTHLY_BEAUTY, "ledger", "brand_dim")(
     lambda ledger, brands: receive.monthly_report(ledger, brands, c.MONTHLY_REPORTS["monthly_beauty"], overrides=OVERRIDES))
 query("receive_volume", oracle.RECEIVE_VOLUME, "ledger")(receive.receive_volume)
+
+# --- Manual sorting -------------------------------------------------------------------
+
+query("manual_sorting", oracle.MANUAL_SORTING, "ledger")(sorting.manual_sorting)
+
+# --- Outlet ---------------------------------------------------------------------------
+
+query("outlet_booking", oracle.OUTLET_BOOKING, "outlet", "stock")(outlet.outlet_booking)
+query("outlet_booking_simple", oracle.OUTLET_BOOKING_SIMPLE, "outlet", "stock")(outlet.outlet_booking_simple)
+
+
+@query("net_join", oracle.NET_JOIN, "outlet")
+def net_join(ledger):
+    return outlet.booked_and_clarified(ledger, None, None).select(
+        "lhmnr", "artnr", F.col("total_booked").cast("bigint"), F.col("total_clarified").cast("bigint"))
+
+
+query("net_booked", oracle.NET_BOOKED, "outlet")(
+    lambda ledger: outlet.net_booked(ledger).select("lhmnr", "artnr", "quantity"))
+query("representative", oracle.REPRESENTATIVE, "outlet")(
+    lambda ledger: outlet.booked_and_clarified(ledger, None, None).select("lhmnr", "artnr", "created", "cust_data"))
+query("having_positive", oracle.HAVING_POSITIVE, "outlet")(
+    lambda ledger: outlet.having_positive(ledger, ["lhmnr", "artnr"], "menge", "items"))
+query("scalar_lookup", oracle.SCALAR_LOOKUP, "outlet")(outlet.graded_history)
+query("first_per_key", oracle.FIRST_PER_KEY, "outlet")(outlet.carrier_history)
+
+
+@query("or_key_lookup", oracle.OR_KEY_LOOKUP, "outlet", "stock")
+def or_key_lookup(ledger, stock):
+    rows = ledger.where("typ_id = 102").groupBy("lhmnr", "artnr").agg(F.count("*").alias("n"))
+    return rows.join(outlet.or_key_lookup(stock).withColumnRenamed("lc", "lhmnr"), "lhmnr", "left")
+
+
+query("best_grade_dedup", oracle.BEST_GRADE, "stock")(outlet.best_grade_dedup)
+
+
+@query("stock_quality_join", oracle.STOCK_QUALITY, "outlet", "stock")
+def stock_quality_join(ledger, stock):
+    rows = ledger.where("typ_id = 103").groupBy("lhmnr", "artnr").agg(F.count("*").alias("n"))
+    return rows.join(outlet.best_grade_dedup(stock).withColumnRenamed("lc", "lhmnr"), ["lhmnr", "artnr"], "left")
+
+
+query("unpivot_carriers", oracle.UNPIVOT, "stock")(lambda stock: outlet.unpivot_carriers(stock, "artnr", "quality"))
+
+
+@query("union_net_clarified", oracle.UNION_NET, "outlet", "stock")
+def union_net_clarified(ledger, stock):
+    items = outlet.net_items(ledger, None, None).unionByName(outlet.clarified_items(ledger, stock, None, None))
+    flag = rules.clarification_flag(F.col("origin")).alias("clarification")
+    return items.groupBy(flag, "fallback").agg(F.sum("quantity").alias("items"))
+
+
+QUERIES["clarification_flag"], ORACLE["clarification_flag"] = QUERIES["union_net_clarified"], ORACLE["union_net_clarified"]
+
+
+@query("grade_fallback4", oracle.GRADE_FALLBACK, "outlet", "stock")
+def grade_fallback4(ledger, stock):
+    return outlet.clarified_items(ledger, stock, None, None).groupBy("lc", "ean", "fallback").agg(
+        F.sum("quantity").alias("quantity"))
+
+
+@query("params_cross", oracle.PARAMS_CROSS, "outlet")
+def params_cross(ledger):
+    rows = outlet.booked_and_clarified(ledger, datetime(1997, 1, 1), None)
+    return rows.select("lhmnr", "artnr", F.col("total_booked").cast("bigint"))
+
+
+@query("open_window", oracle.OPEN_WINDOW, "outlet")
+def open_window(ledger):
+    rows = predicates.keep(ledger, predicates.open_window(F.col("created"), None, datetime(1998, 6, 30, 12)))
+    return rows.groupBy("typ_id").agg(F.count("*").alias("n"), F.sum("menge").alias("quantity"))
+
+
+# --- Volumes ----------------------------------------------------------------------------
+
+WINDOW = (datetime(1995, 6, 1), datetime(2001, 5, 31, 23, 59, 59))
+query("inbound_lines", oracle.INBOUND_LINES, "inbound")(lambda ledger: volumes.inbound_lines(ledger, *WINDOW))
+query("sorter_volume", oracle.SORTER_VOLUME, "inbound")(lambda ledger: volumes.sorter_volume(ledger, *WINDOW))
+
+# --- Transport ---------------------------------------------------------------------------
+
+AS_OF = datetime(2024, 1, 31)
+for kpi in c.TRANSPORT_KPIS:
+    query(kpi.name, oracle.TRANSPORT_KPI[kpi.name], "transport")(
+        lambda ledger, kpi=kpi: transports.count_open(ledger, kpi, AS_OF))
+query("count_open", oracle.TRANSPORT_KPI["bgl_bsf_ov"], "transport")(
+    lambda ledger: transport.transport_kpi(ledger, "bgl_bsf_ov", AS_OF))
+query("count_distinct_open", oracle.TRANSPORT_KPI["open_orders"], "transport")(
+    lambda ledger: transport.transport_kpi(ledger, "open_orders", AS_OF))
+query("kpi_board", oracle.KPI_BOARD, "transport")(lambda ledger: transport.kpi_board(ledger, AS_OF))
+
+
+def kpi_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    registry = transport.default_registry()
+    registry.register_kpi("broken", lambda ledger, as_of: ledger.select("no_such_column"))
+    return registry.snapshot(spark, spark_view(spark, sf_dir, "transport"), AS_OF)
+
+
+QUERIES["kpi_snapshot"], ORACLE["kpi_snapshot"] = kpi_snapshot, oracle.KPI_SNAPSHOT
+
+
+def open_rows(name: str, operator: str, as_of: datetime | None = AS_OF) -> None:
+    sql = oracle.KPI_ROWS[name] if as_of else oracle.OPEN_ANY_AGE
+    query(operator, sql, "transport")(
+        lambda ledger: transports.open_starts(ledger, transport.BY_NAME[name], as_of)
+        .select("sequence", "transportlhmnr", "zug_id", "created"))
+
+
+open_rows("we_bgl", "open_starts_antijoin")
+open_rows("bgl_bsf_ov", "open_starts_temporal", None)
+open_rows("open_positions", "self_antijoin")
+
+
+@query("rolling_window", oracle.ROLLING_WINDOW, "transport")
+def rolling_window(ledger):
+    tests = {days: predicates.rolling_window(F.col("created"), AS_OF, days) for days in (2, 5, 7)}
+    counts = ledger.agg(*[F.count_if(test).alias(str(days)) for days, test in tests.items()])
+    return counts.select(F.explode(F.array(*[
+        F.struct(F.lit(days).alias("days"), F.col(str(days)).alias("n")) for days in tests])).alias("r")).select("r.*")
+
+
+query("nullable_exclude", oracle.NULLABLE_EXCLUDE, "transport")(
+    lambda ledger: ledger.where(predicates.nullable_exclude(F.col("lagbez"), "AKL"))
+    .groupBy("lagbez").agg(F.count("*").alias("n")))
+query("distinct_rows", oracle.DISTINCT_ROWS, "transport")(
+    lambda ledger: ledger.where("typ_id = 47").select("transportlhmnr", "zug_id").distinct())
+
+# --- Hazardous stock -------------------------------------------------------------------------
+
+CLASSES = [("UN1950", "2.1", 1e9), ("UN1266", "3", 5e9), ("UN1170", "3", 1e6)]
+
+
+def merged(stock: DataFrame, units: DataFrame) -> DataFrame:
+    classes = stock.sparkSession.createDataFrame(CLASSES, "un_no string, hazard_class string, volume_limit double")
+    return hazard.hazard_merge(stock, units, classes)
+
+
+query("stock_by_category", oracle.STOCK_BY_CATEGORY, "stock_volume")(
+    lambda stock: hazard.stock_by_category(stock, "Beauty").groupBy("place", "channel", "carrier")
+    .agg(F.count("*").alias("n")))
+query("hazard_stock", oracle.HAZARD_STOCK, "stock_volume")(lambda stock: hazard.hazard_stock(stock, "Beauty"))
+query("total_and_ready_volume", oracle.TOTAL_READY, "stock_volume")(hazard.total_and_ready_volume)
+
+
+@query("mask_and", oracle.MASK_AND, "stock_volume")
+def mask_and(stock):
+    ready = predicates.mask_ready(F.col("channel"), F.col("place"), F.col("carrier"))
+    return stock.groupBy("channel", "place", ready.alias("ready")).agg(F.count("*").alias("n"))
+
+
+query("hazard_merge", oracle.HAZARD_MERGE, *oracle.HAZARD)(
+    lambda stock, units: merged(stock, units).groupBy("un_no", "hazard_class")
+    .agg(F.count("*").alias("n"), F.sum("volume").alias("volume")))
+query("hazard_volume_rollup", oracle.HAZARD_ROLLUP, *oracle.HAZARD)(
+    lambda stock, units: hazard.hazard_volume_rollup(merged(stock, units)))
+query("hazard_drill_down", oracle.HAZARD_DRILL, *oracle.HAZARD)(
+    lambda stock, units: hazard.drill_down(merged(stock, units)))
+query("hazard_compliance", oracle.HAZARD_COMPLIANCE, *oracle.HAZARD)(
+    lambda stock, units: hazard.hazard_compliance(merged(stock, units)))
+
+# --- Audits ------------------------------------------------------------------------------------
+
+AUDITS = ("A_F", "A_O", "N_F", "N_O", "R_F", "R_O")
+
+
+def audit_sources(audit: DataFrame) -> dict[str, DataFrame]:
+    """One table per audit source, as the site delivers them; only some name the bucket's items."""
+    return {name: audit.where(F.col("sub_process") == name) for name in AUDITS}
+
+
+query("multi_source_audit", oracle.MULTI_SOURCE, "audit")(
+    lambda audit: quality.multi_source_audit(audit_sources(audit)).groupBy("source", "bucket")
+    .agg(F.count("*").alias("n"), F.sum("defects").alias("defects")))
+query("dpmi_score", oracle.DPMI_SCORE, "audit")(quality.dpmi_score)
+query("quality_score", oracle.QUALITY_SCORE, "audit")(quality.quality_score)
+
+# --- Orders ----------------------------------------------------------------------------------------
+
+query("order_duration", oracle.ORDER_DURATION, *oracle.ORDER_TABLES)(orders.order_duration)
+query("interval_congestion", oracle.INTERVAL_CONGESTION, *oracle.ORDER_TABLES)(
+    lambda *tables: orders.order_duration(*tables).select("order_no", *[route.name for route in c.ROUTES]))
+
+
+@query("max_if", oracle.MAX_IF, *oracle.ORDER_TABLES)
+def max_if(log, status, monitor):
+    timed = monitor.join(orders.carton_times(log), "carton", "left")
+    return timed.groupBy("order_no").agg(F.max("released").alias("start"), F.max("arrived").alias("end"))
+
+
+query("first_match_lookup", oracle.FIRST_MATCH, "order_status")(orders.order_sizes)
+query("duration_metrics", oracle.DURATION_METRICS, *oracle.ORDER_TABLES)(
+    lambda *tables: orders.order_windows(*tables).withColumns(orders.duration_metrics())
+    .select("order_no", "duration_s", "seconds_per_colli", "colli_per_minute", "seconds_per_pallet", "shift"))
+
+
+@query("congestion_correlation", oracle.CORRELATION, *oracle.ORDER_TABLES)
+def congestion_correlation(*tables):
+    result = orders.congestion_correlation(orders.order_duration(*tables))
+    return result.select("orders", *[F.round(route.name, 9).alias(route.name) for route in c.ROUTES])
+
+
+@query("append_new_keys", oracle.APPEND_NEW_KEYS, "order_monitor", "order_status")
+def append_new_keys(monitor, status):
+    archive = status.where("status = 'Angelegt'")
+    return sinks.new_keys(monitor, archive, "order_no", [F.col("carton")]).select("order_no", "carton")
+
+
+# --- Ideas -------------------------------------------------------------------------------------------
+
+query("translation_pending", oracle.TRANSLATION_PENDING, "intake")(ideas.translation_pending)
+
+
+def notification_outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sent = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").alias("number"))
+    return ideas.notification_outbox(spark_view(spark, sf_dir, "intake"), sent)
+
+
+QUERIES["notification_outbox"], ORACLE["notification_outbox"] = notification_outbox, oracle.NOTIFICATION_OUTBOX
+query("reward_digest", oracle.REWARD_DIGEST, "scoreboard")(ideas.reward_digest)
+query("ticket_format", oracle.TICKET_FORMAT, "intake")(
+    lambda intake: intake.select(
+        "ticket", text.ticket_format(text.ticket_number(F.col("ticket")), c.TICKET_PREFIX).alias("ticket_id")))
+query("name_from_mail", oracle.NAME_FROM_MAIL, "scoreboard")(
+    lambda board: board.select("mail", text.name_from_mail(F.col("mail")).alias("first_name")))

@@ -10,6 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from palletrail.operators.skew import fits_broadcast
+
 TOKENS = {
     "spark": {
         "J": "get_json_object",
@@ -156,8 +158,8 @@ SELECT CAST(o_orderkey AS STRING), 'Finalisierung gestartet', 'OUTLET', 1, 30, o
 
 VIEWS["transport_log"] = """
 SELECT concat(CASE WHEN l_partkey%10=0 THEN '5' ELSE '4' END,lpad(CAST(l_orderkey AS STRING),8,'0'),CAST(l_linenumber AS STRING)) AS carrier,
- 'Versandkarton' AS carrier_type, 'Transportrequest erstellt' AS event, 'AKL' AS from_place, 'PALAP01' AS to_place, {RELEASED_TEXT} AS stamp
-FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_partkey%23<>0
+ 'Versandkarton' AS carrier_type, CASE WHEN l_partkey%23=0 THEN 'Transportrequest storniert' ELSE 'Transportrequest erstellt' END AS event, 'AKL' AS from_place, 'PALAP01' AS to_place, {RELEASED_TEXT} AS stamp
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey
 UNION ALL
 SELECT concat(CASE WHEN l_partkey%10=0 THEN '5' ELSE '4' END,lpad(CAST(l_orderkey AS STRING),8,'0'),CAST(l_linenumber AS STRING)),
  'Versandkarton', 'Transportrequest erledigt', 'AKL', CASE WHEN l_suppkey%9=0 THEN 'OL' ELSE 'PALAP01' END, {ENDED_TEXT}
@@ -193,12 +195,27 @@ def view_sql(name: str, dialect: str) -> str:
     return sql.strip()
 
 
+# The given tables are single files with one row group, which one task reads.  Where that
+# is much data, the raw rows are spread by these keys so that all cores work on them.
+SPREAD = {"lineitem": ("l_orderkey", "l_partkey"), "orders": ("o_orderkey",), "events": ("event_id",),
+          "documents": ("doc_id",), "part": ("p_partkey",), "customer": ("c_custkey",)}
+SPREAD_BYTES = 4 << 20
+
+
+def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if fits_broadcast(df, SPREAD_BYTES) or len(df.inputFiles()) >= cores:
+        return df
+    return df.repartition(cores, *SPREAD[table])
+
+
 def spark_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The view as a DataFrame over the parquet files in ``sf_dir``."""
     sql = view_sql(name, "spark")
     for table in ("lineitem", "orders", "events", "part", "documents", "customer"):
         if re.search(rf"\b{table}\b", sql):
-            spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(f"fixture_{table}")
+            read_table(spark, sf_dir, table).createOrReplaceTempView(f"fixture_{table}")
             sql = re.sub(rf"\b{table}\b", f"fixture_{table}", sql)
     return spark.sql(sql)
 

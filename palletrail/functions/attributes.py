@@ -18,7 +18,8 @@ def attribute_schema(names: Iterable[str]) -> str:
 
 def scalar_only(value: Column) -> Column:
     """Nested objects and arrays are no attribute values, and blanks are NULL."""
-    return F.when(~value.rlike(r"^[\[{]"), blank_to_null(value))
+    nested = value.startswith("{") | value.startswith("[")
+    return F.when(~nested, blank_to_null(value))
 
 
 def json_fields(df: DataFrame, names: Iterable[str] | None = None, document: str = "cust_data") -> DataFrame:

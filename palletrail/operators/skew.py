@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 MAX_HOT_KEYS = 1000
-TRACKED_KEYS = 100_000
+TRACKED_KEYS = 20_000
 HOT_ROWS = 20_000
 
 # Largest table sent whole to every executor, by the optimizer's own size estimate.
