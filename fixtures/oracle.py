@@ -456,3 +456,95 @@ FIRST_NAME = "upper(substr(split_part(split_part(mail,'@',1),'.',1),1,1)) || sub
 REWARD_DIGEST = with_views(f"SELECT mail, {FIRST_NAME} AS first_name, points FROM scoreboard WHERE trim(mail) <> '' AND points > 0", "scoreboard")
 TICKET_FORMAT = with_views(f"SELECT ticket, 'TKT-' || right('000' || {TICKET}, 3) AS ticket_id FROM intake", "intake")
 NAME_FROM_MAIL = with_views(f"SELECT mail, {FIRST_NAME} AS first_name FROM scoreboard", "scoreboard")
+
+# --- Single operators over the ledger -------------------------------------------------
+
+READ_LEDGER = with_views(f"""SELECT local_transaction_id, sequence, tpartnr, menge, created FROM ledger
+WHERE created BETWEEN TIMESTAMP '1997-01-01 00:00:00' AND TIMESTAMP '1997-12-31 23:59:59'""", "ledger")
+DIMENSION_DEDUP = with_views("SELECT ean, min(brand_name) AS brand_name FROM brand_dim GROUP BY 1", "brand_dim")
+ENRICH = with_views(f"""WITH {BRANDS}, d AS (SELECT artnr AS ean, count(*) AS n FROM ledger GROUP BY 1)
+SELECT d.ean, n, {BRAND} AS brand_name FROM d LEFT JOIN brands ON d.ean = brands.ean""", "ledger", "brand_dim")
+SELECT_RENAME = with_views("SELECT artnr AS article, menge AS quantity, ziel AS place FROM ledger", "ledger")
+LEG_SELECT = with_views(f"""SELECT good_type, side, count(*) AS n, CAST(sum(q) AS BIGINT) AS quantity FROM (
+ SELECT CASE tpartnr WHEN 520 THEN 'NORMAL' ELSE 'DUMMY' END AS good_type, 'out' AS side, abs(menge) AS q FROM ledger
+  WHERE tpartnr IN (520,614) AND menge<0 AND lagbez IN {AREAS} AND ziel LIKE 'OV%'
+ UNION ALL SELECT CASE tpartnr WHEN 520 THEN 'NORMAL' ELSE 'DUMMY' END, 'in', menge FROM ledger
+  WHERE menge=1 AND lagbez IN {AREAS} AND lhmnr NOT LIKE '000%' AND (tpartnr=520 OR tpartnr=207 AND ziel LIKE 'OV%')) GROUP BY ALL""", "ledger")
+BETWEEN_WINDOW = with_views(f"""SELECT tpartnr, count(*) AS n FROM ledger
+WHERE created BETWEEN TIMESTAMP '1997-01-01 00:00:00' AND TIMESTAMP '1997-12-31 23:59:59' GROUP BY ALL""", "ledger")
+REFERENCE_OF = attr("cust_data", "REFERENCENUMBER_LHM")
+REF_FILTER = with_views(f"""WITH r AS (SELECT {REFERENCE_OF} AS reference FROM ledger)
+SELECT 'all' AS filter, count(*) AS n FROM r
+UNION ALL SELECT 'pattern', count(*) FROM r WHERE upper(reference) LIKE 'AY%'
+UNION ALL SELECT 'list', count(*) FROM r WHERE upper(reference) IN ('Z1','AY3','7')
+UNION ALL SELECT 'value', count(*) FROM r WHERE upper(reference) = 'Z5'
+UNION ALL SELECT 'both', count(*) FROM r WHERE upper(reference) LIKE 'Z%,7' OR upper(reference) IN ('Z%','7')""", "ledger")
+SELF_TRANSFER = with_views("""SELECT o.lhmnr AS source_lhm, i.lhmnr AS ziel_lhm, count(*) AS n
+FROM (SELECT * FROM ledger WHERE menge<0) o JOIN (SELECT * FROM ledger WHERE menge=1) i USING (local_transaction_id)
+WHERE coalesce(o.lhmnr,'value1') <> coalesce(i.lhmnr,'value2') GROUP BY ALL""", "ledger")
+NUMERIC_TARGET = with_views("SELECT lhmnr, count(*) AS n FROM ledger WHERE regexp_full_match(lhmnr,'[0-9]+') GROUP BY ALL", "ledger")
+PREFIX_GUARD = with_views("SELECT lhmnr, count(*) AS n FROM ledger WHERE (lhmnr LIKE '4%' OR lhmnr LIKE '5%') AND lhmnr NOT LIKE '000%' GROUP BY ALL", "ledger")
+REPORT_PREDICATE = with_views(detail(CHANNEL_BASE, True) + """SELECT 'monthly_zfs' AS report, count(*) AS n FROM d WHERE upper(reference_lhm) LIKE 'Z%'
+UNION ALL SELECT 'monthly_beauty', count(*) FROM d WHERE category='Beauty' AND quality='B'""", "ledger")
+EAN_TWO = with_views(detail(CHANNEL_BASE, True) + "SELECT ean, count(*) AS n FROM d GROUP BY ALL", "ledger")
+EAN_THREE = with_views(f"""WITH {SORTING_PAIRS} SELECT ean, count(*) AS n FROM p
+WHERE coalesce(src,'value1') <> dst AND regexp_full_match(dst, '[0-9]+') GROUP BY ALL""", "ledger")
+BY_ORIGIN = with_views(detail(CHANNEL_BASE, True) + "SELECT sku, sort_id, count(*) AS n FROM d GROUP BY ALL", "ledger")
+JSON_KEYS = ("REFERENCENUMBER_LHM", "QUALITYID_SEKTOR", "QUALITYID_ART", "SORTABLE_ART", "CATEGORYID_ART", "SOURCEID_SEKTOR",
+             "DISTRIBUTIONCHANNELID_ART", "SKU_ART", "SORTINGCRITERIAID_ART", "LASTEANGOTFROMMAUS_ZIEL")
+JSON_NAMES = ("reference", "grade_sector", "grade_article", "sortable", "category_id", "source_id", "channel_id", "sku", "sort_id", "last_ean")
+JSON_FIELDS = with_views("SELECT " + ", ".join(f"{attr('cust_data', k)} AS {n}" for k, n in zip(JSON_KEYS, JSON_NAMES))
+                         + ", count(*) AS n FROM ledger GROUP BY ALL", "ledger")
+GRADE_SINGLE = with_views(f"WITH {pairs()} SELECT quality, count(*) AS n FROM p WHERE good_type='NORMAL' GROUP BY ALL", "ledger")
+GRADE_DUAL = with_views(f"WITH {pairs()} SELECT quality, count(*) AS n FROM p WHERE good_type='DUMMY' GROUP BY ALL", "ledger")
+GRADE_PLAIN = with_views(f"SELECT {GRADE_CODE} AS code, {labels(GRADE_CODE, GRADES, 'Unknown')} AS grade, {labels(GRADE_CODE, GRADES, None)} AS grade_or_null, count(*) AS n FROM ledger GROUP BY ALL", "ledger")
+CATEGORY_CODE = attr("cust_data", "CATEGORYID_ART")
+CATEGORY_MAP = with_views(f"""WITH {pairs()},
+d AS (SELECT category, {CATEGORY_NORMAL} AS first_leg, {labels(attr('cd1', 'CATEGORYID_ART'), CATEGORIES, None)} AS or_null FROM p)
+SELECT category, first_leg, or_null, count(*) AS n FROM d GROUP BY ALL""", "ledger")
+SOURCE_MAP = with_views(f"""WITH {pairs()}, d AS (SELECT {SOURCE} AS source_channel, {labels(attr('cd1', 'SOURCEID_SEKTOR'), SOURCES, 'Resale')} AS sorting_channel FROM p)
+SELECT source_channel, sorting_channel, count(*) AS n FROM d GROUP BY ALL""", "ledger")
+DISTRIBUTION = with_views(f"""WITH {pairs()}, d AS (SELECT {CHANNEL_BASE} AS base, {CHANNEL_DETAIL} AS detail, {CHANNEL_KPI} AS kpi FROM p)
+SELECT base, detail, kpi, count(*) AS n FROM d GROUP BY ALL""", "ledger")
+SHIFT_OF = with_views(f"""WITH d AS (SELECT {shift('created')} AS shift, CASE WHEN strftime(created,'%H:%M:%S') BETWEEN '06:00:00' AND '14:45:00' THEN 1 ELSE 2 END AS order_shift,
+ {shift("(created AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Berlin'")} AS local_shift FROM ledger)
+SELECT shift, order_shift, local_shift, count(*) AS n FROM d GROUP BY ALL""", "ledger")
+DATE_PARTS = with_views("""SELECT strftime(created,'%Y-%m-%d') AS iso_day, strftime(created,'%d.%m.%Y') AS day_text, strftime(created,'%Y_%m') AS month_key,
+ strftime(created,'%d.%m.%Y %H:%M:%S') AS stamp_text, CAST(created AS DATE) AS day, count(*) AS n FROM ledger GROUP BY ALL""", "ledger")
+DAYS = "(SELECT DISTINCT CAST(l_shipdate AS DATE) AS day FROM lineitem)"
+
+
+def to_utc(local: str) -> str:
+    return f"(({local}) AT TIME ZONE 'Europe/Berlin') AT TIME ZONE 'UTC'"
+
+
+UTC_WINDOW = f"""SELECT day, {to_utc("day + INTERVAL '5 hours 50 minutes'")} AS start_utc, {to_utc("day + INTERVAL '23 hours 59 minutes'")} AS end_utc FROM {DAYS}"""
+MONTH_WINDOW = f"""SELECT DISTINCT {to_utc("CAST(date_trunc('month', day) AS TIMESTAMP)")} AS start_utc,
+ {to_utc("CAST(last_day(day) AS TIMESTAMP) + INTERVAL '86399 seconds'")} AS end_utc, strftime(day, '%m.%Y') AS month FROM {DAYS}"""
+WEEK_NUMBER = f"""SELECT day, CAST(floor((dayofyear(day) + dayofweek(date_trunc('year', day)) - 1) / 7) + 1 AS INTEGER) AS week FROM {DAYS}"""
+NUM_CLEAN = with_views(f"SELECT volume_text, {VOLUME} AS volume, count(*) AS n FROM stock_volume GROUP BY ALL", "stock_volume")
+NULL_TO_BLANK = with_views("""SELECT coalesce(sublhm,'') AS sublhm, coalesce(quality,'') AS quality, coalesce(CASE quality WHEN 'A' THEN 1 END, 0) AS is_a, count(*) AS n
+FROM stock GROUP BY ALL""", "stock")
+BASIC_SCALARS = with_views("""SELECT upper(ziel) AS upper_ziel, lower(lagbez) AS lower_lagbez, trim(' ' || lhmnr || ' ') AS trimmed, CAST(instr(ziel,'_') AS INTEGER) AS position,
+ 'KF_' || ziel AS joined, CAST(sum(abs(menge)) AS BIGINT) AS quantity FROM ledger GROUP BY ALL""", "ledger")
+REPORT_SORT = SHIFT_REPORT
+RUN_SUMMARY = with_views(f"""WITH {pairs()}, {CARRIERS}
+SELECT 'bookings' AS report, count(*) AS rows, CAST(coalesce(sum(abs(menge)),0) AS DOUBLE) AS total, CASE WHEN count(*) > 0 THEN 'SUCCESS' ELSE 'NO_DATA' END AS status, {AS_OF} AS run_time FROM p
+UNION ALL SELECT 'stock', count(*), NULL, CASE WHEN count(*) > 0 THEN 'SUCCESS' ELSE 'NO_DATA' END, {AS_OF} FROM carriers""", "ledger", "stock")
+
+# --- Sinks: what is stored after two runs ------------------------------------------------
+
+REPLACE_BY_KEY = with_views("""SELECT CAST(created AS DATE) AS day, tpartnr, CAST(sum(menge) AS BIGINT) AS quantity FROM ledger GROUP BY ALL""", "ledger")
+ROTATE = with_views("""SELECT tpartnr, count(*) AS n, 'kpis' AS report, '04.2026' AS month, 'current' AS version FROM ledger GROUP BY 1
+UNION ALL SELECT tpartnr, count(*), 'kpis', '04.2026', 'previous' FROM ledger WHERE menge < 0 GROUP BY 1""", "ledger")
+FULL_REFRESH = with_views("SELECT lagbez, count(*) AS n FROM ledger GROUP BY ALL", "ledger")
+
+# --- Streams: what the batch reports say ----------------------------------------------------
+
+KPI_BOARD_STREAM = KPI_BOARD
+OPEN_STATE = with_views(" UNION ALL ".join(
+    f"SELECT '{name}' AS kpi, count(*) AS open_starts FROM transport s WHERE {where} AND {still}"
+    for name, (_, where, still) in sorted(OPEN_STARTS.items()) if name != "open_orders"), "transport")
+INGEST_DEDUP = with_views("""SELECT local_transaction_id, sequence, tpartnr FROM ledger GROUP BY ALL""", "ledger")
+SHIFT_WINDOWS = with_views(f"""SELECT time_bucket(INTERVAL 5 MINUTE, created) AS window_start, {shift('created')} AS shift, count(*) AS events
+FROM transport GROUP BY ALL""", "transport")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from datetime import datetime
@@ -14,8 +15,8 @@ from palletrail import config as c
 from palletrail.functions import predicates, rules, text, times
 from palletrail.functions.attributes import json_fields
 from palletrail.operators import enrich, legs, transports
-from palletrail.operators.skew import first_per_key, sequence_index
 from palletrail.plans import hazard, ideas, orders, outlet, quality, receive, sorting, summary, transport, volumes
+from palletrail.session import shared_dir
 from palletrail.sources import readers, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -274,3 +275,220 @@ query("ticket_format", oracle.TICKET_FORMAT, "intake")(
         "ticket", text.ticket_format(text.ticket_number(F.col("ticket")), c.TICKET_PREFIX).alias("ticket_id")))
 query("name_from_mail", oracle.NAME_FROM_MAIL, "scoreboard")(
     lambda board: board.select("mail", text.name_from_mail(F.col("mail")).alias("first_name")))
+
+# --- Single operators over the ledger -------------------------------------------------
+
+YEAR = (datetime(1997, 1, 1), datetime(1997, 12, 31, 23, 59, 59))
+HOW = legs.LegFilter()
+
+
+def tally(df: DataFrame, *columns) -> DataFrame:
+    return df.groupBy(*columns).agg(F.count("*").alias("n"))
+
+
+def all_pairs(ledger: DataFrame, numeric: bool = False) -> DataFrame:
+    return legs.pair_legs(legs.out_legs(ledger, HOW), legs.in_legs(ledger, HOW), numeric)
+
+
+query("read_ledger", oracle.READ_LEDGER, "ledger")(
+    lambda ledger: readers.read_ledger(
+        ledger, *YEAR, columns=["local_transaction_id", "sequence", "tpartnr", "menge", "created"]))
+query("dimension_dedup", oracle.DIMENSION_DEDUP, "brand_dim")(
+    lambda brands: enrich.dimension_dedup(brands, "ean", "brand_name"))
+query("enrich_dimension", oracle.ENRICH, "ledger", "brand_dim")(
+    lambda ledger, brands: enrich.enrich_dimension(
+        tally(ledger, F.col("artnr").alias("ean")), brands, "ean", "brand_name", OVERRIDES, c.NO_BRAND))
+query("select_rename_reorder", oracle.SELECT_RENAME, "ledger")(
+    lambda ledger: enrich.select_rename(
+        ledger, {"artnr": "article", "menge": "quantity", "missing": "missing", "ziel": "place"}))
+
+
+@query("leg_select", oracle.LEG_SELECT, "ledger")
+def leg_select(ledger):
+    outs = legs.out_legs(ledger, HOW).select("good_type", F.lit("out").alias("side"), "quantity")
+    ins = legs.in_legs(ledger, HOW).select("good_type", F.lit("in").alias("side"), F.lit(1).alias("quantity"))
+    return outs.unionByName(ins).groupBy("good_type", "side").agg(
+        F.count("*").alias("n"), F.sum("quantity").alias("quantity"))
+
+
+query("between_window", oracle.BETWEEN_WINDOW, "ledger")(
+    lambda ledger: tally(ledger.where(predicates.between_window(F.col("created"), *YEAR)), "tpartnr"))
+
+REF_FILTERS = {"all": None, "pattern": "ay%", "list": "z1,AY3,7", "value": "z5", "both": "z%,7"}
+
+
+@query("ref_filter", oracle.REF_FILTER, "ledger")
+def ref_filter(ledger):
+    rows = json_fields(ledger, ["reference"])
+    tests = {
+        name: F.lit(True) if wanted is None else predicates.ref_filter(F.col("reference"), wanted)
+        for name, wanted in REF_FILTERS.items()
+    }
+    counts = rows.agg(*[F.count_if(test).alias(name) for name, test in tests.items()])
+    return counts.unpivot([], list(tests), "filter", "n")
+
+
+@query("self_transfer_drop", oracle.SELF_TRANSFER, "ledger")
+def self_transfer_drop(ledger):
+    key = "local_transaction_id"
+    outs = ledger.where("menge < 0").select(key, F.col("lhmnr").alias("source_lhm"))
+    ins = ledger.where("menge = 1").select(key, F.col("lhmnr").alias("ziel_lhm"))
+    kept = outs.join(ins, key).where(predicates.self_transfer_drop(F.col("source_lhm"), F.col("ziel_lhm")))
+    return tally(kept, "source_lhm", "ziel_lhm")
+
+
+query("numeric_target", oracle.NUMERIC_TARGET, "ledger")(
+    lambda ledger: tally(ledger.where(predicates.numeric_target(F.col("lhmnr"))), "lhmnr"))
+query("prefix_guard", oracle.PREFIX_GUARD, "ledger")(
+    lambda ledger: tally(
+        ledger.where(predicates.has_prefix(F.col("lhmnr"), ("4", "5")) & ~F.col("lhmnr").like("000%")), "lhmnr"))
+
+
+@query("report_predicate", oracle.REPORT_PREDICATE, "ledger")
+def report_predicate(ledger):
+    rows = receive.booking_detail_numeric(ledger)
+    counts = rows.agg(*[
+        F.count_if(predicates.report_predicate(report.where)).alias(name) for name, report in c.MONTHLY_REPORTS.items()])
+    return counts.unpivot([], list(c.MONTHLY_REPORTS), "report", "n")
+
+
+query("ean_two_step", oracle.EAN_TWO, "ledger")(lambda ledger: tally(receive.booking_detail_numeric(ledger), "ean"))
+query("ean_three_step", oracle.EAN_THREE, "ledger")(lambda ledger: tally(sorting.manual_sorting(ledger), "ean"))
+query("by_origin_field", oracle.BY_ORIGIN, "ledger")(
+    lambda ledger: tally(receive.booking_detail_numeric(ledger), "sku", "sort_id"))
+query("pair_legs", oracle.PAIR_LEGS, "ledger")(
+    lambda ledger: all_pairs(ledger).groupBy("good_type", "source_lhm", "ziel_lhm")
+    .agg(F.count("*").alias("pairs"), F.sum("quantity").alias("quantity")))
+query("pair_legs_sequenced", oracle.PAIR_SEQUENCED, "ledger")(
+    lambda ledger: legs.pair_legs_sequenced(ledger, HOW).groupBy("good_type", "source_lhm", "ziel_lhm")
+    .agg(F.count("*").alias("pairs")))
+query("union_goods", oracle.UNION_GOODS, "ledger")(
+    lambda ledger: legs.pair_totals(legs.out_legs(ledger, HOW), legs.in_legs(ledger, HOW), ["good_type"], [])
+    .groupBy("good_type").agg(F.sum("pairs").alias("pairs"), F.sum("quantity").alias("quantity")))
+
+
+@query("sequence_index", oracle.SEQUENCE_INDEX, "ledger")
+def numbered_legs(ledger):
+    outs, _ = legs.sorting_legs(ledger, HOW)
+    return legs.number_dummies(outs).where("good_type = 'DUMMY'").select(
+        "local_transaction_id", "sequence", "artnr", "created", "rn")
+
+
+query("kpi_pivot", oracle.UPH_KPIS, "ledger")(receive.uph_kpis)
+query("kpi_pivot_user", oracle.UPH_KPIS_BY_USER, "ledger")(receive.uph_kpis_by_user)
+query("volume_by_day", oracle.RECEIVE_VOLUME, "ledger")(receive.receive_volume)
+query("report_sort", oracle.REPORT_SORT, "ledger")(receive.shift_report)
+query("json_fields", oracle.JSON_FIELDS, "ledger")(
+    lambda ledger: tally(json_fields(ledger), *c.ATTRIBUTE_KEYS))
+query("grade_single", oracle.GRADE_SINGLE, "ledger")(
+    lambda ledger: tally(all_pairs(ledger).where("good_type = 'NORMAL'"), receive.quality().alias("quality")))
+query("grade_dual", oracle.GRADE_DUAL, "ledger")(
+    lambda ledger: tally(all_pairs(ledger).where("good_type = 'DUMMY'"), receive.quality().alias("quality")))
+
+
+@query("grade_plain", oracle.GRADE_PLAIN, "ledger")
+def grade_plain(ledger):
+    code = F.col("grade_sector")
+    return tally(json_fields(ledger, ["grade_sector"]), code.alias("code"), rules.grade_plain(code).alias("grade"),
+                 rules.grade_plain(code, None).alias("grade_or_null"))
+
+
+query("category_map", oracle.CATEGORY_MAP, "ledger")(
+    lambda ledger: tally(
+        all_pairs(ledger), receive.category().alias("category"), receive.category(True).alias("first_leg"),
+        rules.category_map(F.col("out_category_id"), None).alias("or_null")))
+query("source_channel_map", oracle.SOURCE_MAP, "ledger")(
+    lambda ledger: tally(
+        all_pairs(ledger), receive.source_channel().alias("source_channel"),
+        rules.source_channel_map(F.col("out_source_id"), c.SORTING_SOURCE_DEFAULT).alias("sorting_channel")))
+query("distribution_rules", oracle.DISTRIBUTION, "ledger")(
+    lambda ledger: tally(
+        all_pairs(ledger), *[receive.distribution_channel(name).alias(name) for name in ("base", "detail", "kpi")]))
+query("shift_of", oracle.SHIFT_OF, "ledger")(
+    lambda ledger: tally(
+        ledger, times.shift_of(F.col("created")).alias("shift"),
+        F.when(times.in_shift(times.seconds_of_day(F.col("created")), c.ORDER_SHIFT_ONE), 1).otherwise(2)
+        .alias("order_shift"),
+        times.shift_of(F.col("created"), zone=c.SITE_ZONE).alias("local_shift")))
+query("date_parts", oracle.DATE_PARTS, "ledger")(
+    lambda ledger: tally(
+        ledger, times.iso_day(F.col("created")).alias("iso_day"), times.day_text(F.col("created")).alias("day_text"),
+        times.month_key(F.col("created")).alias("month_key"), times.stamp_text(F.col("created")).alias("stamp_text"),
+        times.stamp_to_date(times.stamp_text(F.col("created"))).alias("day")))
+
+
+def ship_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.to_date("l_shipdate").alias("day")).distinct()
+
+
+def utc_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start, end = times.utc_window(F.col("day"))
+    return ship_days(spark, sf_dir).select("day", start.alias("start_utc"), end.alias("end_utc"))
+
+
+def month_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start, end, month = times.month_window(F.col("day"))
+    return ship_days(spark, sf_dir).select(
+        start.alias("start_utc"), end.alias("end_utc"), month.alias("month")).distinct()
+
+
+def week_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ship_days(spark, sf_dir).select("day", times.week_number(F.col("day")).alias("week"))
+
+
+QUERIES["utc_window"], ORACLE["utc_window"] = utc_window, oracle.UTC_WINDOW
+QUERIES["month_window"], ORACLE["month_window"] = month_window, oracle.MONTH_WINDOW
+QUERIES["week_number"], ORACLE["week_number"] = week_number, oracle.WEEK_NUMBER
+
+query("num_clean", oracle.NUM_CLEAN, "stock_volume")(
+    lambda stock: tally(stock, "volume_text", text.num_clean(F.col("volume_text")).alias("volume")))
+query("null_to_blank", oracle.NULL_TO_BLANK, "stock")(
+    lambda stock: tally(
+        stock, text.null_to_blank(F.col("sublhm")).alias("sublhm"), text.null_to_blank(F.col("quality")).alias("quality"),
+        text.null_to_zero(F.when(F.col("quality") == "A", 1)).alias("is_a")))
+query("basic_scalars", oracle.BASIC_SCALARS, "ledger")(
+    lambda ledger: ledger.groupBy(
+        F.upper("ziel").alias("upper_ziel"), F.lower("lagbez").alias("lower_lagbez"),
+        F.trim(F.concat(F.lit(" "), "lhmnr", F.lit(" "))).alias("trimmed"), F.instr("ziel", "_").alias("position"),
+        F.concat(F.lit("KF_"), "ziel").alias("joined")).agg(F.sum(F.abs("menge")).alias("quantity")))
+query("run_summary", oracle.RUN_SUMMARY, "ledger", "stock")(
+    lambda ledger, stock: summary.run_summary(
+        {"bookings": (receive.booking_detail(ledger), "quantity"),
+         "stock": (outlet.unpivot_carriers(stock, "artnr", "quality"), None)}, AS_OF))
+
+# --- Sinks: each is run twice and read back ------------------------------------------------
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def replace_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "replace")
+    days = spark_view(spark, sf_dir, "ledger").groupBy(F.year("created").alias("year"), F.to_date("created").alias("day"),
+                                                       "tpartnr").agg(F.sum("menge").alias("quantity"))
+    sinks.replace_by_key(days.withColumn("quantity", F.lit(0).cast("bigint")), path, "year")
+    sinks.replace_by_key(days, path, "year")
+    sinks.replace_by_key(days.where("false"), path, "year")
+    return spark.read.parquet(path).select("day", "tpartnr", "quantity")
+
+
+def rotate_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, ledger = new_folder(spark, "rotate"), spark_view(spark, sf_dir, "ledger")
+    runs = (ledger.where("menge > 0"), ledger.where("menge < 0"), ledger)
+    for rows in runs:
+        sinks.rotate_snapshot(tally(rows, "tpartnr"), path, "kpis", "04.2026")
+    return spark.read.option("basePath", path).schema(
+        "tpartnr int, n bigint, report string, month string, version string").parquet(path)
+
+
+def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, ledger = new_folder(spark, "refresh"), spark_view(spark, sf_dir, "ledger")
+    sinks.full_refresh(tally(ledger, "tpartnr"), path)
+    sinks.full_refresh(tally(ledger, "lagbez"), path)
+    return spark.read.parquet(path)
+
+
+QUERIES["replace_by_key"], ORACLE["replace_by_key"] = replace_by_key, oracle.REPLACE_BY_KEY
+QUERIES["rotate_snapshot"], ORACLE["rotate_snapshot"] = rotate_snapshot, oracle.ROTATE
+QUERIES["full_refresh"], ORACLE["full_refresh"] = full_refresh, oracle.FULL_REFRESH

@@ -73,9 +73,9 @@ def _first_movements(events: DataFrame, routes: Sequence[Route]) -> DataFrame:
 
 
 def interval_congestion(windows: DataFrame, events: DataFrame, routes: Sequence[Route]) -> DataFrame:
-    """Add one count per route to ``windows``.
+    """Add one count per route to ``windows``, whose rows must be distinct.
 
-    ``windows``: ``day``, ``start`` and ``end`` in seconds of the day, and anything else.
+    ``windows``: ``day``, ``start`` and ``end`` in seconds of the day, and what names the window.
     ``events``: ``day``, ``second``, ``carrier``, ``from_place``, ``to_place``, ``carrier_type``.
     Bounds are excluded, or included for routes that say so.
     """
@@ -84,12 +84,10 @@ def interval_congestion(windows: DataFrame, events: DataFrame, routes: Sequence[
     size = F.pow(F.lit(FAN), F.col("level"))
     cells = (
         _first_movements(events, routes)
-        .groupBy("day", "second", "previous")
-        .agg(*[F.count_if(F.col("route") == name).alias(name) for name in names])
-        .select("day", "second", F.col("previous").alias("at"), *names, level)
+        .select("day", "second", F.col("previous").alias("at"), "route", level)
         .withColumn("block", F.floor(F.col("second") / size).cast("bigint"))
         .groupBy(*BLOCK, "at")
-        .agg(*[F.sum(name).alias(name) for name in names])
+        .agg(*[F.count_if(F.col("route") == name).alias(name) for name in names])
     )
 
     # Seconds the windows cover, once without and once with their bounds.
@@ -99,14 +97,13 @@ def interval_congestion(windows: DataFrame, events: DataFrame, routes: Sequence[
                  (F.col("end") - (0 if inclusive else 1)).cast("bigint").alias("last"))
         for inclusive in sorted({route.inclusive for route in routes})]))
     asked = (
-        windows.select("day", "start", "end").where("start is not null and end is not null").distinct()
-        .select("day", "start", "end", kinds.alias("kind"))
-        .select("day", "start", "end", "kind.inclusive", (F.col("kind.first") - 1).alias("at"),
-                F.explode(window_blocks(F.col("kind.first"), F.col("kind.last"))).alias("piece"))
-        .select("day", "start", "end", "inclusive", "at", "piece.level", "piece.block")
+        windows.select("*", kinds.alias("_kind"))
+        .select(*windows.columns, "_kind.inclusive", (F.col("_kind.first") - 1).alias("at"),
+                F.explode_outer(window_blocks(F.col("_kind.first"), F.col("_kind.last"))).alias("_piece"))
+        .select(*windows.columns, "inclusive", "at", "_piece.level", "_piece.block")
     )
 
-    probes = asked.select(*BLOCK, "at").distinct()
+    probes = asked.select(*BLOCK, "at").where("block is not null").distinct()
     zeros = [F.lit(0).cast("bigint").alias(name) for name in names]
     lined_up = cells.select(*BLOCK, "at", *names, F.lit(False).alias("probe")).unionByName(
         probes.select(*BLOCK, "at", *zeros, F.lit(True).alias("probe")))
@@ -115,11 +112,11 @@ def interval_congestion(windows: DataFrame, events: DataFrame, routes: Sequence[
         lined_up.withColumns({name: F.sum(name).over(so_far) for name in names})
         .where("probe").drop("probe")
     )
-    counts = (
-        asked.join(answers, [*BLOCK, "at"])
-        .groupBy("day", "start", "end")
-        .agg(*[F.sum(F.when(F.col("inclusive") == route.inclusive, F.col(route.name))).alias(route.name)
-               for route in routes])
+    counts = {
+        route.name: F.sum(F.when(F.col("inclusive") == route.inclusive, F.col(route.name))) for route in routes
+    }
+    return (
+        asked.join(answers, [*BLOCK, "at"], "left")
+        .groupBy(*windows.columns)
+        .agg(*[F.coalesce(count, F.lit(0).cast("bigint")).alias(name) for name, count in counts.items()])
     )
-    return windows.join(counts, ["day", "start", "end"], "left").withColumns(
-        {name: F.coalesce(name, F.lit(0).cast("bigint")) for name in names})
