@@ -543,8 +543,8 @@ FULL_REFRESH = with_views("SELECT lagbez, count(*) AS n FROM ledger GROUP BY ALL
 
 KPI_BOARD_STREAM = KPI_BOARD
 OPEN_STATE = with_views(" UNION ALL ".join(
-    f"SELECT '{name}' AS kpi, count(*) AS open_starts FROM transport s WHERE {where} AND {still}"
-    for name, (_, where, still) in sorted(OPEN_STARTS.items()) if name != "open_orders"), "transport")
+    f"SELECT '{name}' AS kpi, {number} AS open_starts FROM transport s WHERE {where} AND {still}"
+    for name, (number, where, still) in sorted(OPEN_STARTS.items())), "transport")
 INGEST_DEDUP = with_views("""SELECT local_transaction_id, sequence, tpartnr FROM ledger GROUP BY ALL""", "ledger")
-SHIFT_WINDOWS = with_views(f"""SELECT time_bucket(INTERVAL 5 MINUTE, created) AS window_start, {shift('created')} AS shift, count(*) AS events
-FROM transport GROUP BY ALL""", "transport")
+SHIFT_WINDOWS = with_views(f"""SELECT time_bucket(INTERVAL 5 MINUTE, created) AS window_start, {shift('created')} AS shift, count(*) AS events,
+ CAST(sum(abs(menge)) AS BIGINT) AS quantity FROM ledger GROUP BY ALL""", "ledger")

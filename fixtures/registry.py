@@ -10,7 +10,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fixtures import oracle
-from fixtures.views import spark_view
+from fixtures.views import spark_view, stream_table
 from palletrail import config as c
 from palletrail.functions import predicates, rules, text, times
 from palletrail.functions.attributes import json_fields
@@ -18,6 +18,7 @@ from palletrail.operators import enrich, legs, transports
 from palletrail.plans import hazard, ideas, orders, outlet, quality, receive, sorting, summary, transport, volumes
 from palletrail.session import shared_dir
 from palletrail.sources import readers, sinks
+from palletrail.streaming import board, changes, ingest, open_state
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -492,3 +493,40 @@ def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["replace_by_key"], ORACLE["replace_by_key"] = replace_by_key, oracle.REPLACE_BY_KEY
 QUERIES["rotate_snapshot"], ORACLE["rotate_snapshot"] = rotate_snapshot, oracle.ROTATE
 QUERIES["full_refresh"], ORACLE["full_refresh"] = full_refresh, oracle.FULL_REFRESH
+
+# --- Streams: run over the files there are, then read back ----------------------------------
+
+
+def kpi_board_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, events = new_folder(spark, "board"), spark_view(spark, sf_dir, "transport", stream_table)
+    changes.run_available(board.kpi_board_stream(events, folder, lambda: AS_OF), f"{folder}/checkpoint")
+    return board.read_board(spark, folder)
+
+
+def open_transport_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, events = new_folder(spark, "open"), spark_view(spark, sf_dir, "transport", stream_table)
+    writer = open_state.open_transport_state(events).writeStream.outputMode("update").foreachBatch(
+        lambda rows, epoch: changes.write_epoch(rows, f"{folder}/changes", epoch))
+    changes.run_available(writer, f"{folder}/checkpoint")
+    return open_state.open_counts(spark, f"{folder}/changes", AS_OF)
+
+
+def ledger_ingest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, events = new_folder(spark, "ingest"), spark_view(spark, sf_dir, "ledger", stream_table)
+    writer = ingest.ledger_ingest_dedup(events).writeStream.format("parquet").option("path", f"{folder}/ledger")
+    changes.run_available(writer, f"{folder}/checkpoint")
+    return spark.read.parquet(f"{folder}/ledger").select(*ingest.ROW_KEY)
+
+
+def shift_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, events = new_folder(spark, "windows"), spark_view(spark, sf_dir, "ledger", stream_table)
+    writer = ingest.shift_window_counts(events).writeStream.outputMode("update").foreachBatch(
+        lambda rows, epoch: changes.write_epoch(rows, f"{folder}/changes", epoch))
+    changes.run_available(writer, f"{folder}/checkpoint")
+    return changes.latest(spark, f"{folder}/changes", ["window_start", "shift"])
+
+
+QUERIES["kpi_board_stream"], ORACLE["kpi_board_stream"] = kpi_board_stream, oracle.KPI_BOARD_STREAM
+QUERIES["open_transport_state"], ORACLE["open_transport_state"] = open_transport_state, oracle.OPEN_STATE
+QUERIES["ledger_ingest_dedup"], ORACLE["ledger_ingest_dedup"] = ledger_ingest_dedup, oracle.INGEST_DEDUP
+QUERIES["shift_window_counts"], ORACLE["shift_window_counts"] = shift_window_counts, oracle.SHIFT_WINDOWS

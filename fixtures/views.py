@@ -210,12 +210,18 @@ def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return df.repartition(cores, *SPREAD[table])
 
 
-def spark_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The view as a DataFrame over the parquet files in ``sf_dir``."""
+def stream_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """The table as a file stream."""
+    schema = spark.read.parquet(f"{sf_dir}/{table}.parquet").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{table}*.parquet").parquet(sf_dir)
+
+
+def spark_view(spark: SparkSession, sf_dir: str, name: str, read=read_table) -> DataFrame:
+    """The view as a DataFrame, or as a stream, over the parquet files in ``sf_dir``."""
     sql = view_sql(name, "spark")
     for table in ("lineitem", "orders", "events", "part", "documents", "customer"):
         if re.search(rf"\b{table}\b", sql):
-            read_table(spark, sf_dir, table).createOrReplaceTempView(f"fixture_{table}")
+            read(spark, sf_dir, table).createOrReplaceTempView(f"fixture_{table}")
             sql = re.sub(rf"\b{table}\b", f"fixture_{table}", sql)
     return spark.sql(sql)
 
