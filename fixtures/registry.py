@@ -10,7 +10,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fixtures import oracle
-from fixtures.views import spark_view, stream_table
+from fixtures.views import spark_view, stream_view
 from palletrail import config as c
 from palletrail.functions import predicates, rules, text, times
 from palletrail.functions.attributes import json_fields
@@ -22,6 +22,7 @@ from palletrail.streaming import board, changes, ingest, open_state
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+VIEWS_OF: dict[str, tuple[str, ...]] = {}
 
 OVERRIDES = {"200000007": "Dummy Home B", "200000013": "Dummy Shoes All"}
 
@@ -30,6 +31,7 @@ def query(name: str, sql: str | None, *views: str):
     """Register a function of the named views under ``name``."""
 
     def register(build: Callable[..., DataFrame]):
+        VIEWS_OF[name] = views
         QUERIES[name] = lambda spark, sf_dir: build(*[spark_view(spark, sf_dir, view) for view in views])
         if sql is not None:
             ORACLE[name] = sql
@@ -269,6 +271,7 @@ def notification_outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ideas.notification_outbox(spark_view(spark, sf_dir, "intake"), sent)
 
 
+VIEWS_OF["notification_outbox"] = ("intake",)
 QUERIES["notification_outbox"], ORACLE["notification_outbox"] = notification_outbox, oracle.NOTIFICATION_OUTBOX
 query("reward_digest", oracle.REWARD_DIGEST, "scoreboard")(ideas.reward_digest)
 query("ticket_format", oracle.TICKET_FORMAT, "intake")(
@@ -498,13 +501,13 @@ QUERIES["full_refresh"], ORACLE["full_refresh"] = full_refresh, oracle.FULL_REFR
 
 
 def kpi_board_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, events = new_folder(spark, "board"), spark_view(spark, sf_dir, "transport", stream_table)
+    folder, events = new_folder(spark, "board"), stream_view(spark, sf_dir, "transport")
     changes.run_available(board.kpi_board_stream(events, folder, lambda: AS_OF), f"{folder}/checkpoint")
     return board.read_board(spark, folder)
 
 
 def open_transport_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, events = new_folder(spark, "open"), spark_view(spark, sf_dir, "transport", stream_table)
+    folder, events = new_folder(spark, "open"), stream_view(spark, sf_dir, "transport")
     writer = open_state.open_transport_state(events).writeStream.outputMode("update").foreachBatch(
         lambda rows, epoch: changes.write_epoch(rows, f"{folder}/changes", epoch))
     changes.run_available(writer, f"{folder}/checkpoint")
@@ -512,14 +515,14 @@ def open_transport_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ledger_ingest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, events = new_folder(spark, "ingest"), spark_view(spark, sf_dir, "ledger", stream_table)
+    folder, events = new_folder(spark, "ingest"), stream_view(spark, sf_dir, "ledger")
     writer = ingest.ledger_ingest_dedup(events).writeStream.format("parquet").option("path", f"{folder}/ledger")
     changes.run_available(writer, f"{folder}/checkpoint")
     return spark.read.parquet(f"{folder}/ledger").select(*ingest.ROW_KEY)
 
 
 def shift_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, events = new_folder(spark, "windows"), spark_view(spark, sf_dir, "ledger", stream_table)
+    folder, events = new_folder(spark, "windows"), stream_view(spark, sf_dir, "ledger")
     writer = ingest.shift_window_counts(events).writeStream.outputMode("update").foreachBatch(
         lambda rows, epoch: changes.write_epoch(rows, f"{folder}/changes", epoch))
     changes.run_available(writer, f"{folder}/checkpoint")

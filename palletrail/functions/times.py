@@ -74,9 +74,8 @@ def stamp_to_date(text: Column) -> Column:
 
 def stamp_to_seconds(text: Column) -> Column:
     """Second of the day from the last eight characters, ``HH:mm:ss``."""
-    clock = F.split(F.right(text, F.lit(8)), ":")
-    part = [clock.getItem(i).try_cast("int") for i in range(3)]
-    return part[0] * 3600 + part[1] * 60 + part[2]
+    hour, minute, second = (F.substring(text, at, 2).try_cast("int") for at in (-8, -5, -2))
+    return hour * 3600 + minute * 60 + second
 
 
 def week_number(day: Column) -> Column:

@@ -22,35 +22,40 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from palletrail.config import Route
 
-FAN = 4
+SHIFT = 2
+FAN = 1 << SHIFT
 LEVELS = 9  # FAN ** LEVELS > 86400 + 2
 BLOCK = ["day", "level", "block"]
 
 
 def _span(first: Column, last: Column) -> Column:
-    none = F.array().cast("array<bigint>")
-    return F.when(first <= last, F.sequence(first, last)).otherwise(none)
+    return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
 
 
-def _with_level(blocks: Column, level: int) -> Column:
-    return F.transform(blocks, lambda block: F.struct(F.lit(level).alias("level"), block.alias("block")))
+def each_level(df: DataFrame) -> DataFrame:
+    return df.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))))
 
 
-def window_blocks(first: Column, last: Column) -> Column:
-    """Blocks that exactly cover the seconds ``first`` to ``last``, both included."""
+def with_blocks(windows: DataFrame) -> DataFrame:
+    """Blocks that together exactly cover the seconds ``first`` to ``last`` of each row.
 
-    def bounds(level: int) -> tuple[Column, Column]:
-        size = FAN**level
-        return (F.ceil(first / size).cast("bigint"), (F.floor((last + 1) / size) - 1).cast("bigint"))
-
-    parts = []
-    for level in range(LEVELS):
-        low, high = bounds(level)
-        up_low, up_high = bounds(level + 1)
-        edges = F.concat(_span(low, up_low * FAN - 1), _span((up_high + 1) * FAN, high))
-        blocks = F.when(up_low <= up_high, edges).otherwise(_span(low, high))
-        parts.append(_with_level(blocks, level))
-    return F.concat(*parts)
+    Of each level, those whole blocks are taken that no whole block of the next level
+    covers.  A row that covers no second at all keeps one row without a block.
+    """
+    bounds = each_level(windows).withColumns({
+        "_low": F.expr(f"shiftright(first + shiftleft(1L, {SHIFT} * level) - 1, {SHIFT} * level)"),
+        "_high": F.expr(f"shiftright(last + 1, {SHIFT} * level) - 1"),
+        "_up_low": F.expr(f"shiftright(first + shiftleft(1L, {SHIFT} * (level + 1)) - 1, {SHIFT} * (level + 1)) * {FAN}"),
+        "_up_high": F.expr(f"shiftright(last + 1, {SHIFT} * (level + 1)) * {FAN} - 1"),
+    })
+    low, high, up_low, up_high = (F.col(name) for name in ("_low", "_high", "_up_low", "_up_high"))
+    edges = F.concat(_span(low, up_low - 1), _span(up_high + 1, high))
+    blocks = F.when(up_low <= up_high, edges).otherwise(_span(low, high))
+    return (
+        bounds.withColumn("block", F.explode_outer(blocks))
+        .where("block is not null or level = 0")
+        .drop("_low", "_high", "_up_low", "_up_high")
+    )
 
 
 def route_test(route: Route) -> Column:
@@ -64,11 +69,10 @@ def route_test(route: Route) -> Column:
 
 def _first_movements(events: DataFrame, routes: Sequence[Route]) -> DataFrame:
     """Distinct movements per day, route, carrier and second, with the previous second."""
-    names = F.filter(
-        F.array(*[F.when(route_test(route), F.lit(route.name)) for route in routes]), lambda name: name.isNotNull())
+    names = F.array(*[F.when(route_test(route), F.lit(route.name)) for route in routes])
     moves = events.select("day", "carrier", F.col("second").cast("bigint").alias("second"), F.explode(names).alias("route"))
     before = Window.partitionBy("day", "route", "carrier").orderBy("second")
-    return moves.where("second is not null").distinct().withColumn(
+    return moves.where("route is not null and second is not null").distinct().withColumn(
         "previous", F.coalesce(F.lag("second").over(before), F.lit(-2).cast("bigint")))
 
 
@@ -80,12 +84,9 @@ def interval_congestion(windows: DataFrame, events: DataFrame, routes: Sequence[
     Bounds are excluded, or included for routes that say so.
     """
     names = [route.name for route in routes]
-    level = F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))).alias("level")
-    size = F.pow(F.lit(FAN), F.col("level"))
     cells = (
-        _first_movements(events, routes)
-        .select("day", "second", F.col("previous").alias("at"), "route", level)
-        .withColumn("block", F.floor(F.col("second") / size).cast("bigint"))
+        each_level(_first_movements(events, routes).withColumnRenamed("previous", "at"))
+        .withColumn("block", F.expr(f"shiftright(second, {SHIFT} * level)"))
         .groupBy(*BLOCK, "at")
         .agg(*[F.count_if(F.col("route") == name).alias(name) for name in names])
     )
@@ -96,12 +97,9 @@ def interval_congestion(windows: DataFrame, events: DataFrame, routes: Sequence[
                  (F.col("start") + (0 if inclusive else 1)).cast("bigint").alias("first"),
                  (F.col("end") - (0 if inclusive else 1)).cast("bigint").alias("last"))
         for inclusive in sorted({route.inclusive for route in routes})]))
-    asked = (
-        windows.select("*", kinds.alias("_kind"))
-        .select(*windows.columns, "_kind.inclusive", (F.col("_kind.first") - 1).alias("at"),
-                F.explode_outer(window_blocks(F.col("_kind.first"), F.col("_kind.last"))).alias("_piece"))
-        .select(*windows.columns, "inclusive", "at", "_piece.level", "_piece.block")
-    )
+    spans = windows.select("*", kinds.alias("_kind")).select(
+        *windows.columns, "_kind.inclusive", "_kind.first", "_kind.last", (F.col("_kind.first") - 1).alias("at"))
+    asked = with_blocks(spans).drop("first", "last")
 
     probes = asked.select(*BLOCK, "at").where("block is not null").distinct()
     zeros = [F.lit(0).cast("bigint").alias(name) for name in names]
