@@ -11,7 +11,7 @@ TRACKED_KEYS = 20_000
 HOT_ROWS = 20_000
 
 # Largest table sent whole to every executor, by the optimizer's own size estimate.
-BROADCAST_BYTES = 64 << 20
+BROADCAST_BYTES = 32 << 20
 
 
 def hot_keys(df: DataFrame, key: str, at_least: int = HOT_ROWS) -> list[str]:

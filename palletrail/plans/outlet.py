@@ -151,15 +151,22 @@ def clarified_items(ledger: DataFrame, stock: DataFrame, start: datetime | None,
 
 def outlet_booking(ledger: DataFrame, stock: DataFrame, start: datetime | None = None, end: datetime | None = None,
                    own_grade_only: bool = False) -> DataFrame:
-    """Items per day, shift and carrier with their grade; stock knows best, then the fallbacks."""
-    items = net_items(ledger, start, end).unionByName(clarified_items(ledger, stock, start, end, own_grade_only))
+    """Items per day, shift and carrier with their grade; stock knows best, then the fallbacks.
+
+    The stock grade is joined before the two kinds of items are put together: the booked
+    items are still spread by carrier and article then, so they are not shuffled again.
+    """
     grades = best_grade_dedup(stock).select("lc", F.col("artnr").alias("ean"), "quality")
-    named = items.join(grades, ["lc", "ean"], "left").select(
-        "date", "shift", F.col("lc").alias("hus"), "category", "sort_id",
-        F.coalesce("quality", "fallback").alias("quality"),
-        rules.clarification_flag(F.col("origin")).alias("clarification"), "quantity")
-    keys = [name for name in named.columns if name != "quantity"]
-    return having_positive(named, keys, "quantity", "items")
+    kinds = [net_items(ledger, start, end), clarified_items(ledger, stock, start, end, own_grade_only)]
+    named = [
+        items.join(grades, ["lc", "ean"], "left").select(
+            "date", "shift", F.col("lc").alias("hus"), "category", "sort_id",
+            F.coalesce("quality", "fallback").alias("quality"),
+            rules.clarification_flag(F.col("origin")).alias("clarification"), "quantity")
+        for items in kinds
+    ]
+    keys = [name for name in named[0].columns if name != "quantity"]
+    return having_positive(named[0].unionByName(named[1]), keys, "quantity", "items")
 
 
 def having_positive(rows: DataFrame, keys: list[str], measure: str, name: str) -> DataFrame:

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from palletrail import config as c
-from palletrail.functions.predicates import stamp
+from palletrail.functions.predicates import rolling_window, stamp
 from palletrail.operators.transports import closings, count_open, ended, start_predicate
 
 BY_NAME = {kpi.name: kpi for kpi in c.TRANSPORT_KPIS}
@@ -33,7 +33,10 @@ def kpi_board(ledger: DataFrame, as_of: datetime, kpis: Sequence[c.TransportKpi]
     if len(tokens) > 1:
         raise ValueError("the board counts distinct values of one column only")
     token = next(iter(tokens), None)
-    rows = ledger.where(any_kpi).select(
+    # Stated apart from the KPIs' own conditions, so that the scan can skip by type and time.
+    started = (F.col("typ_id") == c.EVENT_STARTED) & rolling_window(
+        F.col("created"), as_of, max(kpi.days for kpi in kpis))
+    rows = ledger.where(started).where(any_kpi).select(
         "transportlhmnr", "lhmnr", "zug_id", "created",
         (F.col(token) if token else F.lit(None).cast("string")).alias("token"),
         *[flag.alias(f"is_{name}") for name, flag in flags.items()])

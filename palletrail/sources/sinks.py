@@ -14,8 +14,10 @@ def replace_by_key(df: DataFrame, path: str, key: str) -> None:
     """Replace the stored rows of the key values found in ``df``, and no others.
 
     The key is the partition column, so no stored row is read.  No rows, no change.
+    Rows are gathered by key first, for few files; a value with very many rows is still
+    written by several tasks.
     """
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+    df.hint("rebalance", F.col(key)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
