@@ -22,7 +22,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def plain(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else float(f"{value:.10g}")
+        return None if math.isnan(value) else value
     if isinstance(value, Decimal):
         return float(value)
     if isinstance(value, datetime):
