@@ -367,7 +367,8 @@ query("pair_legs_sequenced", oracle.PAIR_SEQUENCED, "ledger")(
     lambda ledger: legs.pair_legs_sequenced(ledger, HOW).groupBy("good_type", "source_lhm", "ziel_lhm")
     .agg(F.count("*").alias("pairs")))
 query("union_goods", oracle.UNION_GOODS, "ledger")(
-    lambda ledger: legs.pair_totals(legs.out_legs(ledger, HOW), legs.in_legs(ledger, HOW), ["good_type"], [])
+    lambda ledger: legs.pair_totals(legs.out_legs(ledger, HOW), legs.in_legs(ledger, HOW), [], ["good_type"], [],
+                                    {"good_type": F.col("good_type")})
     .groupBy("good_type").agg(F.sum("pairs").alias("pairs"), F.sum("quantity").alias("quantity")))
 
 

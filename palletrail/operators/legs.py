@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -96,52 +96,63 @@ def pair_legs(outs: DataFrame, ins: DataFrame, numeric_target: bool = False) ->
 
 
 def pair_totals(
-    outs: DataFrame, ins: DataFrame, out_columns: Sequence[str], in_columns: Sequence[str],
-    numeric_target: bool = False, hot_rows: int = HOT_ROWS,
+    outs: DataFrame, ins: DataFrame, place: Sequence[str], rule_out: Sequence[str], rule_in: Sequence[str],
+    described: Mapping[str, Column], numeric_target: bool = False, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Quantity and number of pairs by columns of both legs, without the carriers.
+    """Quantity and number of pairs by columns of the out leg and by what both legs say together.
 
-    Same pairs as :func:`pair_legs`, meant for reports that sum them up.  Transactions
-    with few legs are joined.  In a transaction with very many legs the pairs are counted
-    instead of built: all pairs of its groups, less those that stay on one carrier, so
-    the work grows with its legs and not with their product.
+    Same pairs as :func:`pair_legs`, for reports that sum them up.  ``place`` are columns of
+    the out leg that are kept, ``described`` are expressions over ``rule_out`` and ``rule_in``.
+
+    Transactions with few legs are joined.  In a transaction with very many legs the pairs
+    are counted instead of built: all pairs of its groups, less those that stay on one
+    carrier.  Its distinct rule values are described first, once per combination, so that
+    the legs then meet a handful of descriptions, and the work grows with the legs and not
+    with their product.  Groups whose pairs cancel out remain, with 0 pairs in total.
     """
-    one_pair = F.lit(1).cast("bigint").alias("pairs")
-    by = [*out_columns, *in_columns]
-    flags = list(dict.fromkeys([*in_columns, "to_numeric"]))
-    outs = outs.select("good_type", KEY, "source_lhm", "quantity", *[x for x in out_columns if x != "good_type"])
-    ins = ins.select("good_type", KEY, "ziel_lhm", *flags)
+    key, measures = ["good_type", KEY], ["quantity", "pairs"]
+    flags = list(dict.fromkeys([*rule_in, "to_numeric"]))
+    rule_out = [name for name in rule_out if name not in key]
+    columns = [*place, *[value.alias(name) for name, value in described.items()]]
+    result = [*place, *described, *measures]
+    outs = outs.select(*key, "source_lhm", "quantity", *place, *rule_out)
+    ins = ins.select(*key, "ziel_lhm", *flags)
+
+    def built(some_outs: DataFrame, some_ins: DataFrame) -> DataFrame:
+        one = F.lit(1).cast("bigint").alias("pairs")
+        return pair_legs(some_outs, some_ins, numeric_target).select(*columns, "quantity", one)
+
     hot = hot_keys(outs, KEY, hot_rows)
     if not hot:
-        return pair_legs(outs, ins, numeric_target).select(*by, "quantity", one_pair)
+        return built(outs, ins)
     hot_outs, few_outs = split_by(outs, hot, KEY)
     hot_ins, few_ins = split_by(ins, hot, KEY)
-
-    few = pair_legs(few_outs, few_ins, numeric_target).select(*by, "quantity", one_pair)
-
-    key = ["good_type", KEY]
-    own = [name for name in out_columns if name not in key]
     if numeric_target:
         hot_ins = hot_ins.where("to_numeric")
-    many_outs = hot_outs.groupBy(*key, "source_lhm", *own).agg(
+
+    many_outs = hot_outs.groupBy(*key, "source_lhm", *place, *rule_out).agg(
         F.sum("quantity").alias("q"), F.count("*").alias("n"))
     many_ins = hot_ins.groupBy(*key, "ziel_lhm", *flags).agg(F.count("*").alias("m"))
-    all_pairs = (
-        many_outs.groupBy(*key, *own).agg(F.sum("q").alias("q"), F.sum("n").alias("n"))
-        .join(many_ins.groupBy(*key, *flags).agg(F.sum("m").alias("m")), key, "left")
-        .where(F.col("m").isNotNull() | (F.lit(not numeric_target) & (F.col("good_type") == "NORMAL")))
-        .withColumn("m", F.coalesce("m", F.lit(1)))
+
+    # What each combination of rule values is worth, with all arrivals of the transaction.
+    combinations = many_outs.select(*key, *rule_out).distinct().join(
+        many_ins.groupBy(*key, *flags).agg(F.sum("m").alias("m")), key, "left")
+    unmatched_stay = F.lit(not numeric_target) & (F.col("good_type") == "NORMAL")
+    worth = (
+        combinations.where(F.col("m").isNotNull() | unmatched_stay)
+        .groupBy(*key, *rule_out, *[value.alias(f"_{name}") for name, value in described.items()])
+        .agg(F.sum(F.coalesce("m", F.lit(1))).alias("m"))
     )
+    per_place = many_outs.groupBy(*key, *place, *rule_out).agg(F.sum("q").alias("q"), F.sum("n").alias("n"))
+    same = [per_place[name].eqNullSafe(worth[name]) for name in [*key, *rule_out]]
+    all_pairs = per_place.join(worth, same).select(
+        *[per_place[name] for name in place], *[F.col(f"_{name}").alias(name) for name in described],
+        (F.col("q") * F.col("m")).alias("quantity"), (F.col("n") * F.col("m")).alias("pairs"))
     same_carrier = (
         many_outs.join(many_ins.withColumnRenamed("ziel_lhm", "source_lhm"), [*key, "source_lhm"])
-        .withColumn("m", -F.col("m"))
+        .select(*columns, (-F.col("q") * F.col("m")).alias("quantity"), (-F.col("n") * F.col("m")).alias("pairs"))
     )
-    counted = [
-        part.select(*by, (F.col("q") * F.col("m")).alias("quantity"), (F.col("n") * F.col("m")).alias("pairs"))
-        for part in (all_pairs, same_carrier)
-    ]
-    # Groups whose pairs cancel out are dropped by the caller's own "pairs > 0".
-    return few.unionByName(counted[0]).unionByName(counted[1])
+    return built(few_outs, few_ins).unionByName(all_pairs.select(*result)).unionByName(same_carrier.select(*result))
 
 
 # Order of a transaction's rows; the columns after the sequence only settle ties.

@@ -81,11 +81,11 @@ def _kpi_report(ledger: DataFrame, how: LegFilter, by_user: bool, labels: Mappin
     )
     ins = in_legs(ledger, how, ("grade_article", "sortable", "category_id", "source_id", "channel_id"))
     place = ["date", "shift", "workstation"] + (["user"] if by_user else [])
-    rows = pair_totals(outs, ins, [*place, *_RULE_OUT], [*_RULE_IN, "to_50", "to_disposal", "to_clarify"],
-                       hot_rows=hot_rows)
-    rows = rows.select(
-        *place, "quantity", "pairs", quality().alias("quality"), category().alias("category"),
-        source_channel(labels).alias("source_channel"), distribution_channel("kpi").alias("distribution_channel"))
+    rows = pair_totals(
+        outs, ins, place, _RULE_OUT, [*_RULE_IN, "to_50", "to_disposal", "to_clarify"],
+        {"quality": quality(), "category": category(), "source_channel": source_channel(labels),
+         "distribution_channel": distribution_channel("kpi")},
+        hot_rows=hot_rows)
     result = kpi_pivot(rows, [*place, "category"], kpi_measures(labels))
     return result.orderBy(F.asc("date"), F.asc_nulls_last("shift"), F.asc_nulls_last("workstation"))
 
@@ -115,13 +115,11 @@ def shift_report(ledger: DataFrame, how: LegFilter = LegFilter(), labels: Mappin
     )
     ins = in_legs(ledger, how)
     rows = pair_totals(
-        outs, ins, ["day", "shift", "reference", "out_sort_id", *_RULE_OUT],
-        ["in_sort_id", *_RULE_IN, "to_50"], numeric_target=True, hot_rows=hot_rows)
-    rows = rows.select(
-        "day", "shift", "reference", "quantity", "pairs",
-        source_channel(labels).alias("source"), quality().alias("quality"),
-        distribution_channel("base").alias("distchannel"), category().alias("category"),
-        rules.by_origin(F.col("good_type"), F.col("out_sort_id"), F.col("in_sort_id")).alias("sortid"))
+        outs, ins, ["day", "shift", "reference"], [*_RULE_OUT, "out_sort_id"], [*_RULE_IN, "in_sort_id", "to_50"],
+        {"source": source_channel(labels), "quality": quality(), "distchannel": distribution_channel("base"),
+         "category": category(),
+         "sortid": rules.by_origin(F.col("good_type"), F.col("out_sort_id"), F.col("in_sort_id"))},
+        numeric_target=True, hot_rows=hot_rows)
     total = (
         rows.groupBy("day", *SHIFT_KEYS[1:])
         .agg(F.sum("quantity").alias("quantity"), F.sum("pairs").alias("pairs"))
@@ -200,10 +198,11 @@ def receive_volume(ledger: DataFrame, how: LegFilter = LegFilter(), hot_rows: in
     outs = out_legs(ledger, how, ("reference", "source_id", "channel_id")).withColumn("day", F.to_date("created"))
     ins = in_legs(ledger, how, ("source_id", "channel_id"))
     rows = pair_totals(
-        outs, ins, ["day", "ziel", "out_source_id", "out_channel_id"],
-        ["in_source_id", "in_channel_id", "to_50", "to_3", "to_5", "to_6"], numeric_target=True, hot_rows=hot_rows)
-    rows = rows.select("day", "ziel", "to_3", "to_5", "to_6", "quantity", "pairs",
-                       distribution_channel("base").alias("distribution_channel"))
+        outs, ins, ["day", "ziel"], ["out_source_id", "out_channel_id"],
+        ["in_source_id", "in_channel_id", "to_50", "to_3", "to_5", "to_6"],
+        {"distribution_channel": distribution_channel("base"), "to_3": F.col("to_3"), "to_5": F.col("to_5"),
+         "to_6": F.col("to_6")},
+        numeric_target=True, hot_rows=hot_rows)
     days = kpi_pivot(rows, ["day"], volume_measures()).orderBy(F.desc("day"))
     return days.select(times.day_text(F.col("day")).alias("date_only"),
                        times.month_key(F.col("day")).alias("year_month"), *volume_measures())

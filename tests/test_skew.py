@@ -53,7 +53,7 @@ def test_counted_pairs_equal_built_pairs(spark, uneven, numeric):
     columns = ["good_type", "out_grade_sector", "in_source_id", "to_50"]
     built = pair_legs(outs, ins, numeric).groupBy(*columns).agg(F.sum("quantity").alias("q"), F.count("*").alias("n"))
     counted = (
-        pair_totals(outs, ins, columns[:2], columns[2:], numeric, hot_rows=50)
+        pair_totals(outs, ins, ["ziel"], columns[:2], columns[2:], {name: F.col(name) for name in columns}, numeric, hot_rows=50)
         .groupBy(*columns).agg(F.sum("quantity").alias("q"), F.sum("pairs").alias("n")).where("n > 0")
     )
     assert Counter(map(tuple, built.collect())) == Counter(map(tuple, counted.collect()))
