@@ -7,7 +7,7 @@ A carrier counts once per window: at its first movement inside, which is the mov
 whose previous one (same day, route and carrier) is not inside.  So the number asked for
 is the number of movements with a time inside the window and a previous time before it.
 
-The seconds of a day are grouped in a tree: blocks of 1, 4, 16, ... seconds.  Every
+The seconds of a day are grouped in a tree: blocks of 1, 8, 64, ... seconds.  Every
 movement is counted in each block it lies in, together with its previous time; every
 window is cut into the few blocks that make it up.  Per block, a running sum over the
 previous times answers all windows.  A block holds at most one row per second of the day
@@ -22,9 +22,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from palletrail.config import Route
 
-SHIFT = 2
+SHIFT = 3
 FAN = 1 << SHIFT
-LEVELS = 9  # FAN ** LEVELS > 86400 + 2
+LEVELS = 6  # FAN ** LEVELS > 86400 + 2
 BLOCK = ["day", "level", "block"]
 
 

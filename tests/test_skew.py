@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from palletrail import config as c
-from palletrail.operators.congestion import interval_congestion, with_blocks
+from palletrail.operators.congestion import FAN, interval_congestion, with_blocks
 from palletrail.operators.legs import KEY, LegFilter, in_legs, number_dummies, out_legs, pair_legs, pair_totals, sorting_legs
 from palletrail.operators.skew import broadcast_if_small, hot_keys, sequence_index
 from palletrail.plans import receive, sorting
@@ -93,7 +93,7 @@ def test_blocks_cover_a_window_once(spark, first, last):
     frame = spark.createDataFrame([(first, last)], "first bigint, last bigint")
     covered = Counter()
     for row in with_blocks(frame).where("block is not null").collect():
-        size = 4 ** row["level"]
+        size = FAN ** row["level"]
         covered.update(range(row["block"] * size, (row["block"] + 1) * size))
     assert covered == Counter(range(first, last + 1))
 
