@@ -163,25 +163,24 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     sizes = sized(docs, id_col, text_col, source_col)
     key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
+    group = ["k", "s", "none", "size"]
+    of_source = lambda c: (F.coalesce(F.col(c), F.lit("")).alias("s"), F.col(c).isNull().alias("none"))
     shared = taken_words(sizes, **options).where("taken > 0").groupBy("id", "source", "size").agg(
-        F.sum("taken").alias("_taken"), F.count("*").alias("_rows"))
-    share = shared.select(key("id").alias("_k"), F.coalesce("source", F.lit("")).alias("_s"), F.col("source").isNull().alias("_n"),
-                          F.col("size").alias("_size"), F.col("_taken"), F.col("_rows"))
-    keyed = docs.select("*", key(id_col).alias("_k"), F.coalesce(F.col(source_col), F.lit("")).alias("_s"),
-                        F.col(source_col).isNull().alias("_n"), word_count(F.col(text_col)).alias("_size"))
-    joined = keyed.join(share, ["_k", "_s", "_n", "_size"])
-    # Rows with the same id, source and size share what they give evenly; the first ones give one word more.
-    rank = F.row_number().over(Window.partitionBy("_k", "_s", "_n", "_size").orderBy(F.xxhash64(text_col)))
-    joined = joined.withColumn("_own", F.floor(F.col("_taken") / F.col("_rows")) + F.when(
-        rank <= F.col("_taken") % F.col("_rows"), 1).otherwise(0))
-    whole = F.floor(F.col("_own") / F.col("_size"))
-    rest = F.col("_own") - whole * F.col("_size")
+        F.sum("taken").alias("taken"), F.count("*").alias("rows"))
+    shared = shared.select(key("id").alias("k"), *of_source("source"), "size", "taken", "rows")
+    text = F.col(f"doc.{text_col}")
+    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), key(id_col).alias("k"), *of_source(source_col),
+                        word_count(F.col(text_col)).alias("size"))
+    # The first of the rows that share give one word more, if the words do not divide.
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy(F.xxhash64(text)))
+    joined = keyed.join(shared, group).select("doc", "size", (F.floor(F.col("taken") / F.col("rows")) + F.when(
+        rank <= F.col("taken") % F.col("rows"), 1).otherwise(0)).alias("own"))
+    whole = F.floor(F.col("own") / F.col("size"))
+    rest = F.col("own") - whole * F.col("size")
     copies = F.explode(F.sequence(F.lit(1).cast("long"), whole + F.when(rest > 0, 1).otherwise(0)))
-    out = joined.where("_own > 0").select("*", whole.alias("_whole"), rest.alias("_rest"), copies.alias("_copy"))
-    cut = F.when(F.col("_copy") <= F.col("_whole"), F.col(text_col)).otherwise(first_words(F.col(text_col), F.col("_rest")))
-    out = out.withColumn(text_col, cut)
+    out = joined.where("own > 0").select("doc", whole.alias("whole"), rest.alias("rest"), copies.alias("copy"))
+    out = out.withColumn("cut", F.when(F.col("copy") > F.col("whole"), first_words(text, F.col("rest"))))
+    made = {text_col: F.coalesce("cut", text)}
     if chars_col:
-        kind = docs.schema[chars_col].dataType
-        out = out.withColumn(chars_col, F.when(F.col("_copy") <= F.col("_whole"), F.col(chars_col)).otherwise(
-            F.length(text_col)).cast(kind))
-    return out.select(docs.columns)
+        made[chars_col] = F.coalesce(F.length("cut").cast(docs.schema[chars_col].dataType), F.col(f"doc.{chars_col}"))
+    return out.select([made.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from palletrail.llm.common import fresh
+
 KEY = "change-me"
 ROUNDS = 8
 # Days 1900-01-01 to 2099-12-31: 73,049 = 17 * 4,297.
@@ -156,9 +158,10 @@ def pseudonymised(docs: DataFrame, text_col: str = "text", key: str = KEY, count
     found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
     drawn = F.transform(found, lambda v: F.coalesce(pseudonym(v, key)["text"], F.concat(F.lit("\u0000"), v)))
     some = text.rlike("[0-9@]") & text.rlike(ANY)
-    rows = docs.withColumn("_drawn", F.when(some, drawn))
+    made = fresh(docs, "drawn")
+    rows = docs.withColumn(made, F.when(some, drawn))
     plain = lambda p: F.when(F.startswith(p, F.lit("\u0000")), F.substring(p, F.lit(2), F.length(p))).otherwise(p)
-    joined = F.array_join(F.zip_with(F.split(text, ANY, -1), "_drawn", lambda gap, p: F.concat(gap, F.coalesce(plain(p), F.lit("")))), "")
-    replaced = F.coalesce(F.size(F.filter("_drawn", lambda p: ~F.startswith(p, F.lit("\u0000")))), F.lit(0))
-    return rows.withColumns({count_col: F.when(F.col("_drawn").isNotNull(), replaced).otherwise(0).cast("long"),
-                             text_col: F.when(F.col("_drawn").isNotNull(), joined).otherwise(text)}).drop("_drawn")
+    joined = F.array_join(F.zip_with(F.split(text, ANY, -1), made, lambda gap, p: F.concat(gap, F.coalesce(plain(p), F.lit("")))), "")
+    replaced = F.coalesce(F.size(F.filter(made, lambda p: ~F.startswith(p, F.lit("\u0000")))), F.lit(0))
+    return rows.withColumns({count_col: F.when(F.col(made).isNotNull(), replaced).otherwise(0).cast("long"),
+                             text_col: F.when(F.col(made).isNotNull(), joined).otherwise(text)}).drop(made)

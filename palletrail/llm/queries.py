@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palletrail.llm import credentials, decontam, mixing, pii, quality, simhash, tokens, urls
+from palletrail.llm import credentials, decontam, fingerprints, language, mixing, pii, quality, simhash, tokens, urls
 from palletrail.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,12 @@ def query(build):
     return build
 
 
+@query
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of each document and of its edited text, and their likeness."""
+    return fingerprints.neighbour_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from each document."""
@@ -68,6 +74,14 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document."""
+    docs = table(spark, sf_dir, "documents")
+    return language.told(docs, language.learn(docs)).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 @query
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of each document."""

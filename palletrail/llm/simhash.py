@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palletrail.llm.common import python_ready, components, stored
+from palletrail.llm.common import components, fresh, python_ready, stored
 
 SEED = 42
 LANE = np.uint64(0x0000000100000001)
@@ -244,7 +244,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     best = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("_0"), F.col("id").alias("_1"),
                                                    F.col("text_hash").alias("_2"))).alias("best")).select("best.*")
     key = lambda name: F.coalesce(F.col(name).cast("string"), F.lit("null"))
-    best = best.select(key("_1").alias("_id_key"), F.col("_2").alias("_text_key")).distinct()
-    keyed = docs.withColumns({"_id_key": key(id_col), "_text_key": F.xxhash64(text_col)})
-    kept = keyed.join(best, ["_id_key", "_text_key"], "left_semi").dropDuplicates(["_id_key", "_text_key"])
+    id_key, text_key = fresh(docs, "id_key"), fresh(docs, "text_key")
+    best = best.select(key("_1").alias(id_key), F.col("_2").alias(text_key)).distinct()
+    keyed = docs.withColumns({id_key: key(id_col), text_key: F.xxhash64(text_col)})
+    kept = keyed.join(best, [id_key, text_key], "left_semi").dropDuplicates([id_key, text_key])
     return kept.select(docs.columns)
