@@ -12,11 +12,17 @@ are put in order of their texts, and repeated rows are all written; an empty tab
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,7 +35,13 @@ SELECTORS = ((240, 0), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (1
 ESCAPE_BITS = 60
 BLOCK_IDS = 1 << 16
 CHUNK_IDS = 1 << 20
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
+# Fixed value: the pattern by which the tokenizer splits lower-cased text.
+PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\t-\r \x85\xa0\p{L}\p{N}]+")
+# Special tokens; letters whose lower case is not one fixed letter; scripts whose classes change with the Unicode version.
+ODD = re.compile("[\u0130\u03a3]|[^\\x00-\u052f]")
+GLUED = re.compile(r"[^\w\s][,.]\s|_[,.]\s")
+SKETCH = bytes(ord(" ") if c in b" \n" else ord(",") if c in b",." else ord("a") if chr(c).isalnum() else ord("#") for c in range(256))
 COUNTS = np.array([count for count, _ in SELECTORS], dtype=np.int64)
 
 
@@ -113,44 +125,61 @@ def decode_document(block, number: int, n_tokens: int) -> np.ndarray:
 class Encoder:
     """Ids of whole texts, each distinct piece between blanks encoded once while it stays in a bounded cache.
 
-    Blanks and line ends separate words in every tokenizer with a word pattern that drops white
-    space, so that a text's ids are those of its pieces one after another.
+    Made for a tokenizer that lower-cases, drops white space and splits by ``PIECE``: a text's ids
+    are those of its pieces one after another.  Texts for which the order of composing and
+    lower-casing could matter, or that spell a special token, go to the tokenizer as a whole.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.seen: dict[str, bytes] = {}
-        self.cores: dict[str, bytes] = {}
-
-    def learn(self, pieces: set[str]) -> None:
-        if len(self.seen) + len(pieces) > CACHED_WORDS:
-            self.seen.clear()
-        if len(self.cores) > CACHED_WORDS:
-            self.cores.clear()
-        # A plain ASCII word with one closing mark has the ids of the word and then of the mark.
-        split = {}
-        for piece in pieces:
-            body = piece[:-1] if piece[-1:] in (",", ".") and piece[:-1].isalpha() and piece.isascii() else piece
-            split[piece] = (body.lower() if body.isascii() else body, piece[len(body):])
-        new = list({part for parts in split.values() for part in parts} - self.cores.keys())
-        for part, coded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.cores[part] = np.array(coded.ids, dtype="<u4").tobytes()
-        for piece, (body, mark) in split.items():
-            self.seen[piece] = self.cores[body] + self.cores[mark]
-
-    def ids(self, text: str | None) -> bytes:
-        """Little-endian 32-bit ids of the text."""
-        pieces = (text or "").replace("\n", " ").split(" ")
-        coded = list(map(self.seen.get, pieces))
-        if None in coded:
-            missing = {piece for piece, ids in zip(pieces, coded) if ids is None}
-            self.learn(missing)
-            if any(piece not in self.seen for piece in pieces):  # the cache was emptied
-                self.learn(set(pieces))
-            coded = list(map(self.seen.__getitem__, pieces))
-        return b"".join(coded)
+        self.model = self.tokenizer.model
+        self.to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def piece(self, piece: str) -> bytes:
+        """Ids of text without white space, kept for the next time."""
+        ids = self.old.get(piece)
+        if ids is None:
+            words = (piece,) if piece.isascii() and piece.isalpha() else PIECE.findall(piece)
+            ids = array("I", [token.id for word in words for token in self.model.tokenize(
+                word if word.isascii() and word.isprintable() else self.to_bytes(word)[0][0])]).tobytes()
+        if len(self.young) >= CACHED_WORDS:
+            self.old, self.young = self.young, {}
+        self.young[piece] = ids
+        return ids
+
+    def prepared(self, text: str) -> str | None:
+        """Lower-cased text with blanks between its pieces; None if only the tokenizer itself can tell."""
+        if "<|" in text:
+            return None
+        try:
+            sketch = text.encode("latin-1").translate(SKETCH)
+            glued = b"#, " in sketch or b",, " in sketch
+        except UnicodeEncodeError:
+            if ODD.search(text) or not is_normalized("NFC", text):
+                return None
+            glued = GLUED.search(text) is not None
+        text = text.lower().replace("\n", " ")
+        # Where every comma and full stop before a blank follows a letter or digit, it is a piece of its own.
+        return text if glued else text.replace(", ", " , ").replace(". ", " . ")
+
+    def ids(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of each text; pieces that the texts share are looked up once."""
+        ready = [self.prepared(text or "") for text in texts]
+        lists = pc.split_pattern(pa.array([text or "" for text in ready], pa.large_string()), " ")
+        coded = lists.flatten().dictionary_encode()
+        known = [self.young.get(piece) or self.piece(piece) for piece in coded.dictionary.to_pylist()]
+        size = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
+        first, place = np.cumsum(size) - size, coded.indices.to_numpy()
+        n = size[place]
+        end = np.cumsum(n)
+        flat = np.frombuffer(b"".join(known), dtype="<u4")[np.repeat(first[place] - (end - n), n) + np.arange(n.sum())]
+        bound = np.append(0, end)[lists.offsets.to_numpy()].tolist()
+        return [flat[a:b] if text is not None else np.array(self.tokenizer.encode(raw or "", add_special_tokens=False).ids, dtype="<u4")
+                for raw, text, a, b in zip(texts, ready, bound, bound[1:])]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -170,7 +199,7 @@ def token_blocks(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str =
                  block_ids: int = BLOCK_IDS, escape_bits: int = ESCAPE_BITS) -> DataFrame:
     """Blocks of all documents in order of ids; ``shard`` follows that order, ``start`` counts within the shard."""
     python_ready(docs.sparkSession)
-    end = np.array([end_id], dtype="<u4").tobytes()
+    end = np.array([end_id], dtype="<u4")
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -179,8 +208,8 @@ def token_blocks(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str =
 
         def close() -> pd.DataFrame:
             nonlocal block, start, size
-            tokens = np.array([len(x) // 4 for x in coded], dtype=np.int64)
-            ids = np.frombuffer(b"".join(coded), dtype="<u4")
+            tokens = np.array([len(x) for x in coded], dtype=np.int64)
+            ids = np.concatenate(coded)
             row = {"shard": shard, "block": block, "start": start, "doc_ids": list(doc_ids), "doc_tokens": tokens}
             row |= encode_block(ids, np.cumsum(tokens) - tokens, escape_bits)
             block, start, size = block + 1, start + len(ids), 0
@@ -189,10 +218,11 @@ def token_blocks(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str =
             return pd.DataFrame([row])
 
         for batch in batches:
-            for doc_id, text in zip(batch["id"].astype(object).where(batch["id"].notna(), None), batch["text"]):
+            ids = batch["id"].astype(object).where(batch["id"].notna(), None)
+            for doc_id, own in zip(ids, encode.ids(list(batch["text"]))):
                 doc_ids.append(doc_id)
-                coded.append(encode.ids(text) + end)
-                size += len(coded[-1]) // 4
+                coded.append(np.concatenate((own, end)))
+                size += len(coded[-1])
                 if size >= block_ids:
                     yield close()
         if doc_ids:

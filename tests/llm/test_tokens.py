@@ -58,8 +58,22 @@ def test_empty_table(spark):
     assert tokens.token_output(simple(spark, []), PATH).count() == 0
 
 
-def test_small_cache(monkeypatch):
-    monkeypatch.setattr(tokens, "CACHED_WORDS", 5)
+TEXTS = ["a b c d e f g h.", "h, g f\ne d c b a", "Ab, cd. EF, ... x.., _. a_, b'. c's. it's, don't. '", "\u00b2, x\u00b2. 1,000. 3.5, n\u00ba. e\u0301. \u00e9.",
+         "STRASSE \u1e9e \u0130x \u03a3\u03a3. \u00a0\u0085, \x1c, a\x1c. \t. \r\n, ", "<|startoftext|>x. <|x, \u4f60\u597d. \U0001f600, a\U0001f600.", ", . ,. .,", " ", ""]
+
+
+@pytest.mark.parametrize("size", [3, 400_000])
+def test_encoder(monkeypatch, size):
+    monkeypatch.setattr(tokens, "CACHED_WORDS", size)
     encoder, tokenizer = tokens.Encoder(PATH), Tokenizer.from_file(PATH)
-    for text in ("a b c d e f g h.", "h, g f\ne d c b a", "Ab, cd. EF"):
-        assert np.frombuffer(encoder.ids(text), dtype="<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    for ids, text in zip(encoder.ids(TEXTS * 2), TEXTS * 2):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@settings(deadline=None, max_examples=300)
+@given(st.text(alphabet=st.one_of(st.sampled_from(list("aB1',. _\n\t-!\u00e9\u0301\u00a0\u00df\u03a3")), st.characters(max_codepoint=0x60f)), max_size=30))
+def test_encoder_on_any_text(text):
+    assert tokens.encoder(PATH).ids([text, None])[0].tolist() == WHOLE.encode(text, add_special_tokens=False).ids
+
+
+WHOLE = Tokenizer.from_file(PATH)
