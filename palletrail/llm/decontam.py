@@ -30,8 +30,16 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def shingles_of(words: Column, size: int) -> Column:
-    """Hashes of all runs of ``size`` words, in order; of the whole sequence if there are fewer; none of no words."""
+def shingled(rows: DataFrame, text_col: str, size: int, *keep: Column | str) -> DataFrame:
+    """(keep, s): ``s`` has the hashes of all runs of ``size`` words, in order; of the whole sequence if there are fewer.
+
+    The words are a column of their own first: within the lambda they would be split anew for every run.
+    """
+    return rows.select(*keep, words_of(F.col(text_col)).alias("words")).select(
+        *keep, _runs(F.col("words"), size).alias("s"))
+
+
+def _runs(words: Column, size: int) -> Column:
     several = F.transform(F.sequence(F.lit(1), F.size(words) - size + 1), lambda i: F.xxhash64(F.slice(words, i, F.lit(size))))
     nothing = F.array().cast("array<bigint>")
     return F.when(F.size(words) >= size, several).when(F.size(words) > 0, F.array(F.xxhash64(words))).otherwise(nothing)
@@ -44,14 +52,10 @@ def if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 def simhash(rows: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, bits): majority fingerprint of the ``h`` of each group, each counted ``c`` times."""
-    lanes = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(LANE)) * F.col("c")).alias(f"l{i}") for i in range(32)]
-    counted = rows.groupBy(*keys).agg(F.sum("c").alias("n"), *lanes)
-    bits = F.lit(0).cast("long")
-    for i in range(32):
-        low, high = F.col(f"l{i}").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(F.col(f"l{i}"), 32)
-        bits = bits.bitwiseOR(F.when(2 * low > F.col("n"), F.lit(1 << i)).otherwise(F.lit(0).cast("long")))
-        bits = bits.bitwiseOR(F.when(2 * high > F.col("n"), F.shiftleft(F.lit(1).cast("long"), i + 32)).otherwise(F.lit(0).cast("long")))
-    return counted.select(*keys, bits.alias("bits"))
+    lanes = [F.expr(f"sum((shiftrightunsigned(h, {i}) & {LANE}L) * c) AS l{i}") for i in range(32)]
+    low = [f"IF(2 * (l{i} & 4294967295L) > n, {1 << i}L, 0L)" for i in range(32)]
+    high = [f"IF(2 * shiftrightunsigned(l{i}, 32) > n, shiftleft(1L, {i + 32}), 0L)" for i in range(32)]
+    return rows.groupBy(*keys).agg(F.sum("c").alias("n"), *lanes).select(*keys, F.expr(" | ".join(low + high)).alias("bits"))
 
 
 def blocks(bits: Column, radius: int) -> Column:
@@ -67,16 +71,17 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
                  similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """(id, text_hash, item, similarity, start): per text and item the most similar, then first, window in shingles."""
     key = ["id", "text_hash"]
-    item = items.select(F.col(item_col).alias("item"), F.xxhash64(item_text_col).alias("item_hash"),
-                        shingles_of(words_of(F.col(item_text_col)), size).alias("s")).where(F.size("s") > 0).distinct()
-    item = item.select("item", "item_hash", F.size("s").alias("m"), F.explode("s").alias("h"))
+    item = items.select(F.col(item_col).alias("item"), F.xxhash64(item_text_col).alias("item_hash"), F.col(item_text_col).alias("_text"))
+    item = shingled(item, "_text", size, "item", "item_hash").distinct()
+    item = item.select("item", "item_hash", F.size("s").alias("m"), F.explode_outer("s").alias("h")).where("h is not null")
     item = stored(item.groupBy("item", "item_hash", "m", "h").agg(F.count("*").alias("c")), "items")
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("_text"))
     least = lambda n, m: F.ceil(F.round(F.lit(similarity / (1 + similarity)) * (n + m), 6))
 
     # Shingles of texts that are shingles of items, and the windows that hold enough of them.
-    places = texts.select(*key, shingles_of(words_of(F.col("_text")), size).alias("s"))
-    places = places.select(*key, F.size("s").alias("n"), F.posexplode("s").alias("at", "h"))
+    places = shingled(texts, "_text", size, *key)
+    # Not the inner explode: its filter on the size of ``s`` would be pushed below the words and split them for every run.
+    places = places.select(*key, F.size("s").alias("n"), F.posexplode_outer("s").alias("at", "h"))
     wanted = if_small(stored(item.select("h", "m").distinct(), "item-shingles"))
     hits = places.join(wanted, "h").where(F.col("n") >= F.lit(similarity) * F.col("m")).distinct()
     starts = hits.select(*key, "n", "m", F.explode(F.sequence(
@@ -89,7 +94,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
         F.coalesce(F.col("id").cast("string"), F.lit("null")).alias("_id"), "_hash"), "hit-texts"))
     seen = texts.join(few, (F.coalesce(texts["id"].cast("string"), F.lit("null")) == few["_id"])
                       & (texts["text_hash"] == few["_hash"]), "left_semi")
-    seen = seen.dropDuplicates(key).select(*key, shingles_of(words_of(F.col("_text")), size).alias("s"))
+    seen = shingled(seen.dropDuplicates(key), "_text", size, *key)
     other = windows.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), "m", "start")
     parts = seen.join(other, seen["id"].eqNullSafe(other["_id"]) & (seen["text_hash"] == other["_hash"]))
     parts = parts.select(*key, "m", "start", F.explode(F.slice("s", F.col("start") + 1, F.col("m"))).alias("h"))
