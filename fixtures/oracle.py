@@ -74,13 +74,13 @@ def pairs(where: str = "TRUE", target: bool = True, numeric: bool = False) -> st
   FROM (SELECT * FROM ledger WHERE tpartnr=520 AND menge<0 AND lagbez IN {AREAS} {at}) o
   LEFT JOIN (SELECT * FROM ledger WHERE tpartnr=520 AND menge=1 AND lagbez IN {AREAS} AND lhmnr NOT LIKE '000%') i
     ON o.local_transaction_id = i.local_transaction_id
-  WHERE coalesce(o.lhmnr,'value1') <> coalesce(i.lhmnr,'value2') AND ({where}) {only}
+  WHERE (o.lhmnr IS NULL OR i.lhmnr IS NULL OR o.lhmnr <> i.lhmnr) AND ({where}) {only}
   UNION ALL
   SELECT 'DUMMY', {columns}, {QUALITY_DUMMY.replace('cd1', 'o.cust_data').replace('cd2', 'i.cust_data')}, {CATEGORY_DUMMY.replace('cd1', 'o.cust_data').replace('cd2', 'i.cust_data')}
   FROM (SELECT * FROM ledger WHERE tpartnr=614 AND menge<0 AND lagbez IN {AREAS} {at}) o
   JOIN (SELECT * FROM ledger WHERE tpartnr=207 AND menge=1 AND lagbez IN {AREAS} {at}) i
     ON o.local_transaction_id = i.local_transaction_id AND i.lhmnr NOT LIKE '000%'
-  WHERE coalesce(o.lhmnr,'value1') <> coalesce(i.lhmnr,'value2') AND ({where}) {only}
+  WHERE (o.lhmnr IS NULL OR i.lhmnr IS NULL OR o.lhmnr <> i.lhmnr) AND ({where}) {only}
 )"""
 
 
@@ -185,7 +185,7 @@ SELECT strftime(created, '%d.%m.%Y %H:%M:%S') AS timestamp, ean, ziel AS ap, cre
  CASE WHEN dst LIKE '50%' THEN 'Overstock' WHEN {attr('cd1', 'QUALITYID_SEKTOR')} IN ('3','4') THEN 'Overstock'
   WHEN {attr('cd1', 'DISTRIBUTIONCHANNELID_ART')}='4' THEN 'Outlet' WHEN {attr('cd1', 'DISTRIBUTIONCHANNELID_ART')}='3' THEN 'Overstock' ELSE 'Unknown' END AS distribution_channel,
  {SKU} AS sku, {SORT_ID} AS sort_id
-FROM p WHERE coalesce(src,'value1') <> dst AND regexp_full_match(dst, '[0-9]+')""", "ledger")
+FROM p WHERE (src IS NULL OR src <> dst) AND regexp_full_match(dst, '[0-9]+')""", "ledger")
 
 SEQUENCE_INDEX = with_views(
     f"SELECT local_transaction_id, sequence, artnr, created, CAST(rn AS INTEGER) AS rn FROM {numbered(DUMMY_OUT)}", "ledger")
@@ -194,7 +194,7 @@ SELECT good_type, src AS source_lhm, dst AS ziel_lhm, count(*) AS pairs, CAST(su
 FROM p GROUP BY ALL""", "ledger")
 PAIR_SEQUENCED = with_views(f"""WITH {SORTING_PAIRS}
 SELECT good_type, src AS source_lhm, dst AS ziel_lhm, count(*) AS pairs FROM p
-WHERE coalesce(src,'value1') <> dst AND regexp_full_match(dst, '[0-9]+') GROUP BY ALL""", "ledger")
+WHERE (src IS NULL OR src <> dst) AND regexp_full_match(dst, '[0-9]+') GROUP BY ALL""", "ledger")
 UNION_GOODS = with_views(f"""WITH {pairs()}
 SELECT good_type, count(*) AS pairs, CAST(sum(abs(menge)) AS BIGINT) AS quantity FROM p GROUP BY ALL""", "ledger")
 
@@ -332,7 +332,7 @@ def board(cast: str = "BIGINT") -> str:
 
 KPI_BOARD = with_views(f"SELECT {AS_OF} AS last_updated, {board()}", "transport")
 KPI_SNAPSHOT = with_views(
-    f"SELECT {AS_OF} AS last_updated, {board('DOUBLE')}, CAST(NULL AS DOUBLE) AS broken, 'broken' AS failed", "transport")
+    f"SELECT {AS_OF} AS last_updated, {board('DOUBLE')}, CAST(NULL AS DOUBLE) AS broken, 'broken: AnalysisException' AS failed", "transport")
 KPI_ROWS = {
     name: with_views(f"SELECT sequence, transportlhmnr, zug_id, created FROM transport s WHERE {where} AND {still}", "transport")
     for name, (_, where, still) in OPEN_STARTS.items()
@@ -348,13 +348,14 @@ DISTINCT_ROWS = with_views("SELECT DISTINCT transportlhmnr, zug_id FROM transpor
 
 # --- Hazardous stock -------------------------------------------------------------------------
 
-VOLUME = "coalesce(TRY_CAST(trim(replace(volume_text, ',', '')) AS DOUBLE), 0)"
+VOLUME = ("CASE WHEN regexp_full_match(trim(replace(volume_text, ',', '')), '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?') "
+          "THEN CAST(trim(replace(volume_text, ',', '')) AS DOUBLE) ELSE 0 END")
 READY = ("(upper(trim(coalesce(channel,''))) = 'OUTLET' AND NOT upper(trim(place)) LIKE 'OLAP%' "
          "AND NOT upper(trim(place)) LIKE 'FIN%' AND trim(carrier) LIKE '50%')")
 OF_CATEGORY = "category = 'Beauty' AND place NOT LIKE 'T%' AND place NOT LIKE 'BSF_T%'"
 STOCK_BY_CATEGORY = with_views(f"SELECT place, channel, carrier, count(*) AS n FROM stock_volume WHERE {OF_CATEGORY} GROUP BY ALL", "stock_volume")
 HAZARD_STOCK = with_views(f"""SELECT carrier, mainlhm, artnr, place, coalesce(channel,'') AS channel, coalesce(volume_text,'') AS volume_text,
- category, {VOLUME} AS volume, {READY} AS ready
+ category, booked, coalesce(direction,'') AS direction, {VOLUME} AS volume, {READY} AS ready
 FROM stock_volume WHERE {OF_CATEGORY} AND regexp_matches(mainlhm, '^[0-9]')""", "stock_volume")
 TOTAL_READY = with_views(f"""SELECT count(*) AS rows, sum({VOLUME}) AS total_vol, sum(CASE WHEN {READY} THEN {VOLUME} ELSE 0 END) AS ready_vol
 FROM stock_volume""", "stock_volume")
@@ -372,16 +373,16 @@ FROM merged GROUP BY ROLLUP (carrier, artnr)""", *HAZARD)
 HAZARD_COMPLIANCE = with_views(f"""WITH {MERGED},
 t AS (SELECT hazard_class, un_no, CAST(volume_limit AS DOUBLE) AS volume_limit, sum(CASE direction WHEN 'out' THEN -volume ELSE volume END) AS volume,
   CAST(date_diff('day', min(booked), max(booked)) + 1 AS BIGINT) AS days FROM merged WHERE hazard_class IS NOT NULL GROUP BY 1, 2, 3)
-SELECT *, CASE WHEN volume > 0 THEN (volume_limit - volume) / (volume / days) END AS days_to_limit, volume > volume_limit AS over_limit FROM t""", *HAZARD)
+SELECT *, CASE WHEN volume > 0 THEN greatest(0.0, volume_limit - volume) / (volume / days) END AS days_to_limit, volume > volume_limit AS over_limit FROM t""", *HAZARD)
 
 # --- Audits ------------------------------------------------------------------------------------
 
 DPMI = """s AS (SELECT bucket, sub_process, CAST(sum(items) AS BIGINT) AS items, CAST(sum(defects) AS BIGINT) AS defects, sum(defects) * 1e6 / sum(items) AS dpmi
   FROM audit GROUP BY ALL),
 t AS (SELECT bucket, sub_process, items, defects, CAST(dpmi AS DOUBLE) AS dpmi, dpmi < 3500 AS target_met FROM s)"""
-MULTI_SOURCE = with_views("""SELECT sub_process AS source, bucket, count(*) AS n, CAST(sum(defects) AS BIGINT) AS defects FROM audit GROUP BY ALL""", "audit")
+MULTI_SOURCE = with_views("""SELECT sub_process AS source, CASE WHEN sub_process NOT LIKE 'A%' THEN bucket END AS bucket, count(*) AS n, CAST(sum(defects) AS BIGINT) AS defects FROM audit GROUP BY ALL""", "audit")
 DPMI_SCORE = with_views(f"WITH {DPMI} SELECT * FROM t", "audit")
-QUALITY_SCORE = with_views(f"""WITH {DPMI} SELECT coalesce(bucket,'overall') AS bucket, count(*) AS targets, count(*) FILTER (target_met) AS met,
+QUALITY_SCORE = with_views(f"""WITH {DPMI} SELECT CASE WHEN grouping(bucket) = 1 THEN 'overall' ELSE bucket END AS bucket, count(*) AS targets, count(*) FILTER (target_met) AS met,
  CAST(count(*) FILTER (target_met) * 100.0 / count(*) AS DOUBLE) AS score FROM t GROUP BY ROLLUP (bucket)""", "audit")
 
 # --- Orders ----------------------------------------------------------------------------------------
@@ -453,7 +454,8 @@ TRANSLATION_PENDING = with_views("SELECT ticket, source_text FROM intake WHERE c
 NOTIFICATION_OUTBOX = with_views(f"""SELECT number, 'TKT-' || right('000' || number, 3) AS ticket_id, source_text FROM (SELECT *, {TICKET} AS number FROM intake)
 WHERE number >= 65 AND coalesce(status,'')='' AND number NOT IN (SELECT doc_id FROM labels)""", "intake")
 FIRST_NAME = "upper(substr(split_part(split_part(mail,'@',1),'.',1),1,1)) || substr(split_part(split_part(mail,'@',1),'.',1),2)"
-REWARD_DIGEST = with_views(f"SELECT mail, {FIRST_NAME} AS first_name, points FROM scoreboard WHERE trim(mail) <> '' AND points > 0", "scoreboard")
+POINTS = r"TRY_CAST(nullif(regexp_extract(points, '^\s*([+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?)', 1), '') AS DOUBLE)"
+REWARD_DIGEST = with_views(f"SELECT mail, {FIRST_NAME} AS first_name, {POINTS} AS points FROM scoreboard WHERE trim(mail) <> '' AND {POINTS} > 0", "scoreboard")
 TICKET_FORMAT = with_views(f"SELECT ticket, 'TKT-' || right('000' || {TICKET}, 3) AS ticket_id FROM intake", "intake")
 NAME_FROM_MAIL = with_views(f"SELECT mail, {FIRST_NAME} AS first_name FROM scoreboard", "scoreboard")
 
@@ -481,14 +483,14 @@ UNION ALL SELECT 'value', count(*) FROM r WHERE upper(reference) = 'Z5'
 UNION ALL SELECT 'both', count(*) FROM r WHERE upper(reference) LIKE 'Z%,7' OR upper(reference) IN ('Z%','7')""", "ledger")
 SELF_TRANSFER = with_views("""SELECT o.lhmnr AS source_lhm, i.lhmnr AS ziel_lhm, count(*) AS n
 FROM (SELECT * FROM ledger WHERE menge<0) o JOIN (SELECT * FROM ledger WHERE menge=1) i USING (local_transaction_id)
-WHERE coalesce(o.lhmnr,'value1') <> coalesce(i.lhmnr,'value2') GROUP BY ALL""", "ledger")
+WHERE (o.lhmnr IS NULL OR i.lhmnr IS NULL OR o.lhmnr <> i.lhmnr) GROUP BY ALL""", "ledger")
 NUMERIC_TARGET = with_views("SELECT lhmnr, count(*) AS n FROM ledger WHERE regexp_full_match(lhmnr,'[0-9]+') GROUP BY ALL", "ledger")
 PREFIX_GUARD = with_views("SELECT lhmnr, count(*) AS n FROM ledger WHERE (lhmnr LIKE '4%' OR lhmnr LIKE '5%') AND lhmnr NOT LIKE '000%' GROUP BY ALL", "ledger")
 REPORT_PREDICATE = with_views(detail(CHANNEL_BASE, True) + """SELECT 'monthly_zfs' AS report, count(*) AS n FROM d WHERE upper(reference_lhm) LIKE 'Z%'
 UNION ALL SELECT 'monthly_beauty', count(*) FROM d WHERE category='Beauty' AND quality='B'""", "ledger")
 EAN_TWO = with_views(detail(CHANNEL_BASE, True) + "SELECT ean, count(*) AS n FROM d GROUP BY ALL", "ledger")
 EAN_THREE = with_views(f"""WITH {SORTING_PAIRS} SELECT ean, count(*) AS n FROM p
-WHERE coalesce(src,'value1') <> dst AND regexp_full_match(dst, '[0-9]+') GROUP BY ALL""", "ledger")
+WHERE (src IS NULL OR src <> dst) AND regexp_full_match(dst, '[0-9]+') GROUP BY ALL""", "ledger")
 BY_ORIGIN = with_views(detail(CHANNEL_BASE, True) + "SELECT sku, sort_id, count(*) AS n FROM d GROUP BY ALL", "ledger")
 JSON_KEYS = ("REFERENCENUMBER_LHM", "QUALITYID_SEKTOR", "QUALITYID_ART", "SORTABLE_ART", "CATEGORYID_ART", "SOURCEID_SEKTOR",
              "DISTRIBUTIONCHANNELID_ART", "SKU_ART", "SORTINGCRITERIAID_ART", "LASTEANGOTFROMMAUS_ZIEL")
@@ -545,6 +547,6 @@ KPI_BOARD_STREAM = KPI_BOARD
 OPEN_STATE = with_views(" UNION ALL ".join(
     f"SELECT '{name}' AS kpi, {number} AS open_starts FROM transport s WHERE {where} AND {still}"
     for name, (number, where, still) in sorted(OPEN_STARTS.items())), "transport")
-INGEST_DEDUP = with_views("""SELECT local_transaction_id, sequence, tpartnr FROM ledger GROUP BY ALL""", "ledger")
+INGEST_DEDUP = with_views("""SELECT DISTINCT * FROM ledger""", "ledger")
 SHIFT_WINDOWS = with_views(f"""SELECT time_bucket(INTERVAL 5 MINUTE, created) AS window_start, {shift('created')} AS shift, count(*) AS events,
  CAST(sum(abs(menge)) AS BIGINT) AS quantity FROM ledger GROUP BY ALL""", "ledger")

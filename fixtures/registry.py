@@ -220,8 +220,9 @@ AUDITS = ("A_F", "A_O", "N_F", "N_O", "R_F", "R_O")
 
 
 def audit_sources(audit: DataFrame) -> dict[str, DataFrame]:
-    """One table per audit source, as the site delivers them; only some name the bucket's items."""
-    return {name: audit.where(F.col("sub_process") == name) for name in AUDITS}
+    """One table per audit source, as the site delivers them; those of the first kind have no bucket."""
+    of = {name: audit.where(F.col("sub_process") == name) for name in AUDITS}
+    return {name: rows.drop("bucket") if name.startswith("A") else rows for name, rows in of.items()}
 
 
 query("multi_source_audit", oracle.MULTI_SOURCE, "audit")(
@@ -502,32 +503,30 @@ QUERIES["full_refresh"], ORACLE["full_refresh"] = full_refresh, oracle.FULL_REFR
 
 
 def kpi_board_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, events = new_folder(spark, "board"), stream_view(spark, sf_dir, "transport")
+    folder, events = new_folder(spark, "board"), stream_view(spark, sf_dir, "transport", "sequence")
     changes.run_available(board.kpi_board_stream(events, folder, lambda: AS_OF), f"{folder}/checkpoint")
     return board.read_board(spark, folder)
 
 
 def open_transport_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, events = new_folder(spark, "open"), stream_view(spark, sf_dir, "transport")
-    writer = open_state.open_transport_state(events).writeStream.outputMode("update").foreachBatch(
-        lambda rows, epoch: changes.write_epoch(rows, f"{folder}/changes", epoch))
-    changes.run_available(writer, f"{folder}/checkpoint")
-    return open_state.open_counts(spark, f"{folder}/changes", AS_OF)
+    folder, events = new_folder(spark, "open"), stream_view(spark, sf_dir, "transport", "sequence")
+    changes.run_available(open_state.open_transport_stream(events, f"{folder}/state"), f"{folder}/checkpoint")
+    changes.compact(spark, f"{folder}/state", f"{folder}/compacted", open_state.KEYS, open_state.parts())
+    return open_state.open_counts(spark, f"{folder}/compacted", AS_OF)
 
 
 def ledger_ingest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, events = new_folder(spark, "ingest"), stream_view(spark, sf_dir, "ledger")
-    writer = ingest.ledger_ingest_dedup(events).writeStream.format("parquet").option("path", f"{folder}/ledger")
-    changes.run_available(writer, f"{folder}/checkpoint")
-    return spark.read.parquet(f"{folder}/ledger").select(*ingest.ROW_KEY)
+    """The source delivers everything twice, in several batches."""
+    folder = new_folder(spark, "ingest")
+    events = stream_view(spark, sf_dir, "ledger", "local_transaction_id, menge", deliveries=2, batches=2)
+    changes.run_available(ingest.ledger_ingest_dedup(events, f"{folder}/ledger"), f"{folder}/checkpoint")
+    return ingest.read_ingested(spark, f"{folder}/ledger")
 
 
 def shift_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, events = new_folder(spark, "windows"), stream_view(spark, sf_dir, "ledger")
-    writer = ingest.shift_window_counts(events).writeStream.outputMode("update").foreachBatch(
-        lambda rows, epoch: changes.write_epoch(rows, f"{folder}/changes", epoch))
-    changes.run_available(writer, f"{folder}/checkpoint")
-    return changes.latest(spark, f"{folder}/changes", ["window_start", "shift"])
+    folder, events = new_folder(spark, "windows"), stream_view(spark, sf_dir, "ledger", "sequence")
+    changes.run_available(ingest.shift_window_stream(events, f"{folder}/windows"), f"{folder}/checkpoint")
+    return ingest.read_shift_windows(spark, f"{folder}/windows")
 
 
 QUERIES["kpi_board_stream"], ORACLE["kpi_board_stream"] = kpi_board_stream, oracle.KPI_BOARD_STREAM

@@ -122,7 +122,7 @@ SELECT concat(CASE l_suppkey%4 WHEN 0 THEN '50' WHEN 1 THEN ' 50' WHEN 2 THEN '4
  concat('2',lpad(CAST(l_partkey AS STRING),8,'0')) AS artnr,
  CASE l_linenumber WHEN 1 THEN 'OLAP01' WHEN 2 THEN ' fin02' WHEN 3 THEN 'T01' WHEN 4 THEN 'BSF_T01' WHEN 5 THEN 'BSFXT02' ELSE concat('AP0',CAST(l_linenumber AS STRING)) END AS place,
  CASE l_orderkey%4 WHEN 0 THEN 'Outlet' WHEN 1 THEN ' OUTLET ' WHEN 2 THEN 'Overstock' ELSE NULL END AS channel,
- CASE WHEN l_partkey%11=0 THEN 'n/a' WHEN l_partkey%13=0 THEN '' WHEN l_extendedprice<1000 THEN CAST(CAST(floor(l_extendedprice) AS BIGINT) AS STRING)
+ CASE WHEN l_partkey%11=0 THEN 'n/a' WHEN l_partkey%13=0 THEN '' WHEN l_partkey%17=0 THEN 'NaN' WHEN l_partkey%19=0 THEN 'Infinity' WHEN l_partkey%23=0 THEN '1d' WHEN l_extendedprice<1000 THEN CAST(CAST(floor(l_extendedprice) AS BIGINT) AS STRING)
   ELSE concat(' ',CAST(CAST(floor(l_extendedprice/1000) AS BIGINT) AS STRING),',',lpad(CAST(CAST(floor(l_extendedprice) AS BIGINT)%1000 AS STRING),3,'0')) END AS volume_text,
  CASE l_partkey%6 WHEN 1 THEN 'Schuhe' WHEN 2 THEN 'Textil' WHEN 3 THEN 'ACC' WHEN 4 THEN 'Home' WHEN 5 THEN 'Beauty' ELSE NULL END AS category,
  l_shipdate AS booked, CASE l_returnflag WHEN 'R' THEN 'out' ELSE 'in' END AS direction
@@ -136,7 +136,7 @@ FROM part
 """
 
 VIEWS["audit"] = """
-SELECT CASE l_returnflag WHEN 'A' THEN 'inbound' WHEN 'N' THEN 'stock accuracy' ELSE 'outbound' END AS bucket,
+SELECT CASE WHEN l_partkey%37=0 THEN NULL WHEN l_returnflag='A' THEN 'inbound' WHEN l_returnflag='N' THEN 'stock accuracy' ELSE 'outbound' END AS bucket,
  concat(l_returnflag,'_',l_linestatus) AS sub_process, 1 AS items, CASE WHEN l_tax >= 0.07 AND l_partkey%40 < 5 AND l_returnflag <> 'N' OR l_partkey%997=0 THEN 1 ELSE 0 END AS defects
 FROM lineitem
 """
@@ -181,7 +181,8 @@ FROM documents
 """
 
 VIEWS["scoreboard"] = """
-SELECT CASE WHEN c_custkey%13=0 THEN '  ' WHEN c_custkey%17=0 THEN NULL ELSE concat(lower(replace(c_name,'#','')),'.x@example.org') END AS mail, c_acctbal AS points
+SELECT CASE WHEN c_custkey%13=0 THEN '  ' WHEN c_custkey%17=0 THEN NULL ELSE concat(lower(replace(c_name,'#','')),'.x@example.org') END AS mail,
+ CASE c_custkey%11 WHEN 0 THEN 'NaN' WHEN 1 THEN concat(CAST(c_custkey AS STRING),'abc') WHEN 2 THEN '' ELSE CAST(c_custkey%7-2 AS STRING) END AS points
 FROM customer
 """
 
@@ -240,14 +241,19 @@ def spark_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(stored_view(spark, sf_dir, name))
 
 
-def stream_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = stored_view(spark, sf_dir, name)
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+def stream_view(spark: SparkSession, sf_dir: str, name: str, order: str, deliveries: int = 1, batches: int = 3) -> DataFrame:
+    """The view as a stream of ``batches`` files per delivery, dealt by ``order`` and not by time, so that some rows come late."""
+    view = spark_view(spark, sf_dir, name)
+    path = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    for delivery in range(deliveries):
+        for batch in range(batches):
+            view.where(f"pmod(hash({order}), {batches}) = {batch}").coalesce(1).write.parquet(f"{path}/{delivery}-{batch}")
+    return spark.readStream.schema(view.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(path)
 
 
 def with_views(sql: str, *names: str) -> str:
     """A DuckDB query that defines the named views first."""
-    heads = [f"{name} AS (\n{view_sql(name, 'duckdb')}\n)" for name in names]
+    heads = [f"{name} AS MATERIALIZED (\n{view_sql(name, 'duckdb')}\n)" for name in names]
     body = sql.strip()
     if body.upper().startswith("WITH "):
         return "WITH " + ",\n".join(heads) + ",\n" + body[5:]

@@ -16,10 +16,14 @@ def attribute_schema(names: Iterable[str]) -> str:
     return ", ".join(f"`{ATTRIBUTE_KEYS[name]}` string" for name in names)
 
 
-def scalar_only(value: Column) -> Column:
-    """Nested objects and arrays are no attribute values, and blanks are NULL."""
-    nested = value.startswith("{") | value.startswith("[")
-    return F.when(~nested, blank_to_null(value))
+def scalar_only(value: Column, document: Column, key: str) -> Column:
+    """Nested objects and arrays are no attribute values, and blanks are NULL.
+
+    Only a value that begins like a nested one is looked up again, by its type in the document.
+    """
+    looks_nested = value.startswith("{") | value.startswith("[")
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(document), f"$.{key}", "variant"))
+    return F.when(~looks_nested, blank_to_null(value)).when(kind == "STRING", value)
 
 
 def json_fields(df: DataFrame, names: Iterable[str] | None = None, document: str = "cust_data") -> DataFrame:
@@ -29,10 +33,11 @@ def json_fields(df: DataFrame, names: Iterable[str] | None = None, document: str
     """
     names = list(names or ATTRIBUTE_KEYS)
     parsed = df.withColumn(_PARSED, F.from_json(F.col(document), attribute_schema(names)))
-    fields = {name: scalar_only(F.col(f"{_PARSED}.`{ATTRIBUTE_KEYS[name]}`")) for name in names}
+    fields = {name: scalar_only(F.col(f"{_PARSED}.`{ATTRIBUTE_KEYS[name]}`"), F.col(document), ATTRIBUTE_KEYS[name]) for name in names}
     return parsed.withColumns(fields).drop(_PARSED)
 
 
 def json_field(document: Column, name: str) -> Column:
     """A single attribute where the other ones are not needed."""
-    return scalar_only(F.get_json_object(document, f"$.{ATTRIBUTE_KEYS[name]}"))
+    key = ATTRIBUTE_KEYS[name]
+    return scalar_only(F.get_json_object(document, f"$.{key}"), document, key)

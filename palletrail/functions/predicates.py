@@ -60,7 +60,7 @@ def ref_filter(reference: Column, wanted: str | None) -> Column | None:
 
 def self_transfer_drop(source: Column, target: Column) -> Column:
     """Source and target carrier differ; a missing carrier differs from everything."""
-    return F.coalesce(source, F.lit("value1")) != F.coalesce(target, F.lit("value2"))
+    return source.isNull() | target.isNull() | (source != target)
 
 
 def numeric_target(carrier: Column) -> Column:
@@ -87,7 +87,7 @@ def nullable_unlike(value: Column, pattern: str) -> Column:
 def report_predicate(where: Mapping[str, str]) -> Column:
     """Conditions on derived report columns: LIKE (case ignored) where there is a ``%``, else equal."""
     return _all([
-        F.upper(F.col(name)).like(value) if "%" in value else F.col(name) == value
+        F.upper(F.col(name)).like(value.upper()) if "%" in value else F.col(name) == value
         for name, value in where.items()
     ])
 

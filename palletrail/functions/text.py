@@ -18,10 +18,18 @@ def null_to_zero(value: Column) -> Column:
     return F.coalesce(value, F.lit(0))
 
 
+NUMBER = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
+
+
 def num_clean(value: Column) -> Column:
-    """Number from text with thousands commas; text that is no number counts as 0."""
+    """Number from text with thousands commas; text that is no plain decimal number counts as 0."""
     plain = F.trim(F.regexp_replace(value, ",", ""))
-    return F.coalesce(plain.try_cast("double"), F.lit(0.0))
+    return F.coalesce(F.when(plain.rlike(rf"\A(?:{NUMBER})\z"), plain.try_cast("double")), F.lit(0.0))
+
+
+def leading_number(value: Column) -> Column:
+    """Decimal number that a text begins with, NULL where there is none."""
+    return blank_to_null(F.regexp_extract(value.cast("string"), rf"\A\s*({NUMBER})", 1)).try_cast("double")
 
 
 def ticket_number(value: Column) -> Column:

@@ -24,15 +24,17 @@ def start_predicate(kpi: c.TransportKpi, as_of: datetime | None) -> Column:
     return test
 
 
-def closings(ledger: DataFrame, key: str, done_only: bool = False) -> DataFrame:
-    """Latest completion and whether there was a block, per carrier and lifecycle.
+def closings(ledger: DataFrame, key: str, starts: DataFrame, done_only: bool = False) -> DataFrame:
+    """Latest completion and whether there was a block, per carrier and lifecycle of ``starts``.
 
-    Both lists come from one scan and are summed up before the shuffle, so a carrier with
-    very many events reaches the join as a single row.
+    Both lists come from one scan.  The starts are of a few days and closings of all time, so
+    closings of other carriers and lifecycles are left out before anything is summed up.
     """
     events = [c.EVENT_DONE] if done_only else [c.EVENT_DONE, c.EVENT_BLOCKED]
+    wanted = starts.select(key, "zug_id").distinct()
     return (
         ledger.where(F.col("typ_id").isin(*events) & F.col(key).isNotNull() & F.col("zug_id").isNotNull())
+        .join(wanted, [key, "zug_id"], "left_semi")
         .groupBy(key, "zug_id")
         .agg(
             F.max(F.when(F.col("typ_id") == c.EVENT_DONE, F.col("created"))).alias("done_at"),
@@ -53,8 +55,9 @@ def ended(kpi: c.TransportKpi, created: Column, done_at: Column, blocked: Column
 
 def open_starts(ledger: DataFrame, kpi: c.TransportKpi, as_of: datetime | None) -> DataFrame:
     """Starts of a KPI that nothing has ended: a single anti join against the closings."""
-    starts = ledger.where(start_predicate(kpi, as_of)).alias("s")
-    done = closings(ledger, kpi.key, done_only=kpi.closing == "done").alias("d")
+    rows = ledger.where(start_predicate(kpi, as_of))
+    starts = rows.alias("s")
+    done = closings(ledger, kpi.key, rows, done_only=kpi.closing == "done").alias("d")
     same = (F.col(f"s.{kpi.key}") == F.col(f"d.{kpi.key}")) & (F.col("s.zug_id") == F.col("d.zug_id"))
     if kpi.closing == "done_later_or_blocked":
         same = same & ended(kpi, F.col("s.created"), F.col("d.done_at"), F.col("d.blocked"))

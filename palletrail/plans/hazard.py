@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from palletrail.functions.predicates import mask_ready, starts_with_digit
 from palletrail.functions.text import null_to_blank, num_clean
 from palletrail.operators.skew import broadcast_if_small
 
-STOCK_COLUMNS = ("carrier", "mainlhm", "artnr", "place", "channel", "volume_text", "category")
-
 
 def stock_by_category(stock: DataFrame, category: str) -> DataFrame:
     """Stock of one category, transit places left out."""
@@ -17,12 +17,16 @@ def stock_by_category(stock: DataFrame, category: str) -> DataFrame:
     return stock.where((F.col("category") == category) & ~place.like("T%") & ~place.like("BSF_T%"))
 
 
-def hazard_stock(stock: DataFrame, category: str) -> DataFrame:
-    """Cleaned rows: numbered main carriers only, texts without NULL, volume as a number."""
+def hazard_stock(stock: DataFrame, category: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Cleaned rows: numbered main carriers only, texts without NULL, volume as a number.
+
+    All columns of the extract are kept, unless ``columns`` names those wanted; what is no text stays as it is.
+    """
     rows = stock_by_category(stock, category).where(starts_with_digit(F.col("mainlhm")))
     ready = mask_ready(F.col("channel"), F.col("place"), F.col("carrier"))
+    kinds = dict(stock.dtypes)
     return rows.select(
-        *[null_to_blank(F.col(name)).alias(name) for name in STOCK_COLUMNS],
+        *[(null_to_blank(F.col(name)) if kinds[name] == "string" else F.col(name)).alias(name) for name in columns or kinds],
         num_clean(F.col("volume_text")).alias("volume"),
         ready.alias("ready"),
     )
@@ -68,7 +72,7 @@ def hazard_compliance(merged: DataFrame) -> DataFrame:
     """Net volume per class and UN number against its limit, and the days until it is met.
 
     No formula for the days is given; here they are the room left divided by the mean
-    daily net inflow over the days on record, and NULL where stock does not grow.
+    daily net inflow over the days on record; 0 once over the limit, NULL where stock does not grow.
     """
     signed = F.when(F.col("direction") == "out", -F.col("volume")).otherwise(F.col("volume"))
     known = merged.where("hazard_class is not null")
@@ -79,6 +83,6 @@ def hazard_compliance(merged: DataFrame) -> DataFrame:
     inflow = F.col("volume") / F.col("days")
     return totals.select(
         "hazard_class", "un_no", "volume_limit", "volume", "days",
-        F.when(F.col("volume") > 0, (F.col("volume_limit") - F.col("volume")) / inflow).alias("days_to_limit"),
+        F.when(F.col("volume") > 0, F.greatest(F.lit(0.0), F.col("volume_limit") - F.col("volume")) / inflow).alias("days_to_limit"),
         (F.col("volume") > F.col("volume_limit")).alias("over_limit"),
     )

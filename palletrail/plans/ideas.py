@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from palletrail.config import FIRST_TICKET, TICKET_PREFIX
-from palletrail.functions.text import name_from_mail, ticket_format, ticket_number
+from palletrail.functions.text import leading_number, name_from_mail, ticket_format, ticket_number
 
 
 def translation_pending(intake: DataFrame) -> DataFrame:
@@ -28,6 +28,6 @@ def notification_outbox(intake: DataFrame, sent: DataFrame | None = None, first:
 
 def reward_digest(scoreboard: DataFrame) -> DataFrame:
     """Contacts with points to spend, and the first name to greet them by."""
-    points = F.col("points").try_cast("double")
+    points = leading_number(F.col("points"))
     rows = scoreboard.where((F.trim("mail") != "") & (points > 0))
     return rows.select("mail", name_from_mail(F.col("mail")).alias("first_name"), points.alias("points"))

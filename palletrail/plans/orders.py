@@ -43,9 +43,10 @@ def order_sizes(order_status: DataFrame) -> DataFrame:
     """
     final = order_status.where(F.col("status") == c.ORDER_FINALISING)
     outlet = F.col("channel") == c.ORDER_CHANNEL
+    late = F.col("changed").isNull()  # an entry without time comes last
     first = final.groupBy("order_no").agg(
-        F.min(F.struct("changed", "colli")).alias("any"),
-        F.min(F.when(outlet, F.struct("changed", "pallets"))).alias("own"))
+        F.min(F.struct(late, "changed", "colli")).alias("any"),
+        F.min(F.when(outlet, F.struct(late, "changed", "pallets"))).alias("own"))
     return first.where("own is not null").select(
         "order_no", F.col("own.pallets").alias("pallets"), F.col("any.colli").alias("colli"))
 

@@ -28,10 +28,11 @@ def dpmi_score(audits: DataFrame, limit: float = DPMI_LIMIT) -> DataFrame:
 
 
 def quality_score(audits: DataFrame, limit: float = DPMI_LIMIT) -> DataFrame:
-    """Share of targets met per bucket and overall, in percent."""
+    """Share of targets met per bucket and overall, in percent; audits without a bucket have a row of their own."""
     scored = dpmi_score(audits, limit)
     return scored.rollup("bucket").agg(
         F.count("*").alias("targets"),
         F.count_if(F.col("target_met")).alias("met"),
         (F.count_if(F.col("target_met")) * 100.0 / F.count("*")).alias("score"),
-    ).withColumn("bucket", F.coalesce("bucket", F.lit("overall")))
+        F.grouping("bucket").alias("total"),
+    ).select(F.when(F.col("total") == 1, "overall").otherwise(F.col("bucket")).alias("bucket"), "targets", "met", "score")

@@ -40,8 +40,9 @@ def kpi_board(ledger: DataFrame, as_of: datetime, kpis: Sequence[c.TransportKpi]
         "transportlhmnr", "lhmnr", "zug_id", "created",
         (F.col(token) if token else F.lit(None).cast("string")).alias("token"),
         *[flag.alias(f"is_{name}") for name, flag in flags.items()])
+    starts = rows
     for key in dict.fromkeys(kpi.key for kpi in kpis):
-        done = closings(ledger, key).select(
+        done = closings(ledger, key, starts).select(
             key, "zug_id", F.col("done_at").alias(f"{key}_done_at"), F.col("blocked").alias(f"{key}_blocked"))
         rows = rows.join(done, [key, "zug_id"], "left")
     still_open = {
@@ -72,7 +73,7 @@ class KpiRegistry:
         return sorted(self._kpis)
 
     def snapshot(self, spark: SparkSession, ledger: DataFrame, as_of: datetime) -> DataFrame:
-        """One row: time, one number per KPI in name order, and the names that failed.
+        """One row: time, one number per KPI in name order, and the names that failed with their errors.
 
         Every KPI runs on its own, so that one that fails takes nothing else down; what
         comes back of each is a single number.
@@ -83,9 +84,9 @@ class KpiRegistry:
                 result = self._kpis[name](ledger, as_of)
                 row = result.select(F.col(result.columns[0]).cast("double")).first()
                 values[name] = row[0] if row is not None and row[0] is not None else 0.0
-            except Exception:
+            except Exception as error:  # a site's KPI may fail in any way; the row says which one and how
                 values[name] = None
-                failed.append(name)
+                failed.append(f"{name}: {type(error).__name__}")
         one = spark.range(1).select(
             stamp(as_of).alias("last_updated"),
             *[F.lit(values[name]).cast("double").alias(name) for name in self.names()],

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from palletrail.plans.transport import kpi_board
+from palletrail import config as c
+from palletrail.functions.predicates import stamp
 from palletrail.streaming.changes import write_epoch
+from palletrail.streaming.open_state import open_counts, open_transport_state
 
 
 def utc_now() -> datetime:
@@ -17,21 +19,27 @@ def utc_now() -> datetime:
 
 
 def kpi_board_stream(events: DataFrame, folder: str, as_of: Callable[[], datetime] = utc_now) -> DataStreamWriter:
-    """Store every batch of events and recompute the board from all that is stored.
+    """Add every batch to the stored state of open transports and read the board from it.
 
-    Events are stored by type, so the board reads the started, done and blocked ones and
-    skips the rest.  Start the writer with ``processingTime`` of the board period, or with
-    ``availableNow`` to catch up.
+    The state holds starts and closings summed up, not events; rows of other types never reach
+    it.  Start the writer with ``processingTime`` of the board period, or with ``availableNow`` to catch up.
     """
 
     def refresh(batch: DataFrame, epoch: int) -> None:
-        write_epoch(batch, f"{folder}/events", epoch, "typ_id")
-        stored = batch.sparkSession.read.parquet(f"{folder}/events")
-        write_epoch(kpi_board(stored, as_of()), f"{folder}/board", epoch)
+        write_epoch(open_transport_state(batch), f"{folder}/state", epoch)
+        write_epoch(board_of(batch.sparkSession, f"{folder}/state", as_of()), f"{folder}/board", epoch)
 
     return events.writeStream.foreachBatch(refresh)
 
 
+def board_of(spark: SparkSession, state: str, as_of: datetime) -> DataFrame:
+    """The stored state as the one row of the board."""
+    counts = open_counts(spark, state, as_of)
+    names = sorted(kpi.name for kpi in c.TRANSPORT_KPIS)
+    return counts.agg(*[F.max(F.when(F.col("kpi") == name, F.col("open_starts"))).alias(name) for name in names]).select(
+        stamp(as_of).alias("last_updated"), *names)
+
+
 def read_board(spark: SparkSession, folder: str) -> DataFrame:
     """The board as of the last batch."""
     boards = spark.read.parquet(f"{folder}/board")

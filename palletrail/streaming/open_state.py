@@ -1,10 +1,9 @@
 """Open transports kept up to date by a stream.
 
-The stream keeps, per day of event time, how many starts each KPI saw at each moment of a
-carrier and lifecycle, and when these were last completed or blocked.  Both are sums and
-maxima, so Spark's own streaming aggregation holds them, late events simply add to their
-day, and a day leaves the state once the watermark has passed it.  Whether a start is open
-is decided when the KPIs are read, from the stored aggregates.
+Each batch stores how many starts each KPI saw at each moment of a carrier and lifecycle, and
+when these were last completed or blocked.  Both are sums and maxima, so the parts of batches
+merge in any order and an event may be as late as it likes.  Whether a start is open is decided
+when the KPIs are read, from the merged parts; ``changes.compact`` keeps one row per key of them.
 """
 
 from __future__ import annotations
@@ -13,14 +12,20 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from palletrail import config as c
 from palletrail.functions.predicates import rolling_window
 from palletrail.operators.transports import ended, start_predicate
-from palletrail.streaming.changes import latest, with_event_time
+from palletrail.streaming.changes import merged, write_epoch
 
 LIFECYCLE = ["key", "carrier", "zug_id"]
-KEYS = ["day", *LIFECYCLE, "kpi", "token", "started"]
+KEYS = [*LIFECYCLE, "kpi", "token", "started"]
+
+
+def parts() -> list[Column]:
+    """How the stored columns of two batches are put together."""
+    return [F.sum("n").alias("n"), F.max("done_at").alias("done_at"), F.max("blocked").alias("blocked")]
 
 
 def _start(kpi: c.TransportKpi) -> Column:
@@ -37,34 +42,39 @@ def _closing(key: str) -> Column:
         F.lit(None).cast("timestamp_ntz").alias("started")))
 
 
-def open_transport_state(events: DataFrame, kpis: Sequence[c.TransportKpi] = c.TRANSPORT_KPIS,
-                         lateness: str = "1 day") -> DataFrame:
-    """Aggregates of the events, for update mode: a group is reported again when it changes.
+def open_transport_state(events: DataFrame, kpis: Sequence[c.TransportKpi] = c.TRANSPORT_KPIS) -> DataFrame:
+    """Aggregates of a batch of events; those of several batches merge by ``parts``.
 
     Starts are grouped by their moment as well, so a carrier with very many starts is many
-    groups; its closing events are one group per day and are combined before the shuffle.
+    groups; its closing events are one group and are combined before the shuffle.
     """
     keys = list(dict.fromkeys(kpi.key for kpi in kpis))
-    parts = F.filter(
+    found = F.filter(
         F.array(*[_start(kpi) for kpi in kpis], *[_closing(key) for key in keys]), lambda part: part.isNotNull())
-    rows = with_event_time(events, lateness).withColumn("part", F.explode(parts))
+    rows = events.withColumn("part", F.explode(found))
     carrier = F.coalesce(*[F.when(F.col("part.key") == key, F.col(key)) for key in keys])
     done = F.when(F.col("part.kpi").isNull() & (F.col("typ_id") == c.EVENT_DONE), F.col("created"))
     return (
         rows.groupBy(
-            F.window("event_time", "1 day").alias("window"), F.col("part.key").alias("key"), carrier.alias("carrier"),
+            F.col("part.key").alias("key"), carrier.alias("carrier"),
             "zug_id", F.col("part.kpi").alias("kpi"), F.col("part.token").alias("token"),
             F.col("part.started").alias("started"))
         .agg(F.count("*").alias("n"), F.max(done).alias("done_at"),
              F.max(F.col("typ_id") == c.EVENT_BLOCKED).alias("blocked"))
-        .select(F.to_date("window.start").alias("day"), *KEYS[1:], "n", "done_at", "blocked")
+        .select(*KEYS, "n", "done_at", "blocked")
     )
 
 
+def open_transport_stream(events: DataFrame, folder: str,
+                          kpis: Sequence[c.TransportKpi] = c.TRANSPORT_KPIS) -> DataStreamWriter:
+    return events.writeStream.foreachBatch(
+        lambda batch, epoch: write_epoch(open_transport_state(batch, kpis), folder, epoch))
+
+
 def open_counts(spark: SparkSession, path: str, as_of: datetime,
                 kpis: Sequence[c.TransportKpi] = c.TRANSPORT_KPIS) -> DataFrame:
     """The KPIs at a moment, from the stored aggregates: one row per KPI."""
-    stored = latest(spark, path, KEYS)
+    stored = merged(spark, path, KEYS, parts())
     closings = stored.where("kpi is null").groupBy(*LIFECYCLE).agg(
         F.max("done_at").alias("done_at"), F.max("blocked").alias("blocked"))
     starts = stored.where("kpi is not null").select(*LIFECYCLE, "kpi", "token", "started", "n")

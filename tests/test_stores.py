@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures.views import spark_view
-from palletrail.plans import transport
+from palletrail.plans import receive, transport
 from palletrail.sources import sinks
 from palletrail.streaming import board, changes, ingest, open_state
 
@@ -80,9 +80,10 @@ def test_open_transports_with_late_completions_equal_batch(spark, transports, tm
     """Completions arrive in batches after the starts, some of them out of order."""
     slices = ["typ_id = 42", "typ_id <> 42 and sequence % 2 = 1", "typ_id <> 42 and sequence % 2 = 0"]
     stream = in_slices(spark, transports, tmp_path, slices)
-    writer = open_state.open_transport_state(stream, lateness="60 days").writeStream.outputMode("update").foreachBatch(
-        lambda batch, epoch: changes.write_epoch(batch, f"{tmp_path}/out", epoch))
-    changes.run_available(writer, f"{tmp_path}/cp")
+    changes.run_available(open_state.open_transport_stream(stream, f"{tmp_path}/parts"), f"{tmp_path}/cp")
+    changes.compact(spark, f"{tmp_path}/parts", f"{tmp_path}/out", open_state.KEYS, open_state.parts())
+    stored = spark.read.parquet(f"{tmp_path}/out")
+    assert stored.count() == stored.select(*open_state.KEYS).distinct().count() < spark.read.parquet(f"{tmp_path}/parts").count()
     counts = {r["kpi"]: r["open_starts"] for r in open_state.open_counts(spark, f"{tmp_path}/out", AS_OF).collect()}
     batch = transport.kpi_board(transports, AS_OF).first().asDict()
     assert counts == {name: batch[name] for name in counts} and len(counts) == 6
@@ -94,9 +95,16 @@ def test_ingest_takes_every_row_once(spark, tmp_path):
         ledger.coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
     stream = (spark.readStream.schema(ledger.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true")
               .parquet(f"{tmp_path}/in"))
-    writer = ingest.ledger_ingest_dedup(stream, "9000 days").writeStream.format("parquet").option("path", f"{tmp_path}/out")
-    changes.run_available(writer, f"{tmp_path}/cp")
-    assert spark.read.parquet(f"{tmp_path}/out").count() == ledger.select(*ingest.ROW_KEY).distinct().count()
+    changes.run_available(ingest.ledger_ingest_dedup(stream, f"{tmp_path}/out"), f"{tmp_path}/cp")
+    kept = ingest.read_ingested(spark, f"{tmp_path}/out")
+    assert kept.count() == ledger.distinct().count() and kept.where("menge < 0").count() == ledger.where("menge < 0").distinct().count()
+    assert rows(receive.uph_kpis(kept)) == rows(receive.uph_kpis(ledger.distinct()))
+
+
+def test_closings_of_other_carriers_are_left_out_first(transports):
+    """The semi join with the recent starts stands below the aggregate of the closings."""
+    plan = transport.kpi_board(transports, AS_OF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and plan.index("max(") < plan.index("LeftSemi")
 
 
 def test_snapshot_marks_what_fails(spark, transports):
@@ -104,7 +112,7 @@ def test_snapshot_marks_what_fails(spark, transports):
     registry.register_kpi("broken", lambda ledger, as_of: ledger.select("nothing_like_it"))
     registry.register_kpi("empty", lambda ledger, as_of: ledger.where("false").select("sequence"))
     row = registry.snapshot(spark, transports, AS_OF).first()
-    assert row["failed"] == "broken" and row["broken"] is None and row["empty"] == 0
+    assert row["failed"] == "broken: AnalysisException" and row["broken"] is None and row["empty"] == 0
     board_row = transport.kpi_board(transports, AS_OF).first()
     assert all(row[kpi] == board_row[kpi] for kpi in ("we_bgl", "open_orders"))
 
