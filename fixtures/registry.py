@@ -484,8 +484,7 @@ def rotate_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = (ledger.where("menge > 0"), ledger.where("menge < 0"), ledger)
     for rows in runs:
         sinks.rotate_snapshot(tally(rows, "tpartnr"), path, "kpis", "04.2026")
-    return spark.read.option("basePath", path).schema(
-        "tpartnr int, n bigint, report string, month string, version string").parquet(path)
+    return sinks.read_stored(spark, path, "tpartnr int, n bigint, report string, month string, version string")
 
 
 def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,6 @@ from palletrail.functions import rules, times
 from palletrail.functions.predicates import nullable_unlike, report_predicate
 from palletrail.operators.enrich import enrich_dimension, select_rename
 from palletrail.operators.legs import LegFilter, in_legs, out_legs, pair_legs, pair_totals
-from palletrail.operators.skew import HOT_ROWS
 
 
 
@@ -72,8 +71,7 @@ def kpi_pivot(rows: DataFrame, keys: Sequence[str], measures: Mapping[str, Colum
     return rows.groupBy(*keys).agg(*sums, F.sum("pairs").alias("pairs")).where("pairs > 0").drop("pairs")
 
 
-def _kpi_report(ledger: DataFrame, how: LegFilter, by_user: bool, labels: Mapping[str, str],
-                hot_rows: int) -> DataFrame:
+def _kpi_report(ledger: DataFrame, how: LegFilter, by_user: bool, labels: Mapping[str, str]) -> DataFrame:
     outs = (
         out_legs(ledger, how, ("reference", "grade_sector", "sortable", "category_id", "source_id", "channel_id"))
         .withColumns({"date": times.iso_day(F.col("created")), "shift": times.shift_of(F.col("created"))})
@@ -84,29 +82,25 @@ def _kpi_report(ledger: DataFrame, how: LegFilter, by_user: bool, labels: Mappin
     rows = pair_totals(
         outs, ins, place, _RULE_OUT, [*_RULE_IN, "to_50", "to_disposal", "to_clarify"],
         {"quality": quality(), "category": category(), "source_channel": source_channel(labels),
-         "distribution_channel": distribution_channel("kpi")},
-        hot_rows=hot_rows)
+         "distribution_channel": distribution_channel("kpi")})
     result = kpi_pivot(rows, [*place, "category"], kpi_measures(labels))
     return result.orderBy(F.asc("date"), F.asc_nulls_last("shift"), F.asc_nulls_last("workstation"))
 
 
-def uph_kpis(ledger: DataFrame, how: LegFilter = LegFilter(), labels: Mapping[str, str] = c.SOURCES,
-             hot_rows: int = HOT_ROWS) -> DataFrame:
+def uph_kpis(ledger: DataFrame, how: LegFilter = LegFilter(), labels: Mapping[str, str] = c.SOURCES) -> DataFrame:
     """Received quantity per day, shift, workstation and category, by grade and channel."""
-    return _kpi_report(ledger, how, False, labels, hot_rows)
+    return _kpi_report(ledger, how, False, labels)
 
 
-def uph_kpis_by_user(ledger: DataFrame, how: LegFilter = LegFilter(), labels: Mapping[str, str] = c.SOURCES,
-                     hot_rows: int = HOT_ROWS) -> DataFrame:
+def uph_kpis_by_user(ledger: DataFrame, how: LegFilter = LegFilter(), labels: Mapping[str, str] = c.SOURCES) -> DataFrame:
     """The same KPIs per user as well; this report knows no reference filter."""
-    return _kpi_report(ledger, replace(how, reference=None), True, labels, hot_rows)
+    return _kpi_report(ledger, replace(how, reference=None), True, labels)
 
 
 SHIFT_KEYS = ("date", "shift", "source", "quality", "distchannel", "reference", "category", "sortid")
 
 
-def shift_report(ledger: DataFrame, how: LegFilter = LegFilter(), labels: Mapping[str, str] = c.SOURCES,
-                 hot_rows: int = HOT_ROWS) -> DataFrame:
+def shift_report(ledger: DataFrame, how: LegFilter = LegFilter(), labels: Mapping[str, str] = c.SOURCES) -> DataFrame:
     """Quantity moved to all-digit carriers, by eight dimensions, in order of the day."""
     outs = (
         out_legs(ledger, how)
@@ -114,12 +108,16 @@ def shift_report(ledger: DataFrame, how: LegFilter = LegFilter(), labels: Mappin
         .withColumnRenamed("out_reference", "reference")
     )
     ins = in_legs(ledger, how)
+    # Each kind of goods takes its sorting id from one leg; the other leg's would only multiply groups.
+    normal = F.col("good_type") == "NORMAL"
+    outs = outs.withColumn("out_sort_id", F.when(normal, F.col("out_sort_id")))
+    ins = ins.withColumn("in_sort_id", F.when(~normal, F.col("in_sort_id")))
     rows = pair_totals(
         outs, ins, ["day", "shift", "reference"], [*_RULE_OUT, "out_sort_id"], [*_RULE_IN, "in_sort_id", "to_50"],
         {"source": source_channel(labels), "quality": quality(), "distchannel": distribution_channel("base"),
          "category": category(),
          "sortid": rules.by_origin(F.col("good_type"), F.col("out_sort_id"), F.col("in_sort_id"))},
-        numeric_target=True, hot_rows=hot_rows)
+        numeric_target=True)
     total = (
         rows.groupBy("day", *SHIFT_KEYS[1:])
         .agg(F.sum("quantity").alias("quantity"), F.sum("pairs").alias("pairs"))
@@ -192,7 +190,7 @@ def volume_measures() -> dict[str, Column]:
     }
 
 
-def receive_volume(ledger: DataFrame, how: LegFilter = LegFilter(), hot_rows: int = HOT_ROWS) -> DataFrame:
+def receive_volume(ledger: DataFrame, how: LegFilter = LegFilter()) -> DataFrame:
     """Volume per day by carrier family and channel, latest day first; any target place counts."""
     how = replace(how, target=None)
     outs = out_legs(ledger, how, ("reference", "source_id", "channel_id")).withColumn("day", F.to_date("created"))
@@ -202,7 +200,7 @@ def receive_volume(ledger: DataFrame, how: LegFilter = LegFilter(), hot_rows: in
         ["in_source_id", "in_channel_id", "to_50", "to_3", "to_5", "to_6"],
         {"distribution_channel": distribution_channel("base"), "to_3": F.col("to_3"), "to_5": F.col("to_5"),
          "to_6": F.col("to_6")},
-        numeric_target=True, hot_rows=hot_rows)
+        numeric_target=True)
     days = kpi_pivot(rows, ["day"], volume_measures()).orderBy(F.desc("day"))
     return days.select(times.day_text(F.col("day")).alias("date_only"),
                        times.month_key(F.col("day")).alias("year_month"), *volume_measures())

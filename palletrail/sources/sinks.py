@@ -20,6 +20,15 @@ def replace_by_key(df: DataFrame, path: str, key: str) -> None:
     df.hint("rebalance", F.col(key)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
 
 
+def read_stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A stored table with the column types it was written with.
+
+    Partition columns are text in folder names; without a schema a month ``04.2026`` would be
+    read as a number and a day as a date.
+    """
+    return spark.read.schema(schema).option("basePath", path).parquet(path)
+
+
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
