@@ -69,8 +69,8 @@ def rule_chains(rules: DataFrame) -> DataFrame:
 
 def rule_table(docs_or_pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
     """The rules (verdict, host, path) with their keys, as a table of the session of the given one."""
-    spark = docs_or_pages.sparkSession
-    return spark.createDataFrame(list(rules), "verdict string, host string, path string").where("host <> ''").select(
+    listed = [F.struct(*[F.lit(part).alias(name) for name, part in zip(("verdict", "host", "path"), rule)]) for rule in rules]
+    return docs_or_pages.sparkSession.range(1).select(F.inline(F.array(*listed))).where("host <> ''").select(
         F.translate("host", UPPER, LOWER).alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict").withColumn(
         "key", host_key(F.col("host")))
 
