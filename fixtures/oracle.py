@@ -103,6 +103,12 @@ PLACE = f"strftime(created, '%Y-%m-%d') AS date, {shift('created')} AS shift, zi
 PLACE_BY = f"strftime(created, '%Y-%m-%d'), {shift('created')}, ziel"
 
 UPH_KPIS = kpis(PLACE, PLACE_BY)
+
+
+def nightly_kpis(windows) -> str:
+    return kpis(PLACE, PLACE_BY, " OR ".join(f"o.created BETWEEN TIMESTAMP '{start}' AND TIMESTAMP '{end}'" for start, end in windows))
+
+
 UPH_KPIS_BY_USER = kpis(PLACE + ', createdby AS "user"', PLACE_BY + ", createdby")
 
 SORT_ID = f"CASE good_type WHEN 'NORMAL' THEN {attr('cd1', 'SORTINGCRITERIAID_ART')} ELSE {attr('cd2', 'SORTINGCRITERIAID_ART')} END"

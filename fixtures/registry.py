@@ -5,13 +5,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fixtures import oracle
 from fixtures.views import spark_view, stream_view
-from palletrail import config as c
+from palletrail import config as c, jobs
 from palletrail.functions import predicates, rules, text, times
 from palletrail.functions.attributes import json_fields
 from palletrail.operators import enrich, legs, transports
@@ -494,6 +494,20 @@ def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# --- Jobs: days loaded in turn, the first one twice ---------------------------------------------
+
+JOB_DAYS = [date(1995, 4, 5), date(1998, 12, 25), date(2000, 4, 11)]
+
+
+def nightly_kpis_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, ledger = new_folder(spark, "nightly"), spark_view(spark, sf_dir, "ledger")
+    for day in [*JOB_DAYS, JOB_DAYS[0]]:
+        jobs.nightly_kpis(ledger, day, folder, AS_OF)
+    columns = ", ".join(f"`{name}` {kind}" for name, kind in receive.uph_kpis(ledger).dtypes)
+    return sinks.read_stored(spark, f"{folder}/uph_kpis", columns)
+
+
+QUERIES["nightly_kpis_job"], ORACLE["nightly_kpis_job"] = nightly_kpis_job, oracle.nightly_kpis([times.run_window(d) for d in JOB_DAYS])
 QUERIES["replace_by_key"], ORACLE["replace_by_key"] = replace_by_key, oracle.REPLACE_BY_KEY
 QUERIES["rotate_snapshot"], ORACLE["rotate_snapshot"] = rotate_snapshot, oracle.ROTATE
 QUERIES["full_refresh"], ORACLE["full_refresh"] = full_refresh, oracle.FULL_REFRESH
