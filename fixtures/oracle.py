@@ -138,7 +138,7 @@ BOOKING_DETAIL_NUMERIC = with_views(detail(CHANNEL_BASE, True) + "SELECT * FROM
 BOOKING_DETAIL_TERMINAL = with_views(detail(CHANNEL_BASE, True, CATEGORY_NORMAL) + "SELECT * FROM d", "ledger")
 
 BRANDS = """brands AS (SELECT ean, min(brand_name) AS brand_name FROM brand_dim GROUP BY ean)"""
-BRAND = ("coalesce(CASE d.ean WHEN '200000007' THEN 'Dummy Home B' WHEN '200000013' THEN 'Dummy Shoes All' END, "
+BRAND = ("coalesce(CASE d.ean WHEN '200000007' THEN 'Mixed household lot' WHEN '200000013' THEN 'Mixed footwear lot' END, "
          "brands.brand_name, 'no brand info')")
 
 

@@ -24,7 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 VIEWS_OF: dict[str, tuple[str, ...]] = {}
 
-OVERRIDES = {"200000007": "Dummy Home B", "200000013": "Dummy Shoes All"}
+OVERRIDES = {"200000007": "Mixed household lot", "200000013": "Mixed footwear lot"}
 
 
 def query(name: str, sql: str | None, *views: str):

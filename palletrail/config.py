@@ -200,6 +200,7 @@ class MonthlyReport:
 
     name: str
     where: dict[str, str]
+    # Column names of the hand-over.
     columns: dict[str, str] = field(default_factory=lambda: {
         "timestamp": "timestamp",
         "ean": "ean",
