@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from palletrail import config as c
 from palletrail.functions.attributes import json_fields
 from palletrail.functions.predicates import between_window, keep, ref_filter, self_transfer_drop
-from palletrail.operators.skew import HOT_ROWS, hot_keys, sequence_index
+from palletrail.operators.skew import HOT_ROWS, hot_keys, sequence_index, split_by
 
 KEY = "local_transaction_id"
 
@@ -97,17 +97,18 @@ def pair_legs(outs: DataFrame, ins: DataFrame, numeric_target: bool = False) ->
 
 def pair_totals(
     outs: DataFrame, ins: DataFrame, place: Sequence[str], rule_out: Sequence[str], rule_in: Sequence[str],
-    described: Mapping[str, Column], numeric_target: bool = False,
+    described: Mapping[str, Column], numeric_target: bool = False, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Quantity and number of pairs by columns of the out leg and by what both legs say together.
 
     Same pairs as :func:`pair_legs`, for reports that sum them up.  ``place`` are columns of
     the out leg that are kept, ``described`` are expressions over ``rule_out`` and ``rule_in``.
 
-    Pairs are counted instead of built, for every transaction alike: all pairs of its groups, less those that
-    stay on one carrier.  Its distinct rule values are described first, once per combination, so
-    that the legs then meet a handful of descriptions, and the work grows with the legs and not
-    with their product, on whichever side they are many.  Groups whose pairs cancel out remain, with 0 pairs in total.
+    Transactions with few legs are joined.  In a transaction with very many legs on either side the pairs
+    are counted instead of built: all pairs of its groups, less those that stay on one
+    carrier.  Its distinct rule values are described first, once per combination, so that
+    the legs then meet a handful of descriptions, and the work grows with the legs and not
+    with their product.  Groups whose pairs cancel out remain, with 0 pairs in total.
     """
     key, measures = ["good_type", KEY], ["quantity", "pairs"]
     flags = list(dict.fromkeys([*rule_in, "to_numeric"]))
@@ -117,12 +118,21 @@ def pair_totals(
     outs = outs.select(*key, "source_lhm", "quantity", *place, *rule_out)
     ins = ins.select(*key, "ziel_lhm", *flags)
 
+    def built(some_outs: DataFrame, some_ins: DataFrame) -> DataFrame:
+        one = F.lit(1).cast("bigint").alias("pairs")
+        return pair_legs(some_outs, some_ins, numeric_target).select(*columns, "quantity", one)
+
+    hot = sorted({*hot_keys(outs, KEY, hot_rows), *hot_keys(ins, KEY, hot_rows)})
+    if not hot:
+        return built(outs, ins)
+    hot_outs, few_outs = split_by(outs, hot, KEY)
+    hot_ins, few_ins = split_by(ins, hot, KEY)
     if numeric_target:
-        ins = ins.where("to_numeric")
+        hot_ins = hot_ins.where("to_numeric")
 
-    many_outs = outs.groupBy(*key, "source_lhm", *place, *rule_out).agg(
+    many_outs = hot_outs.groupBy(*key, "source_lhm", *place, *rule_out).agg(
         F.sum("quantity").alias("q"), F.count("*").alias("n"))
-    many_ins = ins.groupBy(*key, "ziel_lhm", *flags).agg(F.count("*").alias("m"))
+    many_ins = hot_ins.groupBy(*key, "ziel_lhm", *flags).agg(F.count("*").alias("m"))
 
     # What each combination of rule values is worth, with all arrivals of the transaction.
     combinations = many_outs.select(*key, *rule_out).distinct().join(
@@ -142,7 +152,7 @@ def pair_totals(
         many_outs.join(many_ins.withColumnRenamed("ziel_lhm", "source_lhm"), [*key, "source_lhm"])
         .select(*columns, (-F.col("q") * F.col("m")).alias("quantity"), (-F.col("n") * F.col("m")).alias("pairs"))
     )
-    return all_pairs.select(*result).unionByName(same_carrier.select(*result))
+    return built(few_outs, few_ins).unionByName(all_pairs.select(*result)).unionByName(same_carrier.select(*result))
 
 
 # Order of a transaction's rows; the columns after the sequence only settle ties.

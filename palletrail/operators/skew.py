@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 MAX_HOT_KEYS = 1000
 TRACKED_KEYS = 20_000
-HOT_ROWS = 20_000
+HOT_ROWS = 5_000
 
 # Largest table sent whole to every executor, by the optimizer's own size estimate.
 BROADCAST_BYTES = 32 << 20
