@@ -240,7 +240,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
 
     Rows that agree in id and text count as one.
     """
-    rows = grouped_rows(docs, id_col, text_col, size, radius, tile_rows)
+    return first_of_groups(docs, grouped_rows(docs, id_col, text_col, size, radius, tile_rows), id_col, text_col)
+
+
+def first_of_groups(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with the first row of each ``root`` of ``rows`` (id, text_hash, root), as in ``keep_one``."""
     best = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("_0"), F.col("id").alias("_1"),
                                                    F.col("text_hash").alias("_2"))).alias("best")).select("best.*")
     key = lambda name: F.coalesce(F.col(name).cast("string"), F.lit("null"))
