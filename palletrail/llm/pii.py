@@ -1,7 +1,7 @@
 """Format-preserving pseudonyms for personal numbers and dates by keyed Feistel permutations.
 
-A value is replaced only if it is valid: card numbers by their check digit, telephone and social
-security numbers and addresses by the ranges of their parts, dates by the calendar.  Each kind is permuted
+A value is replaced only if it is valid: card numbers by their check digit, telephone numbers by
+their layout, social security numbers and addresses by the ranges of their parts, dates by the calendar.  Each kind is permuted
 within its valid values and written in the layout found, so that equal values get equal
 pseudonyms in every document and different ones stay different.  The round function is SHA-256
 of key, kind, round and the other half.  Mail addresses are no numbers: the letters and
@@ -29,7 +29,9 @@ ISO_DATE = r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])"
 DOT_DATE = r"(?<![0-9.])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?![0-9])"
 SLASH_DATE = r"(?<![0-9/])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9])"
 SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-PHONE = r"(?<![0-9A-Za-z])(?:\+1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])"
+# A country code, brackets or even separators tell a telephone number; with blanks alone its codes must be valid.
+PHONE = (r"(?<![0-9A-Za-z])(?:\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
+         r"|[0-9]{3}-[0-9]{3}-[0-9]{4}|[0-9]{3}\.[0-9]{3}\.[0-9]{4}|[2-9][0-9]{2}[ .-][2-9][0-9]{2}[ .-][0-9]{4})(?![0-9])")
 CARD = r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
 FORMS = {"mail": MAIL, "address": ADDRESS, "iso_date": ISO_DATE, "dot_date": DOT_DATE, "slash_date": SLASH_DATE,
          "social": SOCIAL, "phone": PHONE, "card": CARD}
@@ -95,9 +97,14 @@ def card(value: Column, key: str) -> Column:
 def phone(value: Column, key: str) -> Column:
     number, prefix = digits(value), F.length(digits(value)) - 10
     last = F.substring(number, prefix + 1, F.lit(10))
-    area, rest = F.substring(last, 1, 3).cast("long") - 200, F.substring(last, 4, 7).cast("long") - 2_000_000
-    out = feistel(area, rest, F.lit(800), F.lit(8_000_000), key, "phone")
-    new = F.concat((out["a"] + 200).cast("string"), (out["b"] + 2_000_000).cast("string"))
+    area, rest = F.substring(last, 1, 3).cast("long"), F.substring(last, 4, 7).cast("long")
+    # Valid numbers, those of other area codes and those of other exchanges are each permuted among themselves.
+    low, short = area < 200, rest < 2_000_000
+    from_a, size_a = F.when(low, 0).otherwise(200), F.when(low, 200).otherwise(800)
+    from_b = F.when(low | short, 0).otherwise(2_000_000)
+    size_b = F.when(low, 10_000_000).when(short, 2_000_000).otherwise(8_000_000)
+    out = feistel(area - from_a, rest - from_b, size_a, size_b, key, "phone")
+    new = F.concat(pad(out["a"] + from_a, 3), pad(out["b"] + from_b, 7))
     return F.when(prefix == 1, into_layout(value, new, 1)).otherwise(into_layout(value, new))
 
 
