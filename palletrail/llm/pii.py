@@ -32,9 +32,13 @@ SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 # A country code, brackets or even separators tell a telephone number; with blanks alone its codes must be valid.
 PHONE = (r"(?<![0-9A-Za-z])(?:\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
          r"|[0-9]{3}-[0-9]{3}-[0-9]{4}|[0-9]{3}\.[0-9]{3}\.[0-9]{4}|[2-9][0-9]{2}[ .-][2-9][0-9]{2}[ .-][0-9]{4})(?![0-9])")
-CARD = r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
+# A run of groups of digits that may hold cards, and the layouts of a card within it: of the loose form are only groups of three or more.
+RUN = (r"(?<![0-9A-Za-z])(?=(?:[ -]?[0-9]){13})[0-9]++(?![A-Za-z])(?:[ -][0-9]++(?![A-Za-z]))*+")
+CARD = (r"\A(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{1,3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5})\z")
+LOOSE = r"\A[0-9]{3,}(?:[ -][0-9]{3,})+\z"
+MOST_GROUPS = 19
 FORMS = {"mail": MAIL, "address": ADDRESS, "iso_date": ISO_DATE, "dot_date": DOT_DATE, "slash_date": SLASH_DATE,
-         "social": SOCIAL, "phone": PHONE, "card": CARD}
+         "social": SOCIAL, "phone": PHONE}
 ANY = "|".join(FORMS.values())
 
 
@@ -94,6 +98,60 @@ def card(value: Column, key: str) -> Column:
     return F.when(luhn_sum(number, 1) % 10 == 0, into_layout(value, new))
 
 
+def card_spans(tokens: Column) -> Column:
+    """(at, size) of the groups of digits that are a card, from the first on; a known layout goes first, then the longest."""
+    count = F.size(tokens)
+
+    def best(_: Column, at: Column) -> Column:
+        def fits(size: Column) -> Column:
+            whole = F.array_join(F.slice(tokens, at + 1, size), "")
+            value = F.rtrim(F.regexp_replace(whole, "[ -]$", ""))
+            number = digits(value)
+            formed = F.when(value.rlike(CARD), 2).when(value.rlike(LOOSE) | ((at == 0) & (size == count)), 1).otherwise(0)
+            valid = F.length(number).between(13, 19) & (formed > 0)
+            return F.when(valid, F.when(luhn_sum(number, 1) % 10 == 0, F.struct(formed.alias("formed"), size.alias("size"))))
+
+        sizes = F.sequence(F.lit(1), F.least(F.lit(MOST_GROUPS), count - at))
+        return F.coalesce(F.array_max(F.transform(sizes, fits))["size"], F.lit(0))
+
+    start = F.struct(F.lit(0).alias("next"), F.array().cast("array<struct<at:int,size:int>>").alias("spans"))
+
+    def step(s: Column, x: Column) -> Column:
+        span = F.struct(x["at"].alias("at"), x["size"].alias("size"))
+        return F.when((x["at"] >= s["next"]) & (x["size"] > 0), F.struct(
+            (x["at"] + x["size"]).alias("next"), F.array_append(s["spans"], span).alias("spans"))).otherwise(s)
+
+    sized = F.transform(tokens, lambda t, at: F.struct(at.alias("at"), best(t, at).alias("size")))
+    return F.aggregate(sized, start, step)["spans"]
+
+
+def cards(run: Column, key: str) -> Column:
+    """(text, n): a run of groups of digits with its cards replaced, and how many."""
+    tokens = F.regexp_extract_all(run, F.lit("[0-9]+[ -]?"), F.lit(0))
+
+    def made(spans: Column) -> Column:
+        def piece(token: Column, at: Column) -> Column:
+            own = F.filter(spans, lambda s: (at >= s["at"]) & (at < s["at"] + s["size"]))
+            first = F.get(own, F.lit(0))
+            return F.when(F.size(own) == 0, token).when(
+                at == first["at"], card(F.array_join(F.slice(tokens, at + 1, first["size"]), ""), key)).otherwise("")
+
+        return F.struct(F.array_join(F.transform(tokens, piece), "").alias("text"), F.size(spans).alias("n"))
+
+    return F.get(F.transform(F.array(card_spans(tokens)), made), F.lit(0))
+
+
+def with_cards(gap: Column, key: str) -> Column:
+    """(text, n): a stretch of text without other values, with its cards replaced, and how many."""
+    def made(runs: Column) -> Column:
+        texts = F.zip_with(F.split(gap, RUN, -1), runs, lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b["text"], F.lit(""))))
+        return F.struct(F.array_join(texts, "").alias("text"), F.aggregate(runs, F.lit(0), lambda n, r: n + r["n"]).alias("n"))
+
+    found = F.transform(F.regexp_extract_all(gap, F.lit(RUN), F.lit(0)), lambda r: cards(r, key))
+    plain = F.struct(gap.alias("text"), F.lit(0).alias("n"))
+    return F.when(gap.rlike(RUN), F.get(F.transform(F.array(found), made), F.lit(0))).otherwise(plain)
+
+
 def phone(value: Column, key: str) -> Column:
     number, prefix = digits(value), F.length(digits(value)) - 10
     last = F.substring(number, prefix + 1, F.lit(10))
@@ -150,7 +208,7 @@ def pseudonym(value: Column, key: str) -> Column:
     whole = lambda form: value.rlike(rf"\A(?:{form})\z")
     made = {"mail": mail(value, key), "address": address(value, key), "iso_date": day(value, "yyyy-MM-dd", key),
             "dot_date": day(value, "dd.MM.yyyy", key), "slash_date": day(value, "MM/dd/yyyy", key),
-            "social": social(value, key), "phone": phone(value, key), "card": card(value, key)}
+            "social": social(value, key), "phone": phone(value, key)}
     choice = F.lit(None).cast("string")
     kind = F.lit(None).cast("string")
     for name, form in reversed(FORMS.items()):
@@ -164,11 +222,13 @@ def pseudonymised(docs: DataFrame, text_col: str = "text", key: str = KEY, count
     text = F.col(text_col)
     found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
     drawn = F.transform(found, lambda v: F.coalesce(pseudonym(v, key)["text"], F.concat(F.lit("\u0000"), v)))
-    some = text.rlike("[0-9@]") & text.rlike(ANY)
-    made = fresh(docs, "drawn")
-    rows = docs.withColumn(made, F.when(some, drawn))
+    made, gaps = fresh(docs, "drawn"), fresh(docs, "gaps")
+    some = text.rlike("[0-9@]") & (text.rlike(ANY) | text.rlike(RUN))
+    # Cards are looked for between the other values, so that a run of digits cannot take those in.
+    rows = docs.withColumn(made, F.when(some, drawn)).withColumn(
+        gaps, F.when(some, F.transform(F.split(text, ANY, -1), lambda g: with_cards(g, key))))
     plain = lambda p: F.when(F.startswith(p, F.lit("\u0000")), F.substring(p, F.lit(2), F.length(p))).otherwise(p)
-    joined = F.array_join(F.zip_with(F.split(text, ANY, -1), made, lambda gap, p: F.concat(gap, F.coalesce(plain(p), F.lit("")))), "")
-    replaced = F.coalesce(F.size(F.filter(made, lambda p: ~F.startswith(p, F.lit("\u0000")))), F.lit(0))
+    joined = F.array_join(F.zip_with(gaps, made, lambda gap, p: F.concat(gap["text"], F.coalesce(plain(p), F.lit("")))), "")
+    replaced = F.size(F.filter(made, lambda p: ~F.startswith(p, F.lit("\u0000")))) + F.aggregate(gaps, F.lit(0), lambda n, g: n + g["n"])
     return rows.withColumns({count_col: F.when(F.col(made).isNotNull(), replaced).otherwise(0).cast("long"),
-                             text_col: F.when(F.col(made).isNotNull(), joined).otherwise(text)}).drop(made)
+                             text_col: F.when(F.col(made).isNotNull(), joined).otherwise(text)}).drop(made, gaps)

@@ -36,3 +36,15 @@ def test_no_telephone_number_of_the_layout_is_left(spark):
     after = {r["doc_id"]: numbers(r["text"]) for r in pii.pseudonymised(docs).collect()}
     both = [(a, b) for i in before for a, b in zip(before[i], after[i])]
     assert len(both) == 159 and sum(a == b for a, b in both) == 0
+
+
+def test_cards_next_to_other_digits(spark):
+    card = "4111 1111 1111 1111"
+    texts = [f"{card} 12/25", "4111111111111111 123", f"2024 {card}", f"a {card} 5500-0000-0000-0004 b", "7 3782 822463 10005 5", f"{card} 5x",
+             "12 1984-02-29 543-555-9258", "10 20 30 40 50 60 70 80", f"on 2024-01-05 {card}-1"]
+    out, n = replaced(spark, texts)
+    assert n == [1, 1, 1, 2, 1, 1, 2, 0, 2]
+    assert not any("1111 1111" in t or "11111111" in t or "5500" in t or "822463" in t for t in out)
+    assert [re.sub("[0-9]", "9", t) for t in out] == [re.sub("[0-9]", "9", t) for t in texts]
+    assert out[0].endswith(" 12/25") and out[1].endswith(" 123") and out[2].startswith("2024 ") and out[5].endswith(" 5x")
+    assert out[0][:19].replace(" ", "") == out[1][:16] == out[2][5:].replace(" ", "")
