@@ -3,8 +3,9 @@
 Windows have as many shingles of ``SHINGLE`` words as an item.  Weighted similarity of ``t`` needs
 2t / (1 + t) of a window's shingles to be the item's, so only windows with that many shingles of items of
 their size get a fingerprint; the others cannot be near.  Fingerprints within ``RADIUS`` bits agree
-in at least one of ``RADIUS + 1`` blocks, on which windows and items are joined; what is left is
-compared exactly, as the weighted overlap of shingle counts.
+in at least one of ``RADIUS + 1`` blocks, on which windows and items are joined.  Pairs beyond the radius come from the shared shingles: a window
+similar to an item holds one of the item's ``m - ceil(t * m) + 1`` rarest.  All pairs are
+compared exactly, as the weighted overlap of shingle counts, so that none is missed.
 
 Nulls and edges: null and empty texts, and items without a word, match nothing; a text or item of
 fewer than ``SHINGLE`` words is one shingle; a text shorter than an item is one window; rows that agree in id and text
@@ -13,7 +14,7 @@ are one; items that repeat an id are compared each for itself, and the best is r
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palletrail.llm.common import stored
@@ -66,6 +67,15 @@ def blocks(bits: Column, radius: int) -> Column:
     return F.explode(F.array(*each))
 
 
+def telling(item: DataFrame, similarity: float) -> DataFrame:
+    """(item, item_hash, m, h): the rarest shingles of each item, so many that a window without any of them is not similar."""
+    often = item.groupBy("m", "h").agg(F.count("*").alias("items"))
+    before = Window.partitionBy("item", "item_hash", "m").orderBy("items", "h").rowsBetween(Window.unboundedPreceding, -1)
+    placed = item.join(often, ["m", "h"]).withColumn("before", F.coalesce(F.sum("c").over(before), F.lit(0)))
+    spare = F.col("m") - F.ceil(F.round(F.lit(similarity) * F.col("m"), 6))
+    return placed.where(F.col("before") <= spare).select("item", "item_hash", "m", "h")
+
+
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", size: int = SHINGLE,
                  similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
@@ -106,7 +116,9 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     right = simhash(item, ["item", "item_hash", "m"]).select("item", "item_hash", "m", F.col("bits").alias("b"), blocks(F.col("bits"), radius).alias("k"))
     left, right = left.select(*window, "a", "k.*"), right.select("item", "item_hash", "m", "b", "k.*")
     near = left.join(right, ["m", "block", "value"]).where(
-        F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius).select(*window, "item", "item_hash").distinct()
+        F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius).select(*window, "item", "item_hash")
+    told = if_small(stored(telling(item, similarity), "telling-shingles"))
+    near = near.union(parts.join(told, ["m", "h"]).select(*window, "item", "item_hash")).distinct()
     counts = parts.select(*[F.col(c).alias(f"_{c}") for c in window], "h", F.col("c").alias("cw"))
     met = near.join(counts, near["id"].eqNullSafe(counts["_id"]) & (near["text_hash"] == counts["_text_hash"])
                     & (near["m"] == counts["_m"]) & (near["start"] == counts["_start"]))
