@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from palletrail.llm import decontam, mixing, overlap, quality, tokens
+from palletrail.llm import decontam, mixing, quality, simhash, tokens
 from palletrail.llm.common import stored, table
 
 
@@ -20,8 +20,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that similarities of 0.8 or more on five-word shingles link, that of the smallest id."""
-    return overlap.keep_one(docs)
+    """One document of each group that fingerprints of four-word shingles within 4 bits link, that of the smallest id."""
+    return simhash.keep_one(docs, size=4, radius=4)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
