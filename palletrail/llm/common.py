@@ -44,8 +44,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def python_ready(spark: SparkSession, rows: int = 512) -> None:
-    """Lets tasks import this package, and hands them texts at most ``rows`` at a time.
+def python_ready(spark: SparkSession, rows: int = 512, size: int = 16 << 20) -> None:
+    """Lets tasks import this package, and hands them texts at most ``rows`` and about ``size`` bytes at a time.
 
     The package is sent to the executors as a zip file through Spark, once per application.  A
     lower setting of the session for the rows of a batch stays.
@@ -53,6 +53,9 @@ def python_ready(spark: SparkSession, rows: int = 512) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > rows or int(spark.conf.get(key)) <= 0:
         spark.conf.set(key, str(rows))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).rstrip("b")) > size:
+        spark.conf.set(key, f"{size}b")
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         root = Path(__file__).resolve().parents[2]
@@ -61,6 +64,20 @@ def python_ready(spark: SparkSession, rows: int = 512) -> None:
         _SHIPPED.add(app)
 
 
+def join_facts(rows: DataFrame, facts: DataFrame, key: str, count: str = "n") -> DataFrame:
+    """``rows`` with the columns of stored ``facts`` (one row per ``key``) but ``count``, the number of rows of the key.
+
+    Keys that hold a thousandth of all rows or more are 1,000 at most, and are broadcast; all
+    others are shuffled, none of which can be large.
+    """
+    total = facts.agg(F.sum(count)).first()[0] or 0
+    hot = facts.where(F.col(count) * 1000 >= total).drop(count).withColumn("_hot", F.lit(True))
+    marked = rows.join(F.broadcast(hot), key, "left")
+    rest = marked.where(F.col("_hot").isNull()).select(rows.columns).join(
+        facts.where(F.col(count) * 1000 < total).drop(count).hint("merge"), key)
+    return marked.where(F.col("_hot")).drop("_hot").unionByName(rest)
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the fifth of all documents that no model may learn from; false where the id is null."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))

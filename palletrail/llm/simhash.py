@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palletrail.llm.common import components, fresh, python_ready, stored
+from palletrail.llm.common import components, fresh, join_facts, python_ready, stored
 
 SEED = 42
 LANE = np.uint64(0x0000000100000001)
@@ -215,22 +215,38 @@ def near_groups(fps: DataFrame, radius: int = 4, tile_rows: int = 4096) -> DataF
     met = pairs.join(side("a"), "ta").join(side("b"), "tb").select("fa", "ga", "fb", "gb")
     links = cut.select("fps", "groups").mapInPandas(_inner, "a long, b long").union(
         met.mapInPandas(_outer(radius), "a long, b long"))
-    return components(links).select(F.col("node").alias("fp"), "root")
+    found = components(links).select(F.col("node").alias("fp"), "root")
+    return found.union(found.select("root", "root").distinct())
 
 
-def grouped_rows(docs: DataFrame, id_col: str, text_col: str, size: int, radius: int, tile_rows: int) -> DataFrame:
-    """(id, text_hash, fp, root) for each row: its fingerprint and the group it belongs to."""
+def grouped(docs: DataFrame, id_col: str, text_col: str, size: int, radius: int, tile_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The fingerprint of each row (id, text_hash, fp), and of each distinct fingerprint (fp, n, best, root).
+
+    ``best`` names its row of the smallest id (null last), then text hash; ``root`` is null without links.
+    """
     fps = stored(with_fingerprint(docs, id_col, text_col, size), "fingerprints")
-    roots = near_groups(fps, radius, tile_rows)
-    return fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = F.min(F.struct(F.col("id").isNull().alias("_0"), F.col("id").alias("_1"), F.col("text_hash").alias("_2")))
+    distinct = stored(fps.groupBy("fp").agg(F.count("*").alias("n"), least.alias("best")), "distinct")
+    return fps, stored(distinct.join(near_groups(distinct, radius, tile_rows), "fp", "left"), "groups")
+
+
+def best_of_groups(distinct: DataFrame) -> DataFrame:
+    """(root, n, best): per linked group the number of fingerprints and the best row of all."""
+    return distinct.where("root is not null").groupBy("root").agg(F.count("*").alias("n"), F.min("best").alias("best"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4,
                     radius: int = 4, tile_rows: int = 4096) -> DataFrame:
-    """(id, fingerprint, component_id) for each row; ``component_id`` is the smallest id that links reach."""
-    rows = grouped_rows(docs, id_col, text_col, size, radius, tile_rows)
-    named = rows.groupBy("root").agg(F.min("id").alias("component_id"))
-    return rows.join(named, "root").select(
+    """(id, fingerprint, component_id) for each row; ``component_id`` is the smallest id that links reach.
+
+    Groups are settled over distinct fingerprints; rows then meet their fingerprint.
+    """
+    fps, distinct = grouped(docs, id_col, text_col, size, radius, tile_rows)
+    groups = stored(best_of_groups(distinct), "best")
+    linked = join_facts(distinct.where("root is not null").select("root", "fp", F.col("n").alias("rows")), groups, "root")
+    named = linked.select("fp", F.col("rows").alias("n"), F.col("best._1").alias("component_id")).union(
+        distinct.where("root is null").select("fp", "n", "best._1"))
+    return join_facts(fps.select("id", "fp"), stored(named, "named"), "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -240,13 +256,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
 
     Rows that agree in id and text count as one.
     """
-    return first_of_groups(docs, grouped_rows(docs, id_col, text_col, size, radius, tile_rows), id_col, text_col)
-
-
-def first_of_groups(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with the first row of each ``root`` of ``rows`` (id, text_hash, root), as in ``keep_one``."""
-    best = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("_0"), F.col("id").alias("_1"),
-                                                   F.col("text_hash").alias("_2"))).alias("best")).select("best.*")
+    _, distinct = grouped(docs, id_col, text_col, size, radius, tile_rows)
+    best = best_of_groups(distinct).select("best.*").union(distinct.where("root is null").select("best.*"))
     key = lambda name: F.coalesce(F.col(name).cast("string"), F.lit("null"))
     id_key, text_key = fresh(docs, "id_key"), fresh(docs, "text_key")
     best = best.select(key("_1").alias(id_key), F.col("_2").alias(text_key)).distinct()

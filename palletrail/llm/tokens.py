@@ -35,7 +35,9 @@ SELECTORS = ((240, 0), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (1
 ESCAPE_BITS = 60
 BLOCK_IDS = 1 << 16
 CHUNK_IDS = 1 << 20
-CACHED_WORDS = 400_000
+CACHE_BYTES = 32 << 20  # of each of the two generations of coded pieces
+BATCH_CHARS = 1 << 20  # of the texts coded in one go; a longer text is coded alone
+ENTRY_BYTES = 200  # of a dictionary entry besides its two strings
 # Fixed value: the pattern by which the tokenizer splits lower-cased text.
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\t-\r \x85\xa0\p{L}\p{N}]+")
 # Special tokens; letters whose lower case is not one fixed letter; scripts whose classes change with the Unicode version.
@@ -138,6 +140,7 @@ class Encoder:
         self.to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.held = 0  # bytes of the young generation
 
     def piece(self, piece: str) -> bytes:
         """Ids of text without white space, kept for the next time."""
@@ -146,9 +149,13 @@ class Encoder:
             words = (piece,) if piece.isascii() and piece.isalpha() else PIECE.findall(piece)
             ids = array("I", [token.id for word in words for token in self.model.tokenize(
                 word if word.isascii() and word.isprintable() else self.to_bytes(word)[0][0])]).tobytes()
-        if len(self.young) >= CACHED_WORDS:
-            self.old, self.young = self.young, {}
+        cost = ENTRY_BYTES + 4 * len(piece) + len(ids)
+        if cost > CACHE_BYTES // 4:  # too long to be worth its place
+            return ids
+        if self.held + cost > CACHE_BYTES:
+            self.old, self.young, self.held = self.young, {}, 0
         self.young[piece] = ids
+        self.held += cost
         return ids
 
     def prepared(self, text: str) -> str | None:
@@ -167,19 +174,61 @@ class Encoder:
         return text if glued else text.replace(", ", " , ").replace(". ", " . ")
 
     def ids(self, texts: list[str | None]) -> list[np.ndarray]:
-        """The ids of each text; pieces that the texts share are looked up once."""
-        ready = [self.prepared(text or "") for text in texts]
-        lists = pc.split_pattern(pa.array([text or "" for text in ready], pa.large_string()), " ")
-        coded = lists.flatten().dictionary_encode()
-        known = [self.young.get(piece) or self.piece(piece) for piece in coded.dictionary.to_pylist()]
+        """The ids of each text; pieces that the texts share are looked up once per ``BATCH_CHARS``."""
+        found: list[list[np.ndarray]] = [[] for _ in texts]
+        ready, owner, chars = [], [], 0
+
+        def settle() -> None:
+            nonlocal chars
+            for number, ids in zip(owner, self.coded(ready)):
+                found[number].append(ids)
+            ready.clear()
+            owner.clear()
+            chars = 0
+
+        for number, raw in enumerate(texts):
+            for part in cut(raw or "", BATCH_CHARS):
+                text = self.prepared(part)
+                if text is None:
+                    if ready:
+                        settle()
+                    found[number].append(np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, dtype="<u4"))
+                    continue
+                ready.append(text)
+                owner.append(number)
+                chars += len(text)
+                if chars >= BATCH_CHARS:
+                    settle()
+        settle()
+        return [parts[0] if len(parts) == 1 else np.concatenate(parts) for parts in found]
+
+    def coded(self, ready: list[str]) -> list[np.ndarray]:
+        """The ids of prepared texts."""
+        if not ready:
+            return []
+        lists = pc.split_pattern(pa.array(ready, pa.large_string()), " ")
+        pieces = lists.flatten().dictionary_encode()
+        known = [self.young.get(piece) or self.piece(piece) for piece in pieces.dictionary.to_pylist()]
         size = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
-        first, place = np.cumsum(size) - size, coded.indices.to_numpy()
+        first, place = np.cumsum(size) - size, pieces.indices.to_numpy()
         n = size[place]
         end = np.cumsum(n)
         flat = np.frombuffer(b"".join(known), dtype="<u4")[np.repeat(first[place] - (end - n), n) + np.arange(n.sum())]
         bound = np.append(0, end)[lists.offsets.to_numpy()].tolist()
-        return [flat[a:b] if text is not None else np.array(self.tokenizer.encode(raw or "", add_special_tokens=False).ids, dtype="<u4")
-                for raw, text, a, b in zip(texts, ready, bound, bound[1:])]
+        return [flat[a:b].copy() for a, b in zip(bound, bound[1:])]
+
+
+def cut(text: str, limit: int) -> list[str]:
+    """A long text in parts of about ``limit`` characters, cut before blanks, where no token or special token reaches across."""
+    if len(text) <= limit:
+        return [text]
+    parts, at = [], 0
+    while at < len(text):
+        end = text.find(" ", at + limit)
+        end = len(text) if end < 0 else end
+        parts.append(text[at:end])
+        at = end
+    return parts
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -62,9 +62,10 @@ TEXTS = ["a b c d e f g h.", "h, g f\ne d c b a", "Ab, cd. EF, ... x.., _. a_, b
          "STRASSE \u1e9e \u0130x \u03a3\u03a3. \u00a0\u0085, \x1c, a\x1c. \t. \r\n, ", "<|startoftext|>x. <|x, \u4f60\u597d. \U0001f600, a\U0001f600.", ", . ,. .,", " ", ""]
 
 
-@pytest.mark.parametrize("size", [3, 400_000])
-def test_encoder(monkeypatch, size):
-    monkeypatch.setattr(tokens, "CACHED_WORDS", size)
+@pytest.mark.parametrize("size, chars", [(3000, 40), (32 << 20, 1 << 20)])
+def test_encoder(monkeypatch, size, chars):
+    monkeypatch.setattr(tokens, "CACHE_BYTES", size)
+    monkeypatch.setattr(tokens, "BATCH_CHARS", chars)
     encoder, tokenizer = tokens.Encoder(PATH), Tokenizer.from_file(PATH)
     for ids, text in zip(encoder.ids(TEXTS * 2), TEXTS * 2):
         assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
