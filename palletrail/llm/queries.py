@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palletrail.llm import credentials, decontam, fingerprints, language, mixing, pii, quality, simhash, tokens, urls
+from palletrail.llm import audit, counts, credentials, decontam, fingerprints, language, mixing, pii, quality, simhash, spelling, tokens, urls
 from palletrail.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,6 +88,29 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.secret_report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent words, after one deletion in every 97th occurrence by hash, with near words and forms; a null id hashes as ``null``."""
+    runs = spelling.letter_runs(table(spark, sf_dir, "documents"))
+    named = F.concat(F.coalesce(F.col("id").cast("string"), F.lit("null")), F.lit(":"), "word")
+    runs = runs.select("word", F.crc32(named.cast("binary")).alias("h"))
+    place = (F.col("h") % F.length("word")).cast("int")
+    worn = F.when(F.col("h") % 97 == 0, spelling.without(F.col("word"), place)).otherwise(F.col("word"))
+    return spelling.variants(runs.select(worn.alias("word"))).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all 120 orders: what each step keeps, removes and loses per language, and each filter's Shapley total."""
+    return audit.interaction_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of each document, and whether it is longer than 4,096 tokens."""
+    return counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 ORACLE["op2_source_mix"] = r"""
 WITH d AS (SELECT doc_id, source, length(regexp_replace(regexp_replace(coalesce(text,''), '[^\x20\x09-\x0D]+', 'x', 'g'), '[\x20\x09-\x0D]+', '', 'g')) AS size,
     md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS mix FROM documents),
@@ -131,3 +154,27 @@ m AS (SELECT page_id, host, path, verdict, rhost || rpath AS rule FROM p LEFT JO
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m
 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC NULLS LAST) = 1
 """
+
+ORACLE["op12_filter_audit"] = r"""
+WITH l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+f AS (SELECT doc_id, part, CASE WHEN len(w) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), min(doc_id) OVER (PARTITION BY t) IS NOT NULL) THEN 16 ELSE 0 END AS mask FROM d),
+c AS (SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic FROM f LEFT JOIN l ON f.doc_id = l.doc_id GROUP BY part, mask),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS name, unnest([1, 2, 4, 8, 16]) AS bit),
+o AS (SELECT concat(a.name, b.name, c.name, d.name, e.name) AS filter_order, [a.name, b.name, c.name, d.name, e.name] AS names, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+    FROM x AS a, x AS b, x AS c, x AS d, x AS e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5),
+s AS (SELECT filter_order, CAST(step AS INTEGER) AS step, names[step] AS filter, bits[step] AS bit, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INTEGER) AS seen
+    FROM o, unnest(range(1, 6)) AS t(step)),
+r AS (SELECT part, filter_order, step, filter,
+    CAST(sum(CASE WHEN mask & (bit | seen) = 0 THEN n ELSE 0 END) AS BIGINT) AS kept,
+    CAST(sum(CASE WHEN mask & bit <> 0 AND mask & seen = 0 THEN n ELSE 0 END) AS BIGINT) AS removed,
+    CAST(sum(CASE WHEN mask & bit <> 0 AND mask & seen <> 0 THEN n ELSE 0 END) AS BIGINT) AS redundant,
+    CAST(sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+    CAST(sum(CASE WHEN mask & bit <> 0 AND mask & seen = 0 THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+    CAST(sum(CASE WHEN mask & bit <> 0 AND mask & seen = 0 THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+    FROM s, c GROUP BY part, filter_order, step, filter)
+SELECT *, CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley FROM r
+"""
