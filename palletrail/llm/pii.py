@@ -42,6 +42,14 @@ FORMS = {"mail": MAIL, "address": ADDRESS, "iso_date": ISO_DATE, "dot_date": DOT
 ANY = "|".join(FORMS.values())
 
 
+SCANNED = 256  # groups of digits scanned with one list of spans
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once: a lambda would compute an expression anew at every use."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def draw(key: str, kind: str, number: Column, half: Column) -> Column:
     """Round function: 48 bits of the hash of key, kind, round and half, as a long."""
     text = F.concat_ws("|", F.lit(key), F.lit(kind), number.cast("string"), half.cast("string"))
@@ -72,11 +80,14 @@ def pad(number: Column, size) -> Column:
 
 def into_layout(value: Column, drawn: Column, skip: int = 0) -> Column:
     """``value`` with its digits after the first ``skip`` replaced in turn by those of ``drawn``."""
-    def char(c: Column, i: Column) -> Column:
-        place = F.length(digits(F.substring(value, F.lit(1), i + 1))) - skip
-        return F.when(c.rlike("[0-9]") & (place > 0), F.substring(drawn, place, F.lit(1))).otherwise(c)
+    def filled(new: Column) -> Column:
+        def char(c: Column, i: Column) -> Column:
+            place = F.length(digits(F.substring(value, F.lit(1), i + 1))) - skip
+            return F.when(c.rlike("[0-9]"), F.when(place > 0, F.substring(new, place, F.lit(1))).otherwise(c)).otherwise(c)
+
+        return F.array_join(F.transform(F.split(value, ""), char), "")
 
-    return F.array_join(F.transform(F.split(value, ""), char), "")
+    return let(drawn, filled)
 
 
 def luhn_sum(number: Column, doubled: int) -> Column:
@@ -88,57 +99,78 @@ def luhn_sum(number: Column, doubled: int) -> Column:
 
 
 def card(value: Column, key: str) -> Column:
-    number = digits(value)
-    body = F.substring(number, F.lit(1), F.length(number) - 1)
-    left = F.floor(F.length(body) / 2).cast("int")
-    right = (F.length(body) - left).cast("int")
-    out = feistel(F.substring(body, F.lit(1), left), F.substring(body, left + 1, right), power10(left), power10(right), key, "card")
-    new = F.concat(pad(out["a"], left), pad(out["b"], right))
-    new = F.concat(new, ((10 - luhn_sum(new, 0) % 10) % 10).cast("string"))
-    return F.when(luhn_sum(number, 1) % 10 == 0, into_layout(value, new))
-
-
-def card_spans(tokens: Column) -> Column:
-    """(at, size) of the groups of digits that are a card, from the first on; a known layout goes first, then the longest."""
+    def new(number: Column) -> Column:
+        body = F.substring(number, F.lit(1), F.length(number) - 1)
+        left = F.floor((F.length(number) - 1) / 2).cast("int")
+        right = (F.length(number) - 1 - left).cast("int")
+        out = feistel(F.substring(body, F.lit(1), left), F.substring(body, left + 1, right), power10(left), power10(right), key, "card")
+        drawn = let(out, lambda o: F.concat(pad(o["a"], left), pad(o["b"], right)))
+        return let(drawn, lambda n: F.concat(n, ((10 - luhn_sum(n, 0) % 10) % 10).cast("string")))
+
+    return let(value, lambda v: let(digits(v), lambda number: F.when(luhn_sum(number, 1) % 10 == 0, into_layout(v, new(number)))))
+
+
+def card_sizes(tokens: Column) -> Column:
+    """(at, size): of how many groups of digits the card is that begins at each, 0 for none; a known layout goes first, then the longest."""
     count = F.size(tokens)
 
-    def best(_: Column, at: Column) -> Column:
+    def best(at: Column) -> Column:
         def fits(size: Column) -> Column:
-            whole = F.array_join(F.slice(tokens, at + 1, size), "")
-            value = F.rtrim(F.regexp_replace(whole, "[ -]$", ""))
-            number = digits(value)
-            formed = F.when(value.rlike(CARD), 2).when(value.rlike(LOOSE) | ((at == 0) & (size == count)), 1).otherwise(0)
-            valid = F.length(number).between(13, 19) & (formed > 0)
-            return F.when(valid, F.when(luhn_sum(number, 1) % 10 == 0, F.struct(formed.alias("formed"), size.alias("size"))))
+            def formed(value: Column) -> Column:
+                form = F.when(value.rlike(CARD), 2).when(value.rlike(LOOSE) | ((at == 0) & (size == count)), 1)
+                return F.when(let(digits(value), lambda n: F.length(n).between(13, 19) & (luhn_sum(n, 1) % 10 == 0)), form)
+
+            def sized(form: Column) -> Column:
+                return F.when(form.isNotNull(), F.struct(form.alias("formed"), size.alias("size")))
+
+            # 19 digits with a separator after each are the most; most stretches are left at their length.
+            found = lambda w: F.when(F.length(w).between(13, 38), let(F.rtrim(F.regexp_replace(w, "[ -]$", "")), formed))
+            return let(let(F.array_join(F.slice(tokens, at + 1, size), ""), found), sized)
 
         sizes = F.sequence(F.lit(1), F.least(F.lit(MOST_GROUPS), count - at))
         return F.coalesce(F.array_max(F.transform(sizes, fits))["size"], F.lit(0))
 
-    start = F.struct(F.lit(0).alias("next"), F.array().cast("array<struct<at:int,size:int>>").alias("spans"))
+    return F.transform(tokens, lambda t, at: F.struct(at.alias("at"), best(at).alias("size")))
+
+
+def card_spans(sizes: Column) -> Column:
+    """(at, size) of the cards, from the first on, none reaching into another.
+
+    The groups are scanned in stretches, each with a list of its own, so that the work grows with their number.
+    """
+    none = F.array().cast("array<struct<at:int,size:int>>")
 
     def step(s: Column, x: Column) -> Column:
-        span = F.struct(x["at"].alias("at"), x["size"].alias("size"))
         return F.when((x["at"] >= s["next"]) & (x["size"] > 0), F.struct(
-            (x["at"] + x["size"]).alias("next"), F.array_append(s["spans"], span).alias("spans"))).otherwise(s)
+            (x["at"] + x["size"]).alias("next"), F.array_append(s["spans"], x).alias("spans"))).otherwise(s)
 
-    sized = F.transform(tokens, lambda t, at: F.struct(at.alias("at"), best(t, at).alias("size")))
-    return F.aggregate(sized, start, step)["spans"]
+    def stretch(s: Column, first: Column) -> Column:
+        inner = F.aggregate(F.slice(sizes, first + 1, SCANNED), F.struct(s["next"].alias("next"), none.alias("spans")), step)
+        return let(inner, lambda i: F.struct(i["next"].alias("next"), F.array_append(s["lists"], i["spans"]).alias("lists")))
+
+    start = F.struct(F.lit(0).alias("next"), F.array().cast("array<array<struct<at:int,size:int>>>").alias("lists"))
+    firsts = F.when(F.size(sizes) > 0, F.sequence(F.lit(0), F.size(sizes) - 1, F.lit(SCANNED))).otherwise(F.array().cast("array<int>"))
+    return F.flatten(F.aggregate(firsts, start, stretch)["lists"])
 
 
 def cards(run: Column, key: str) -> Column:
     """(text, n): a run of groups of digits with its cards replaced, and how many."""
-    tokens = F.regexp_extract_all(run, F.lit("[0-9]+[ -]?"), F.lit(0))
+    def written(tokens: Column) -> Column:
+        part = lambda first, size: F.array_join(F.slice(tokens, first + 1, size), "")
+
+        def made(spans: Column) -> Column:
+            def piece(span: Column, i: Column) -> Column:
+                before = F.coalesce(F.get(spans, i - 1)["at"] + F.get(spans, i - 1)["size"], F.lit(0))
+                return F.concat(part(before, span["at"] - before), card(part(span["at"], span["size"]), key))
 
-    def made(spans: Column) -> Column:
-        def piece(token: Column, at: Column) -> Column:
-            own = F.filter(spans, lambda s: (at >= s["at"]) & (at < s["at"] + s["size"]))
-            first = F.get(own, F.lit(0))
-            return F.when(F.size(own) == 0, token).when(
-                at == first["at"], card(F.array_join(F.slice(tokens, at + 1, first["size"]), ""), key)).otherwise("")
+            last = F.get(spans, F.size(spans) - 1)
+            rest = F.coalesce(last["at"] + last["size"], F.lit(0))
+            return F.struct(F.concat(F.array_join(F.transform(spans, piece), ""), part(rest, F.size(tokens))).alias("text"),
+                            F.size(spans).alias("n"))
 
-        return F.struct(F.array_join(F.transform(tokens, piece), "").alias("text"), F.size(spans).alias("n"))
+        return let(card_sizes(tokens), lambda sizes: let(card_spans(sizes), made))
 
-    return F.get(F.transform(F.array(card_spans(tokens)), made), F.lit(0))
+    return let(F.regexp_extract_all(run, F.lit("[0-9]+[ -]?"), F.lit(0)), written)
 
 
 def with_cards(gap: Column, key: str) -> Column:
@@ -149,7 +181,7 @@ def with_cards(gap: Column, key: str) -> Column:
 
     found = F.transform(F.regexp_extract_all(gap, F.lit(RUN), F.lit(0)), lambda r: cards(r, key))
     plain = F.struct(gap.alias("text"), F.lit(0).alias("n"))
-    return F.when(gap.rlike(RUN), F.get(F.transform(F.array(found), made), F.lit(0))).otherwise(plain)
+    return F.when(gap.rlike(RUN), let(found, made)).otherwise(plain)
 
 
 def phone(value: Column, key: str) -> Column:
@@ -162,7 +194,7 @@ def phone(value: Column, key: str) -> Column:
     from_b = F.when(low | short, 0).otherwise(2_000_000)
     size_b = F.when(low, 10_000_000).when(short, 2_000_000).otherwise(8_000_000)
     out = feistel(area - from_a, rest - from_b, size_a, size_b, key, "phone")
-    new = F.concat(pad(out["a"] + from_a, 3), pad(out["b"] + from_b, 7))
+    new = let(out, lambda o: F.concat(pad(o["a"] + from_a, 3), pad(o["b"] + from_b, 7)))
     return F.when(prefix == 1, into_layout(value, new, 1)).otherwise(into_layout(value, new))
 
 
@@ -170,8 +202,8 @@ def social(value: Column, key: str) -> Column:
     area, group, serial = (F.substring(digits(value), at, n).cast("long") for at, n in ((1, 3), (4, 2), (6, 4)))
     valid = (area > 0) & (area < 900) & (area != 666) & (group > 0) & (serial > 0)
     out = feistel(area - 1 - F.when(area > 666, 1).otherwise(0), (group - 1) * 9999 + serial - 1, F.lit(898), F.lit(99 * 9999), key, "social")
-    new_area = out["a"] + 1 + F.when(out["a"] + 1 >= 666, 1).otherwise(0)
-    new = F.concat(pad(new_area, 3), pad(F.floor(out["b"] / 9999) + 1, 2), pad(out["b"] % 9999 + 1, 4))
+    new_area = lambda a: a + 1 + F.when(a + 1 >= 666, 1).otherwise(0)
+    new = let(out, lambda o: F.concat(pad(new_area(o["a"]), 3), pad(F.floor(o["b"] / 9999) + 1, 2), pad(o["b"] % 9999 + 1, 4)))
     return F.when(valid, into_layout(value, new))
 
 
@@ -181,7 +213,7 @@ def address(value: Column, key: str) -> Column:
     part = lambda i: parts[i].cast("long")
     out = feistel(part(0) * 256 + part(1), part(2) * 256 + part(3), F.lit(65536), F.lit(65536), key, "address")
     byte = lambda x: F.concat_ws(".", F.floor(x / 256).cast("string"), (x % 256).cast("string"))
-    return F.when(valid, F.concat_ws(".", byte(out["a"]), byte(out["b"])))
+    return F.when(valid, let(out, lambda o: F.concat_ws(".", byte(o["a"]), byte(o["b"]))))
 
 
 def day(value: Column, layout: str, key: str) -> Column:

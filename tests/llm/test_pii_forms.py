@@ -1,12 +1,15 @@
 """Personal numbers in every layout that tells them, counted over whole documents."""
 
+import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
 from palletrail.llm import pii
 from palletrail.llm.common import table
 from tests.llm.data import simple
+from tests.llm.test_native import luhn
 
 
 def replaced(spark, texts):
@@ -48,3 +51,38 @@ def test_cards_next_to_other_digits(spark):
     assert [re.sub("[0-9]", "9", t) for t in out] == [re.sub("[0-9]", "9", t) for t in texts]
     assert out[0].endswith(" 12/25") and out[1].endswith(" 123") and out[2].startswith("2024 ") and out[5].endswith(" 5x")
     assert out[0][:19].replace(" ", "") == out[1][:16] == out[2][5:].replace(" ", "")
+
+
+def long_table(cards):
+    return " ".join(f"4111 1111 1111 {i:04d} row {i}, 4349-0004-9098-6231;" for i in range(cards // 2))
+
+
+def test_a_text_full_of_cards(spark):
+    run = " ".join(["4111 1111 1111 1111"] * 2000)
+    texts = [run, run + " 7", long_table(2000), "12 " * 20_000, "4111111111111111," * 1000]
+    begin = time.monotonic()
+    out, n = replaced(spark, texts)
+    assert time.monotonic() - begin < 60
+    assert n == [2000, 2000, sum(luhn(f"411111111111{i:04d}") for i in range(1000)) + 1000, 0, 1000]
+    assert len(set(out[0].split(" ")[::4])) == 1 and "1111 1111" not in out[0] and out[1] == out[0] + " 7" and out[3] == texts[3]
+    assert [re.sub("[0-9]", "9", t) for t in out] == [re.sub("[0-9]", "9", t) for t in texts]
+
+
+def test_spans_of_long_runs(spark):
+    draw = random.Random(5)
+    runs = []
+    for _ in range(8):
+        groups = []
+        while len(groups) < 700:
+            kind = draw.randrange(4)
+            groups += [["4111", "1111", "1111", "1111"], ["3782", "822463", "10005"], ["4111111111111111"], [str(draw.randrange(10 ** draw.randint(1, 6)))]][kind]
+        runs.append(" ".join(groups))
+    frame = spark.createDataFrame([(r,) for r in runs], "v string").repartition(2)
+    sizes = pii.card_sizes(F.regexp_extract_all("v", F.lit("[0-9]+[ -]?"), F.lit(0)))
+    for row in frame.select(sizes.alias("sizes")).select("sizes", pii.card_spans(F.col("sizes")).alias("spans")).collect():
+        wanted, after = [], 0
+        for at, size in row["sizes"]:
+            if at >= after and size:
+                wanted.append((at, size))
+                after = at + size
+        assert [tuple(s) for s in row["spans"]] == wanted and len(wanted) > 100
