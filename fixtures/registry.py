@@ -484,14 +484,14 @@ def rotate_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = (ledger.where("menge > 0"), ledger.where("menge < 0"), ledger)
     for rows in runs:
         sinks.rotate_snapshot(tally(rows, "tpartnr"), path, "kpis", "04.2026")
-    return sinks.read_stored(spark, path, "tpartnr int, n bigint, report string, month string, version string")
+    return sinks.read_snapshots(spark, path)
 
 
 def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, ledger = new_folder(spark, "refresh"), spark_view(spark, sf_dir, "ledger")
     sinks.full_refresh(tally(ledger, "tpartnr"), path)
     sinks.full_refresh(tally(ledger, "lagbez"), path)
-    return spark.read.parquet(path)
+    return sinks.read_refreshed(spark, path)
 
 
 # --- Jobs: days loaded in turn, the first one twice ---------------------------------------------
@@ -523,9 +523,8 @@ def kpi_board_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def open_transport_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, events = new_folder(spark, "open"), stream_view(spark, sf_dir, "transport", "sequence")
-    changes.run_available(open_state.open_transport_stream(events, f"{folder}/state"), f"{folder}/checkpoint")
-    changes.compact(spark, f"{folder}/state", f"{folder}/compacted", open_state.KEYS, open_state.parts())
-    return open_state.open_counts(spark, f"{folder}/compacted", AS_OF)
+    changes.run_available(open_state.open_transport_stream(events, f"{folder}/state", AS_OF, fan=2), f"{folder}/checkpoint")
+    return open_state.open_counts(spark, f"{folder}/state", AS_OF)
 
 
 def ledger_ingest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

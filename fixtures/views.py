@@ -242,13 +242,17 @@ def spark_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stream_view(spark: SparkSession, sf_dir: str, name: str, order: str, deliveries: int = 1, batches: int = 3) -> DataFrame:
-    """The view as a stream of ``batches`` files per delivery, dealt by ``order`` and not by time, so that some rows come late."""
+    """The view as a stream of ``batches`` batches per delivery, dealt by ``order`` and not by time, so that some rows come late.
+
+    A batch is as many files as its share of the view's own, and one trigger takes that many.
+    """
     view = spark_view(spark, sf_dir, name)
+    files = max(1, -(-len(view.inputFiles()) // batches))
     path = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     for delivery in range(deliveries):
         for batch in range(batches):
-            view.where(f"pmod(hash({order}), {batches}) = {batch}").coalesce(1).write.parquet(f"{path}/{delivery}-{batch}")
-    return spark.readStream.schema(view.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(path)
+            view.where(f"pmod(hash({order}), {batches}) = {batch}").repartition(files).write.parquet(f"{path}/{delivery}-{batch}")
+    return spark.readStream.schema(view.schema).option("maxFilesPerTrigger", files).option("recursiveFileLookup", "true").parquet(path)
 
 
 def with_views(sql: str, *names: str) -> str:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from palletrail.operators.skew import first_per_key
+from palletrail.sources.parts import Contents, PartTable
 
 
 def replace_by_key(df: DataFrame, path: str, key: str) -> None:
@@ -36,24 +38,34 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def rotate_snapshot(df: DataFrame, path: str, report: str, month: str) -> None:
-    """Store a month's report as the current version and keep the one before it.
+SNAPSHOT = ("report", "month", "version")
 
-    Versions are partitions; the version before the previous one is overwritten.
+
+def rotate_snapshot(df: DataFrame, path: str, report: str, month: str) -> int:
+    """Store a month's report as the current version and keep the one before it; returns its number of rows.
+
+    The new rows are written once, then one change of the table's list makes them the current
+    version and the current one the previous; no stored row is copied.
     """
-    keys = ["report", "month", "version"]
-    spark = df.sparkSession
-    stored = read_if_exists(spark, path)
+    table = PartTable(df.sparkSession, path)
+    new = table.write(df, report=report, month=month, version="current")
+
+    def rotated(now: Contents) -> Contents:
+        ours = [part for part in now.parts if (part.labels["report"], part.labels["month"]) == (report, month)]
+        older = [replace(part, labels={**part.labels, "version": "previous"}) for part in ours if part.labels["version"] == "current"]
+        return now.but(gone=ours, new=[*older, new])
+
+    table.change(rotated)
+    return new.rows
 
-    def put(rows: DataFrame, version: str) -> None:
-        labels = {"report": F.lit(report), "month": F.lit(month), "version": F.lit(version)}
-        rows.withColumns(labels).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy(*keys).parquet(path)
 
-    if stored is not None:
-        ours = (F.col("report") == report) & (F.col("month") == month) & (F.col("version") == "current")
-        put(stored.where(ours).drop(*keys), "previous")
-    put(df, "current")
+def read_snapshots(spark: SparkSession, path: str) -> DataFrame | None:
+    """All stored versions with their report, month and version; one scan per version."""
+    table, frames = PartTable(spark, path), None
+    for part in table.contents().parts:
+        rows = table.read([part]).withColumns({name: F.lit(part.labels[name]) for name in SNAPSHOT})
+        frames = rows if frames is None else frames.unionByName(rows, allowMissingColumns=True)
+    return frames
 
 
 def new_keys(batch: DataFrame, archive: DataFrame | None, key: str, order: Sequence[Column]) -> DataFrame:
@@ -68,8 +80,18 @@ def append_new_keys(batch: DataFrame, path: str, key: str, order: Sequence[Colum
     new_keys(batch, archive, key, order).write.mode("append").parquet(path)
 
 
-def full_refresh(df: DataFrame, path: str) -> None:
-    """Replace everything, unless there is nothing to replace it with."""
-    if df.isEmpty():
+def full_refresh(df: DataFrame, path: str) -> int:
+    """Replace everything, unless there is nothing to replace it with; returns the number of rows.
+
+    The plan runs once: rows are counted by the write, and count only once the table's list names them.
+    """
+    table = PartTable(df.sparkSession, path)
+    new = table.write(df)
+    if not new.rows:
         raise ValueError("no rows to load; the stored table is kept")
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    table.change(lambda now: now.but(gone=now.parts, new=[new]))
+    return new.rows
+
+
+def read_refreshed(spark: SparkSession, path: str) -> DataFrame | None:
+    return PartTable(spark, path).read()

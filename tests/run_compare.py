@@ -1,5 +1,6 @@
 """Compare all or the named queries: ``python -m tests.run_compare [sf_dir] [name ...]``."""
 
+import os
 import sys
 import time
 import traceback
@@ -11,7 +12,7 @@ from tests.compare import compare
 
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
-    spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+    spark = build_session("compare", f"local[{os.environ.get('TEST_CPUS', '8')}]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
                                                     "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     names, bad = sys.argv[2:] or list(queries()), 0

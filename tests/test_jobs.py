@@ -50,7 +50,7 @@ def test_monthly_snapshot_keeps_one_version_back(spark, tmp_path):
         row = jobs.monthly_snapshot(ledger, brands, "monthly_zfs", day, str(tmp_path), NOW).first()
     start, end, _ = run_month(day)
     wanted = receive.monthly_report(ledger, brands, jobs.c.MONTHLY_REPORTS["monthly_zfs"], LegFilter(start=start, end=end))
-    kept = spark.read.parquet(f"{tmp_path}/monthly")
+    kept = sinks.read_snapshots(spark, f"{tmp_path}/monthly")
     assert row["rows"] == wanted.count() == kept.where("version = 'current'").count() == kept.where("version = 'previous'").count()
 
 
