@@ -204,6 +204,16 @@ WHERE (src IS NULL OR src <> dst) AND regexp_full_match(dst, '[0-9]+') GROUP BY
 UNION_GOODS = with_views(f"""WITH {pairs()}
 SELECT good_type, count(*) AS pairs, CAST(sum(abs(menge)) AS BIGINT) AS quantity FROM p GROUP BY ALL""", "ledger")
 
+PAIR_TOTALS_HOT = with_views(f"""WITH l AS (SELECT * REPLACE (CASE WHEN sequence % 3 = 0 THEN 'hot' ELSE local_transaction_id END AS local_transaction_id) FROM ledger),
+o AS (SELECT CASE tpartnr WHEN 520 THEN 'NORMAL' ELSE 'DUMMY' END AS good_type, local_transaction_id AS txn, lhmnr, count(*) AS n, sum(abs(menge)) AS q
+  FROM l WHERE tpartnr IN (520, 614) AND menge < 0 AND lagbez IN {AREAS} AND ziel LIKE 'OV%' GROUP BY ALL),
+i AS (SELECT CASE tpartnr WHEN 520 THEN 'NORMAL' ELSE 'DUMMY' END AS good_type, local_transaction_id AS txn, lhmnr, count(*) AS m
+  FROM l WHERE (tpartnr = 520 OR tpartnr = 207 AND ziel LIKE 'OV%') AND menge = 1 AND lagbez IN {AREAS} AND lhmnr NOT LIKE '000%' GROUP BY ALL),
+w AS (SELECT good_type, txn, sum(m) AS m FROM i GROUP BY ALL)
+SELECT o.good_type, CAST(sum(n * (coalesce(w.m, 1) - coalesce(i.m, 0))) AS BIGINT) AS pairs, CAST(sum(q * (coalesce(w.m, 1) - coalesce(i.m, 0))) AS BIGINT) AS quantity
+FROM o LEFT JOIN w ON o.good_type = w.good_type AND o.txn = w.txn LEFT JOIN i ON o.good_type = i.good_type AND o.txn = i.txn AND o.lhmnr = i.lhmnr
+WHERE o.good_type = 'NORMAL' OR w.m IS NOT NULL GROUP BY ALL""", "ledger")
+
 # --- Outlet ---------------------------------------------------------------------------
 
 IS_45 = "(lhmnr LIKE '4%' OR lhmnr LIKE '5%')"

@@ -373,6 +373,14 @@ query("union_goods", oracle.UNION_GOODS, "ledger")(
     .groupBy("good_type").agg(F.sum("pairs").alias("pairs"), F.sum("quantity").alias("quantity")))
 
 
+@query("pair_totals_hot", oracle.PAIR_TOTALS_HOT, "ledger")
+def pair_totals_hot(ledger):
+    """A third of all legs, out and in, are of one transaction."""
+    hot = ledger.withColumn(legs.KEY, F.when(F.col("sequence") % 3 == 0, "hot").otherwise(F.col(legs.KEY)))
+    totals = legs.pair_totals(legs.out_legs(hot, HOW), legs.in_legs(hot, HOW), [], ["good_type"], [], {"good_type": F.col("good_type")})
+    return totals.groupBy("good_type").agg(F.sum("pairs").alias("pairs"), F.sum("quantity").alias("quantity"))
+
+
 @query("sequence_index", oracle.SEQUENCE_INDEX, "ledger")
 def numbered_legs(ledger):
     outs, _ = legs.sorting_legs(ledger, HOW)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from palletrail import config as c
 from palletrail.functions.attributes import json_fields
 from palletrail.functions.predicates import between_window, keep, ref_filter, self_transfer_drop
-from palletrail.operators.skew import HOT_ROWS, hot_keys, sequence_index, split_by
+from palletrail.operators.skew import HOT_ROWS, hot_keys, sequence_index
 
 KEY = "local_transaction_id"
 
@@ -95,64 +95,41 @@ def pair_legs(outs: DataFrame, ins: DataFrame, numeric_target: bool = False) ->
     return pairs.where(self_transfer_drop(F.col("source_lhm"), F.col("ziel_lhm")))
 
 
+def _with_own_carrier(legs: DataFrame, carrier: str) -> DataFrame:
+    """Every leg once for its whole transaction and, if it names a carrier, once for that carrier (``own``)."""
+    sides = F.array(F.struct(F.lit(False).alias("own"), F.lit("").alias("on")), F.struct(F.lit(True).alias("own"), F.col(carrier).alias("on")))
+    named = legs.withColumn("_side", F.explode(F.filter(sides, lambda side: side["on"].isNotNull())))
+    return named.withColumns({"own": F.col("_side.own"), "on": F.col("_side.on")}).drop("_side", carrier)
+
+
 def pair_totals(
     outs: DataFrame, ins: DataFrame, place: Sequence[str], rule_out: Sequence[str], rule_in: Sequence[str],
-    described: Mapping[str, Column], numeric_target: bool = False, hot_rows: int = HOT_ROWS,
+    described: Mapping[str, Column], numeric_target: bool = False,
 ) -> DataFrame:
     """Quantity and number of pairs by columns of the out leg and by what both legs say together.
 
     Same pairs as :func:`pair_legs`, for reports that sum them up.  ``place`` are columns of
     the out leg that are kept, ``described`` are expressions over ``rule_out`` and ``rule_in``.
 
-    Transactions with few legs are joined.  In a transaction with very many legs on either side the pairs
-    are counted instead of built: all pairs of its groups, less those that stay on one
-    carrier.  Its distinct rule values are described first, once per combination, so that
-    the legs then meet a handful of descriptions, and the work grows with the legs and not
-    with their product.  Groups whose pairs cancel out remain, with 0 pairs in total.
+    The pairs are counted and not built: all pairs of a transaction, less those that stay on one
+    carrier.  Both sides are summed up first, per transaction and values of their rule columns for the former and per
+    carrier as well for the latter, and met in one join; so the work grows with the legs and their different values, whatever
+    a transaction holds.  Groups whose pairs cancel out remain, with 0 pairs in total.
     """
-    key, measures = ["good_type", KEY], ["quantity", "pairs"]
+    key, side = ["good_type", KEY], ["own", "on"]
     flags = list(dict.fromkeys([*rule_in, "to_numeric"]))
     rule_out = [name for name in rule_out if name not in key]
-    columns = [*place, *[value.alias(name) for name, value in described.items()]]
-    result = [*place, *described, *measures]
-    outs = outs.select(*key, "source_lhm", "quantity", *place, *rule_out)
-    ins = ins.select(*key, "ziel_lhm", *flags)
-
-    def built(some_outs: DataFrame, some_ins: DataFrame) -> DataFrame:
-        one = F.lit(1).cast("bigint").alias("pairs")
-        return pair_legs(some_outs, some_ins, numeric_target).select(*columns, "quantity", one)
-
-    hot = sorted({*hot_keys(outs, KEY, hot_rows), *hot_keys(ins, KEY, hot_rows)})
-    if not hot:
-        return built(outs, ins)
-    hot_outs, few_outs = split_by(outs, hot, KEY)
-    hot_ins, few_ins = split_by(ins, hot, KEY)
     if numeric_target:
-        hot_ins = hot_ins.where("to_numeric")
-
-    many_outs = hot_outs.groupBy(*key, "source_lhm", *place, *rule_out).agg(
-        F.sum("quantity").alias("q"), F.count("*").alias("n"))
-    many_ins = hot_ins.groupBy(*key, "ziel_lhm", *flags).agg(F.count("*").alias("m"))
-
-    # What each combination of rule values is worth, with all arrivals of the transaction.
-    combinations = many_outs.select(*key, *rule_out).distinct().join(
-        many_ins.groupBy(*key, *flags).agg(F.sum("m").alias("m")), key, "left")
-    unmatched_stay = F.lit(not numeric_target) & (F.col("good_type") == "NORMAL")
-    worth = (
-        combinations.where(F.col("m").isNotNull() | unmatched_stay)
-        .groupBy(*key, *rule_out, *[value.alias(f"_{name}") for name, value in described.items()])
-        .agg(F.sum(F.coalesce("m", F.lit(1))).alias("m"))
-    )
-    per_place = many_outs.groupBy(*key, *place, *rule_out).agg(F.sum("q").alias("q"), F.sum("n").alias("n"))
-    same = [per_place[name].eqNullSafe(worth[name]) for name in [*key, *rule_out]]
-    all_pairs = per_place.join(worth, same).select(
-        *[per_place[name] for name in place], *[F.col(f"_{name}").alias(name) for name in described],
-        (F.col("q") * F.col("m")).alias("quantity"), (F.col("n") * F.col("m")).alias("pairs"))
-    same_carrier = (
-        many_outs.join(many_ins.withColumnRenamed("ziel_lhm", "source_lhm"), [*key, "source_lhm"])
-        .select(*columns, (-F.col("q") * F.col("m")).alias("quantity"), (-F.col("n") * F.col("m")).alias("pairs"))
-    )
-    return built(few_outs, few_ins).unionByName(all_pairs.select(*result)).unionByName(same_carrier.select(*result))
+        ins = ins.where("to_numeric")
+    many_outs = _with_own_carrier(outs.select(*key, "source_lhm", "quantity", *place, *rule_out), "source_lhm").groupBy(
+        *key, *side, *place, *rule_out).agg(F.sum("quantity").alias("q"), F.count("*").alias("n"))
+    many_ins = _with_own_carrier(ins.select(*key, "ziel_lhm", *flags), "ziel_lhm").groupBy(*key, *side, *flags).agg(F.count("*").alias("m"))
+    met = many_outs.join(many_ins, [*key, *side], "inner" if numeric_target else "left")
+    alone = F.when(~F.col("own") & (F.col("good_type") == "NORMAL"), 1)
+    times = F.coalesce("m", alone) * F.when(F.col("own"), -1).otherwise(1)
+    return met.withColumn("_times", times).where("_times is not null").select(
+        *place, *[value.alias(name) for name, value in described.items()],
+        (F.col("q") * F.col("_times")).alias("quantity"), (F.col("n") * F.col("_times")).alias("pairs"))
 
 
 # Order of a transaction's rows; the columns after the sequence only settle ties.

@@ -53,7 +53,7 @@ def test_counted_pairs_equal_built_pairs(spark, uneven, numeric):
     columns = ["good_type", "out_grade_sector", "in_source_id", "to_50"]
     built = pair_legs(outs, ins, numeric).groupBy(*columns).agg(F.sum("quantity").alias("q"), F.count("*").alias("n"))
     counted = (
-        pair_totals(outs, ins, ["ziel"], columns[:2], columns[2:], {name: F.col(name) for name in columns}, numeric, hot_rows=50)
+        pair_totals(outs, ins, ["ziel"], columns[:2], columns[2:], {name: F.col(name) for name in columns}, numeric)
         .groupBy(*columns).agg(F.sum("quantity").alias("q"), F.sum("pairs").alias("n")).where("n > 0")
     )
     assert Counter(map(tuple, built.collect())) == Counter(map(tuple, counted.collect()))
@@ -65,14 +65,19 @@ def test_one_transaction_with_many_legs_on_either_side(spark, outs, ins):
     data = '{"SORTINGCRITERIAID_ART":"%d","QUALITYID_SEKTOR":"1"}'
     legs = [leg("hot", 1, 101, 520, "2001", "OV01", "Overstock", f"4{i}", -1, datetime(2025, 5, 1, 8), data % i) for i in range(outs)]
     legs += [leg("hot", 1, 101, 520, "2002", "OV01", "SZROV", f"6{i}", 1, datetime(2025, 5, 1, 8), data % (i + 50_000)) for i in range(ins)]
-    rows = receive.shift_report(ledger(spark, *legs), hot_rows=1000).collect()
+    rows = receive.shift_report(ledger(spark, *legs)).collect()
     assert len(rows) == outs and all(r["quantity"] == ins for r in rows)
 
 
-@pytest.mark.parametrize("report", [receive.uph_kpis, receive.uph_kpis_by_user, receive.shift_report, receive.receive_volume])
-def test_reports_do_not_depend_on_what_counts_as_hot(spark, uneven, report):
-    usual, split = report(uneven).collect(), report(uneven, hot_rows=50).collect()
-    assert usual and Counter(map(tuple, usual)) == Counter(map(tuple, split))
+def test_no_job_runs_when_a_report_is_built(spark, uneven):
+    tracker, group = spark.sparkContext.statusTracker(), "building"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        for report in (receive.uph_kpis, receive.uph_kpis_by_user, receive.shift_report, receive.receive_volume):
+            report(uneven)
+        assert not tracker.getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_numbering_in_pieces(spark):
