@@ -348,7 +348,7 @@ def board(cast: str = "BIGINT") -> str:
 
 KPI_BOARD = with_views(f"SELECT {AS_OF} AS last_updated, {board()}", "transport")
 KPI_SNAPSHOT = with_views(
-    f"SELECT {AS_OF} AS last_updated, {board('DOUBLE')}, CAST(NULL AS DOUBLE) AS broken, 'broken: AnalysisException' AS failed", "transport")
+    f"SELECT {AS_OF} AS last_updated, {board('DOUBLE')}, CAST(NULL AS DOUBLE) AS broken, CAST(NULL AS DOUBLE) AS failing, 'broken: AnalysisException,failing: SparkRuntimeException' AS failed", "transport")
 KPI_ROWS = {
     name: with_views(f"SELECT sequence, transportlhmnr, zug_id, created FROM transport s WHERE {where} AND {still}", "transport")
     for name, (_, where, still) in OPEN_STARTS.items()
@@ -545,7 +545,8 @@ NULL_TO_BLANK = with_views("""SELECT coalesce(sublhm,'') AS sublhm, coalesce(qua
 FROM stock GROUP BY ALL""", "stock")
 BASIC_SCALARS = with_views("""SELECT upper(ziel) AS upper_ziel, lower(lagbez) AS lower_lagbez, trim(' ' || lhmnr || ' ') AS trimmed, CAST(instr(ziel,'_') AS INTEGER) AS position,
  'KF_' || ziel AS joined, CAST(sum(abs(menge)) AS BIGINT) AS quantity FROM ledger GROUP BY ALL""", "ledger")
-REPORT_SORT = SHIFT_REPORT
+REPORT_SORT = f"""SELECT *, rank() OVER (ORDER BY strptime(date, '%d.%m.%Y') NULLS FIRST, shift NULLS LAST, reference NULLS LAST) AS position
+FROM ({SHIFT_REPORT}) AS r"""
 RUN_SUMMARY = with_views(f"""WITH {pairs()}, {CARRIERS}
 SELECT 'bookings' AS report, count(*) AS rows, CAST(coalesce(sum(abs(menge)),0) AS DOUBLE) AS total, CASE WHEN count(*) > 0 THEN 'SUCCESS' ELSE 'NO_DATA' END AS status, {AS_OF} AS run_time FROM p
 UNION ALL SELECT 'stock', count(*), NULL, CASE WHEN count(*) > 0 THEN 'SUCCESS' ELSE 'NO_DATA' END, {AS_OF} FROM carriers""", "ledger", "stock")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from fixtures import oracle
 from fixtures.views import spark_view, stream_view
@@ -15,6 +15,7 @@ from palletrail import config as c, jobs
 from palletrail.functions import predicates, rules, text, times
 from palletrail.functions.attributes import json_fields
 from palletrail.operators import enrich, legs, transports
+from palletrail.operators.skew import with_position
 from palletrail.plans import hazard, ideas, orders, outlet, quality, receive, sorting, summary, transport, volumes
 from palletrail.session import shared_dir
 from palletrail.sources import readers, sinks
@@ -149,6 +150,7 @@ query("kpi_board", oracle.KPI_BOARD, "transport")(lambda ledger: transport.kpi_b
 def kpi_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     registry = transport.default_registry()
     registry.register_kpi("broken", lambda ledger, as_of: ledger.select("no_such_column"))
+    registry.register_kpi("failing", lambda ledger, as_of: ledger.select(F.when(F.col("sequence").isNotNull(), F.raise_error(F.lit("late"))).cast("double")))
     return registry.snapshot(spark, spark_view(spark, sf_dir, "transport"), AS_OF)
 
 
@@ -391,7 +393,16 @@ def numbered_legs(ledger):
 query("kpi_pivot", oracle.UPH_KPIS, "ledger")(receive.uph_kpis)
 query("kpi_pivot_user", oracle.UPH_KPIS_BY_USER, "ledger")(receive.uph_kpis_by_user)
 query("volume_by_day", oracle.RECEIVE_VOLUME, "ledger")(receive.receive_volume)
-query("report_sort", oracle.REPORT_SORT, "ledger")(receive.shift_report)
+
+
+@query("report_sort", oracle.REPORT_SORT, "ledger")
+def report_sort(ledger):
+    """The report with the place at which its order puts each row, the same for rows that tie."""
+    placed = with_position(receive.shift_report(ledger))
+    tied = Window.partitionBy("date", "shift", "reference")
+    return placed.withColumn("position", F.min("position").over(tied))
+
+
 query("json_fields", oracle.JSON_FIELDS, "ledger")(
     lambda ledger: tally(json_fields(ledger), *c.ATTRIBUTE_KEYS))
 query("grade_single", oracle.GRADE_SINGLE, "ledger")(

@@ -1,6 +1,6 @@
 """The runs of a site: window, report, a load that may be repeated, and the figures of the run.
 
-Every job returns one summary row, read from the staged report.
+Every job returns one summary row, with the figures that the report's write observed.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from palletrail import config as c
 from palletrail.functions.times import run_month, run_window
 from palletrail.operators.legs import LegFilter
 from palletrail.plans import orders, outlet, receive
-from palletrail.plans.summary import run_summary
+from palletrail.plans.summary import summary_row, write_observed
 from palletrail.sources import sinks
 
 
@@ -23,14 +23,14 @@ def _loaded(name: str, report: DataFrame, measure: str | None, folder: str, run_
             load: Callable[[DataFrame], None]) -> DataFrame:
     """Load the report and say how many rows it had and what they add up to.
 
-    The report is staged first: it runs once, its figures are read from what it stored, and a
+    The report is staged first: it runs once, its figures are taken while it is written, and a
     run that fails in it leaves the loaded table as it was.
     """
     spark, path = report.sparkSession, f"{folder}/staged/{name}-{uuid.uuid4().hex}"
-    report.write.parquet(path)
-    rows = spark.read.parquet(path)
-    load(rows)
-    return run_summary({name: (rows, measure)}, run_time)
+    seen = write_observed(report, measure, path)
+    load(spark.read.schema(report.schema).parquet(path))
+    counted = spark.range(1).select(*[F.lit(seen[key]).cast(kind).alias(key) for key, kind in (("rows", "bigint"), ("total", "double"))])
+    return summary_row(name, counted, run_time)
 
 
 def _day(day: date) -> LegFilter:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -34,6 +34,14 @@ class LegFilter:
     window_both_legs: bool = False
 
 
+def scan_conditions(how: LegFilter) -> dict[str, Callable[[Column], Column]]:
+    """What both legs of a report ask of text columns, for ``readers.read_ledger`` to put to the scan.
+
+    Only out legs and arrivals of dummy goods are held to the target places, so these are not among the conditions.
+    """
+    return {"lagbez": lambda column: column.isin(*how.areas)} if how.areas else {}
+
+
 def good_type() -> Column:
     """NORMAL and DUMMY goods are told apart by the process code."""
     return F.when(F.col("tpartnr") == c.NORMAL, F.lit("NORMAL")).otherwise(F.lit("DUMMY"))

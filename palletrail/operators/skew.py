@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from palletrail.session import shared_dir
+
 MAX_HOT_KEYS = 1000
 TRACKED_KEYS = 20_000
 HOT_ROWS = 5_000
@@ -93,3 +96,21 @@ def sequence_index(
         .drop("_n", "_range", "_before")
     )
     return few.unionByName(many)
+
+
+def with_position(df: DataFrame, name: str = "position") -> DataFrame:
+    """Number the rows from 1 in the frame's own order, which a sort gave it.
+
+    Rows are numbered within their partitions and written; the partitions' sizes, one row each, are added
+    up and give every row the rows before its partition.  No window spans the frame.
+    """
+    path = f"{shared_dir(df.sparkSession)}/positions-{uuid.uuid4().hex}"
+    df.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
+    # Fixed value: the id has the partition above its lower 33 bits, and the row within it in these.
+    rows = rows.withColumns({"_part": F.shiftright("_at", 33), "_row": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))})
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("_part").agg(F.count("*").alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    numbered = rows.join(broadcast_if_small(sizes), "_part")
+    return numbered.select(*df.columns, (F.col("_before") + F.col("_row") + 1).alias(name))

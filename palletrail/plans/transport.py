@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from palletrail import config as c
 from palletrail.functions.predicates import rolling_window, stamp
 from palletrail.operators.transports import closings, count_open, ended, start_predicate
+from palletrail.session import shared_dir
 
 BY_NAME = {kpi.name: kpi for kpi in c.TRANSPORT_KPIS}
 
@@ -75,23 +77,37 @@ class KpiRegistry:
     def snapshot(self, spark: SparkSession, ledger: DataFrame, as_of: datetime) -> DataFrame:
         """One row: time, one number per KPI in name order, and the names that failed with their errors.
 
-        Every KPI runs on its own, so that one that fails takes nothing else down; what
-        comes back of each is a single number.
+        KPIs that cannot be built are told before anything runs; all others are one plan and one
+        write, whose row is read back.  Only if that fails are they run one by one, to leave out those at fault.
         """
-        values, failed = {}, []
+        built, failed = {}, {}
         for name in self.names():
             try:
                 result = self._kpis[name](ledger, as_of)
-                row = result.select(F.col(result.columns[0]).cast("double")).first()
-                values[name] = row[0] if row is not None and row[0] is not None else 0.0
+                first = result.select(F.col(result.columns[0]).cast("double").alias("value")).limit(1)
+                built[name] = first.agg(F.coalesce(F.max("value"), F.lit(0.0)).alias("value"))
             except Exception as error:  # a site's KPI may fail in any way; the row says which one and how
-                values[name] = None
-                failed.append(f"{name}: {type(error).__name__}")
-        one = spark.range(1).select(
-            stamp(as_of).alias("last_updated"),
-            *[F.lit(values[name]).cast("double").alias(name) for name in self.names()],
-            F.lit(",".join(failed)).alias("failed"))
-        return one
+                failed[name] = type(error).__name__
+        try:
+            return self._stored(spark, as_of, built, failed)
+        except Exception:
+            for name, frame in list(built.items()):
+                try:
+                    frame.write.format("noop").mode("overwrite").save()
+                except Exception as error:
+                    failed[name] = type(error).__name__
+                    del built[name]
+            return self._stored(spark, as_of, built, failed)
+
+    def _stored(self, spark: SparkSession, as_of: datetime, built: dict[str, DataFrame], failed: dict[str, str]) -> DataFrame:
+        texts = ",".join(f"{name}: {failed[name]}" for name in sorted(failed))
+        rows = spark.range(1).select(F.lit(None).cast("string").alias("kpi"), F.lit(None).cast("double").alias("value"))
+        for name, frame in built.items():
+            rows = rows.unionByName(frame.select(F.lit(name).alias("kpi"), "value"))
+        one = rows.agg(*[F.max(F.when(F.col("kpi") == name, F.col("value"))).alias(name) for name in self.names()])
+        path = f"{shared_dir(spark)}/kpis-{uuid.uuid4().hex}"
+        one.select(stamp(as_of).alias("last_updated"), *self.names(), F.lit(texts).alias("failed")).write.parquet(path)
+        return spark.read.parquet(path)
 
 
 def default_registry() -> KpiRegistry:

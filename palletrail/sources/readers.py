@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from palletrail.functions.predicates import between_window, keep
 from palletrail.functions.text import blank_to_null
@@ -52,7 +52,14 @@ def read_jdbc(spark: SparkSession, **options: str) -> DataFrame:
 
 
 def read_ledger(source: DataFrame, start: datetime | None = None, end: datetime | None = None,
-                columns: Sequence[str] | None = None) -> DataFrame:
-    """Ledger rows of a window; column choice and window are pushed into the scan."""
-    rows = keep(normalize(source), between_window(F.col("created"), start, end))
+                columns: Sequence[str] | None = None, only: Mapping[str, Callable[[Column], Column]] | None = None) -> DataFrame:
+    """Ledger rows of a window; column choice and window are pushed into the scan.
+
+    ``only`` has conditions on text columns, by their lower-case name.  They are put to the column as it is stored, with
+    blanks left out, and so reach the scan too, where a condition on the normalized column would not.
+    """
+    names = {name.lower(): name for name in source.columns}
+    raw = [F.col(f"`{names[name]}`") for name in only or {}]
+    kept = keep(source, *[(column != "") & condition(column) for column, condition in zip(raw, (only or {}).values())])
+    rows = keep(normalize(kept), between_window(F.col("created"), start, end))
     return rows.select(*columns) if columns else rows

@@ -8,8 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures.views import spark_view
+from palletrail.operators.legs import LegFilter, scan_conditions
+from palletrail.operators.skew import with_position
 from palletrail.plans import receive, transport
-from palletrail.sources import sinks
+from palletrail.sources import readers, sinks
 from palletrail.sources.parts import PartTable
 from palletrail.streaming import board, changes, ingest, open_state
 
@@ -220,6 +222,39 @@ def test_snapshot_marks_what_fails(spark, transports):
     assert all(row[kpi] == board_row[kpi] for kpi in ("we_bgl", "open_orders"))
 
 
+def test_snapshot_is_one_plan_unless_a_kpi_fails(spark, transports):
+    """A KPI that fails only when it runs is told, and the others keep their numbers."""
+    registry = transport.default_registry()
+    good = registry.snapshot(spark, transports, AS_OF).first().asDict()
+    registry.register_kpi("late", lambda ledger, as_of: ledger.select(F.raise_error(F.lit("late")).cast("double")))
+    row = registry.snapshot(spark, transports, AS_OF).first().asDict()
+    assert row.pop("failed") == "late: SparkRuntimeException" and row.pop("late") is None and good.pop("failed") == ""
+    assert row == good and set(good.values()) != {0.0}
+
+
+def test_conditions_on_text_reach_the_scan_through_the_reader(spark, tmp_path):
+    ledger = spark_view(spark, SF_DIR, "ledger")
+    blank = ledger.limit(50).withColumns({"lagbez": F.lit(""), "ziel": F.lit(""), "lhmnr": F.lit("")})
+    ledger.unionByName(blank).write.parquet(f"{tmp_path}/raw")
+    source = spark.read.parquet(f"{tmp_path}/raw")
+    only = scan_conditions(LegFilter()) | {"ziel": lambda c: c.startswith("OV"), "lhmnr": lambda c: c != "4000001"}
+    read = readers.read_ledger(source, only=only)
+    pushed = spark._jvm.PythonSQLUtils.explainString(read.select("sequence")._jdf.queryExecution(), "formatted")
+    assert all(name in pushed for name in ("In(lagbez", "StringStartsWith(ziel,OV)", "Not(EqualTo(lhmnr,4000001))", "Not(EqualTo(ziel,))"))
+    plain = readers.read_ledger(source).where(F.col("lagbez").isin(*LegFilter().areas) & F.col("ziel").like("OV%") & (F.col("lhmnr") != "4000001"))
+    assert rows(read) == rows(plain) != []
+    how = LegFilter()
+    assert rows(receive.uph_kpis(readers.read_ledger(source, only=scan_conditions(how)), how)) == rows(receive.uph_kpis(ledger, how))
+
+
+def test_positions_follow_the_order_of_the_frame(spark):
+    frame = spark.range(5000).select(F.pmod(F.xxhash64("id"), F.lit(997)).alias("k"), "id")
+    placed = with_position(frame.orderBy("k", "id")).orderBy("position").collect()
+    assert [(r["k"], r["id"]) for r in placed] == sorted((r["k"], r["id"]) for r in placed)
+    assert [r["position"] for r in placed] == list(range(1, 5001))
+    assert with_position(frame.where("false").orderBy("k")).count() == 0
+
+
 def test_starts_leave_the_board_with_age(spark, transports):
     later = transport.kpi_board(transports, AS_OF + timedelta(days=30)).first().asDict()
     assert set(later.values()) - {AS_OF + timedelta(days=30)} == {0}
