@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from palletrail.llm.common import SPACE, running_total, stored, word_count
+from palletrail.llm.common import SPACE, WORD, running_total, stored, word_count
 
 GOLDEN = 0.6180339887498949
 WEIGHTS = (5, 2, 1)
@@ -109,38 +109,53 @@ def schedule(quota: DataFrame) -> DataFrame:
         late.select((F.col("all_slots") + F.col("rank")).alias("slot"), "source", "rank"))
 
 
-def taken_words(sizes: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(id, source, size, mix, source_size, target, taken): words that the slots take from each document.
+def _met(sizes: DataFrame, quota: DataFrame, block_words: int) -> DataFrame:
+    """(slot, source, block, id, size, mix, at, first, words): the slots that take words of each stretch of a document.
 
-    Shuffled streams meet the schedule by source and block.  ``taken`` is size times whole epochs,
-    and what the last, shortened round still takes from the front of the document.
+    Shuffled streams meet the schedule by source and block: ``words`` words of the document from its
+    ``first`` on.  Stretches that no slot takes stay, without a slot.
     """
-    targets = stored(source_targets(sizes, weights, max_repeats), "targets")
-    quota = stored(quotas(targets, block_words), "quotas")
-    last = (F.col("rank") == F.col("slots") - 1) & (F.col("rest") > 0) & (F.col("rest") % block_words > 0)
+    last = (F.col("rank") == F.col("slots") - 1) & (F.col("rest") % block_words > 0)
     plan = schedule(quota)  # slots are made and ranked anew from the quotas, never stored
     need = quota.select(F.col("source").alias("_source"), "slots", "blocks", "rest")
     uses = plan.join(need, plan["source"].eqNullSafe(need["_source"])).select(
-        "source", (F.col("rank") % F.col("blocks")).alias("block"), last.alias("last"), F.col("rest"))
-    uses = uses.groupBy("source", "block").agg(
-        F.count(F.when(~F.col("last"), 1)).alias("times"),
-        F.coalesce(F.max(F.when(F.col("last"), F.col("rest") % block_words)), F.lit(0)).alias("cut"))
+        "slot", "_source", (F.col("rank") % F.col("blocks")).alias("_block"),
+        F.when(last, F.col("rest") % block_words).otherwise(block_words).alias("upto"))
     streams = running_total(sizes.where("size > 0"), ["source"], "mix", [F.col("id"), F.col("size")], "size", "at")
     pieces = streams.select("*", F.explode(F.sequence(
-        F.floor(F.col("at") / block_words), F.floor((F.col("at") + F.col("size") - 1) / block_words))).alias("_block"))
-    lo = F.greatest(F.lit(0), F.col("at") - F.col("_block") * block_words)
-    hi = F.least(F.lit(block_words), F.col("at") + F.col("size") - F.col("_block") * block_words)
-    pieces = pieces.select("id", "source", "size", "mix", "at", "_block", lo.alias("lo"), hi.alias("hi"))
-    uses = uses.withColumnRenamed("source", "_source")
-    met = pieces.join(uses, pieces["source"].eqNullSafe(uses["_source"]) & (pieces["_block"] == uses["block"]), "left")
-    part = F.col("times") * (F.col("hi") - F.col("lo")) + F.greatest(F.lit(0), F.least("hi", "cut") - F.col("lo"))
+        F.floor(F.col("at") / block_words), F.floor((F.col("at") + F.col("size") - 1) / block_words))).alias("block"))
+    start = F.col("block") * block_words
+    lo = F.greatest(F.lit(0), F.col("at") - start)
+    hi = F.least(F.lit(block_words), F.col("at") + F.col("size") - start)
+    pieces = pieces.select("id", "source", "size", "mix", "at", "block", lo.alias("lo"), hi.alias("hi"), (start + lo - F.col("at")).alias("first"))
+    met = pieces.join(uses, pieces["source"].eqNullSafe(uses["_source"]) & (pieces["block"] == uses["_block"]), "left")
+    words = F.greatest(F.lit(0), F.least("hi", "upto") - F.col("lo"))
+    return met.select("slot", "source", "block", "id", "size", "mix", "at", "first", F.when(F.col("slot").isNotNull(), words).alias("words"))
+
+
+def taken_words(sizes: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(id, source, size, mix, source_size, target, taken): words that the slots take from each document."""
+    targets = stored(source_targets(sizes, weights, max_repeats), "targets")
+    met = _met(sizes, stored(quotas(targets, block_words), "quotas"), block_words)
     # Rows are told apart by their place in the stream, which differs even for repeated rows.
-    taken = met.groupBy("id", "source", "size", "mix", "at").agg(F.coalesce(F.sum(part), F.lit(0)).cast("long").alias("taken"))
+    taken = met.groupBy("id", "source", "size", "mix", "at").agg(F.coalesce(F.sum("words"), F.lit(0)).cast("long").alias("taken"))
     every = taken.drop("at").unionByName(sizes.where("size = 0").withColumn("taken", F.lit(0).cast("long")))
     facts = targets.select(F.col("source").alias("_source"), "source_size", "target")
     return every.join(facts, every["source"].eqNullSafe(facts["_source"])).drop("_source")
 
 
+def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS,
+             max_repeats: int = MAX_REPEATS, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(slot, source, block, id, first, words): the mix itself, in order.
+
+    Every slot takes a block of one source, which is these ``words`` words of its documents, each from its ``first`` word on.
+    """
+    sizes = sized(docs, id_col, text_col, source_col)
+    quota = stored(quotas(source_targets(sizes, weights, max_repeats), block_words), "quotas")
+    return _met(sizes, quota, block_words).where("words > 0").orderBy("slot", "at").select(
+        "slot", F.col("source").alias(source_col), "block", F.col("id").alias(id_col), "first", "words")
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """(id, source, size, source_size, target, taken) of each document."""
     return taken_words(sized(docs, id_col, text_col, source_col), **options).select(
@@ -149,9 +164,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def first_words(text: Column, words: Column) -> Column:
     """The text up to the end of its given number of words."""
-    gap = F.regexp_extract(text, rf"^{SPACE}", 0)
-    parts = F.split(F.regexp_replace(text, rf"({SPACE})", "\u0001$1\u0001"), "\u0001")
-    return F.array_join(F.slice(parts, 1, (2 * words - 1 + 2 * F.sign(F.length(gap))).cast("int")), "")
+    pieces = F.regexp_extract_all(text, F.lit(rf"(?:{SPACE})?{WORD}"), F.lit(0))
+    return F.array_join(F.slice(pieces, 1, words.cast("int")), "")
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",

@@ -65,6 +65,29 @@ def test_schedule_is_even(spark):
         assert all(abs(rank - slot * share) < 6 for slot, rank in own if slot < len(slots))
 
 
+def test_plan_is_the_mix_in_order(spark):
+    """Slots follow one another, hold a block of one source each, and add up to what is taken of every document."""
+    rows = [(i, words(i, 5 + i % 60), ["a", "b", None][i % 3] if i % 2 else "a") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = [tuple(r) for r in mixing.mix_plan(docs, block_words=16).collect()]
+    slots = [slot for slot, *_ in plan]
+    assert slots == sorted(slots) and set(slots) == set(range(len(set(slots))))
+    held, source_of, taken = {}, {}, {}
+    for slot, source, block, doc_id, first, n in plan:
+        assert source_of.setdefault(slot, (source, block)) == (source, block)
+        held[slot] = held.get(slot, 0) + n
+        taken[doc_id] = taken.get(doc_id, 0) + n
+        assert 0 <= first and first + n <= 5 + doc_id % 60
+    assert max(held.values()) == 16 and sum(n < 16 for n in held.values()) <= 2 * 3 * 3
+    assert taken == {r["doc_id"]: r["taken"] for r in mixing.mix(docs, block_words=16).collect() if r["taken"]}
+    total = {s: sum(n for slot, n in held.items() if source_of[slot][0] == s) for s in ("a", "b", None)}
+    for s in total:  # every stretch of the mix has about its share of every source
+        seen = 0
+        for slot in sorted(held)[: int(len(held) * 0.9)]:
+            seen += held[slot] * (source_of[slot][0] == s)
+            assert abs(seen - total[s] * (slot + 1) / len(held)) < 8 * 16
+
+
 def test_mixed_documents(spark):
     docs = documents(spark)
     taken = {}
@@ -79,9 +102,9 @@ def test_mixed_documents(spark):
 
 
 def test_first_words(spark):
-    frame = spark.createDataFrame([("a b  c\nd", 3), (" a b", 1), ("a", 1), ("a b ", 2)], "t string, n long")
+    frame = spark.createDataFrame([("a b  c\nd", 3), (" a b", 1), ("a", 1), ("a b ", 2), ("a\u0001b c d", 2), ("\u0001 x", 1)], "t string, n long")
     got = [r[0] for r in frame.select(mixing.first_words(frame["t"], frame["n"])).collect()]
-    assert got == ["a b  c", " a", "a", "a b"]
+    assert got == ["a b  c", " a", "a", "a b", "a\u0001b c", "\u0001"]
 
 
 def test_empty_table(spark):
