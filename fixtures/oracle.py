@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from fixtures.views import with_views
 
 AREAS = "('Overstock','SZROV')"
@@ -183,15 +185,24 @@ SORTING_PAIRS = f"""p AS (
    o.ziel, o.createdby, o.lhmnr, i.lhmnr, o.menge, o.cust_data, i.cust_data
   FROM {numbered(DUMMY_OUT)} o JOIN {numbered(DUMMY_IN)} i ON o.local_transaction_id=i.local_transaction_id AND o.rn=i.rn
 )"""
-MANUAL_SORTING = with_views(f"""WITH {SORTING_PAIRS}
-SELECT strftime(created, '%d.%m.%Y %H:%M:%S') AS timestamp, ean, ziel AS ap, createdby AS benutzer, src AS source_lhm, dst AS ziel_lhm,
+def parsed_once(select: str, source: str) -> str:
+    """CTE ``parsed`` with every attribute that ``select`` reads as a column of its own, and ``select`` over these."""
+    found = sorted(set(re.findall(r"nullif\((cd[12])->>'(\w+)', ''\)", select)))
+    columns = ", ".join(f"{attr(document, key)} AS {document}_{key}" for document, key in found)
+    for document, key in found:
+        select = select.replace(attr(document, key), f"{document}_{key}")
+    return f"parsed AS MATERIALIZED (SELECT *, {columns} FROM {source})\n{select}"
+
+
+SORTED_ROWS = f"""SELECT strftime(created, '%d.%m.%Y %H:%M:%S') AS timestamp, ean, ziel AS ap, createdby AS benutzer, src AS source_lhm, dst AS ziel_lhm,
  CAST(abs(menge) AS BIGINT) AS quantity, {REFERENCE} AS reference_lhm,
  {labels(attr('cd1', 'SOURCEID_SEKTOR'), SOURCES, 'Resale')} AS source_channel,
  {labels(attr('cd1', 'QUALITYID_SEKTOR'), GRADES, 'Unknown')} AS quality, {CATEGORY_NORMAL} AS category,
  CASE WHEN dst LIKE '50%' THEN 'Overstock' WHEN {attr('cd1', 'QUALITYID_SEKTOR')} IN ('3','4') THEN 'Overstock'
   WHEN {attr('cd1', 'DISTRIBUTIONCHANNELID_ART')}='4' THEN 'Outlet' WHEN {attr('cd1', 'DISTRIBUTIONCHANNELID_ART')}='3' THEN 'Overstock' ELSE 'Unknown' END AS distribution_channel,
  {SKU} AS sku, {SORT_ID} AS sort_id
-FROM p WHERE (src IS NULL OR src <> dst) AND regexp_full_match(dst, '[0-9]+')""", "ledger")
+FROM parsed WHERE (src IS NULL OR src <> dst) AND regexp_full_match(dst, '[0-9]+')"""
+MANUAL_SORTING = with_views(f"WITH {SORTING_PAIRS},\n{parsed_once(SORTED_ROWS, 'p')}", "ledger")
 
 SEQUENCE_INDEX = with_views(
     f"SELECT local_transaction_id, sequence, artnr, created, CAST(rn AS INTEGER) AS rn FROM {numbered(DUMMY_OUT)}", "ledger")
