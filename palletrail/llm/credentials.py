@@ -7,7 +7,8 @@ secret, a key next to an identifier, an endpoint next to both.  The interval joi
 frames over the spans of a row, sorted by start, so that its work grows with the spans.
 
 Nulls and edges: null text is empty; repeated rows and ids are judged row by row; positions are
-code points, ends exclusive; a weak candidate that begins within a strong finding is left out.
+code points, ends exclusive; a weak candidate that begins within a strong finding is left out; the spans of one
+row are one window, as a document is the unit of a scan; other columns are not looked at and not returned.
 """
 
 from __future__ import annotations

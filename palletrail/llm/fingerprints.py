@@ -178,7 +178,7 @@ def entropy_ranks(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
 
 def with_digest(docs: DataFrame, ranks: np.ndarray, text_col: str = "text", name: str = "fingerprint") -> DataFrame:
-    """``docs`` with the digest of each whole text as base64 text."""
+    """``docs`` with the digest of each whole text as base64 text; a column of that name is replaced."""
     python_ready(docs.sparkSession)
 
     @F.pandas_udf("string")

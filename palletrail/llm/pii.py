@@ -9,6 +9,7 @@ digits of their names are redrawn from the keyed hash of the name, layout kept,
 
 Nulls and edges: null text stays null; texts without a valid value stay as they are; repeated
 rows and ids are replaced row by row; a value may be its own pseudonym, as in any permutation.
+Other columns pass through, but one named like ``count_col`` is replaced; an empty table stays empty.
 """
 
 from __future__ import annotations

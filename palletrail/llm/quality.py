@@ -133,7 +133,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def scored(docs: DataFrame, model: Ranking, text_col: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with the score of each whole text."""
+    """``docs`` with the score of each whole text; a column of that name is replaced."""
     python_ready(docs.sparkSession)
 
     @F.pandas_udf("double")

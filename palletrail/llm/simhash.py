@@ -212,7 +212,10 @@ def near_groups(fps: DataFrame, radius: int = 4, tile_rows: int = 4096) -> DataF
     cut = stored(tiles(fps.select("fp").distinct(), radius, tile_rows), "tiles")
     pairs = tile_pairs(cut.select("tile", "lo", "hi"), radius)
     side = lambda n: cut.select(F.col("tile").alias(f"t{n}"), F.col("fps").alias(f"f{n}"), F.col("groups").alias(f"g{n}"))
-    met = pairs.join(side("a"), "ta").join(side("b"), "tb").select("fa", "ga", "fb", "gb")
+    # Pairs are dealt to a stated number of tasks: by their bytes they would be put together, but each is as much work as megabytes of rows.
+    dealt = lambda frame, key: frame.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    met = dealt(pairs, "ta").join(dealt(side("a"), "ta"), "ta")
+    met = dealt(met, "tb").join(dealt(side("b"), "tb"), "tb").select("fa", "ga", "fb", "gb")
     links = cut.select("fps", "groups").mapInPandas(_inner, "a long, b long").union(
         met.mapInPandas(_outer(radius), "a long, b long"))
     found = components(links).select(F.col("node").alias("fp"), "root")

@@ -35,9 +35,9 @@ SELECTORS = ((240, 0), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (1
 ESCAPE_BITS = 60
 BLOCK_IDS = 1 << 16
 CHUNK_IDS = 1 << 20
-CACHE_BYTES = 32 << 20  # of each of the two generations of coded pieces
-BATCH_CHARS = 1 << 20  # of the texts coded in one go; a longer text is coded alone
-ENTRY_BYTES = 200  # of a dictionary entry besides its two strings
+CACHE_BYTES = 64 << 20  # of each of the two generations of coded pieces
+BATCH_CHARS = 4 << 20  # of the texts coded in one go; a longer text is coded alone
+ENTRY_BYTES = 250  # of a dictionary entry besides its two strings
 # Fixed value: the pattern by which the tokenizer splits lower-cased text.
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\t-\r \x85\xa0\p{L}\p{N}]+")
 # Special tokens; letters whose lower case is not one fixed letter; scripts whose classes change with the Unicode version.
@@ -215,7 +215,7 @@ class Encoder:
         end = np.cumsum(n)
         flat = np.frombuffer(b"".join(known), dtype="<u4")[np.repeat(first[place] - (end - n), n) + np.arange(n.sum())]
         bound = np.append(0, end)[lists.offsets.to_numpy()].tolist()
-        return [flat[a:b].copy() for a, b in zip(bound, bound[1:])]
+        return [flat[a:b] for a, b in zip(bound, bound[1:])]
 
 
 def cut(text: str, limit: int) -> list[str]:

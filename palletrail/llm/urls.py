@@ -7,7 +7,8 @@ stack.  Pages then meet the stack of their host and take its longest rule that t
 
 Nulls and edges: a null url, or one without ``://``, has empty host and path and no rule; an
 empty url likewise; a rule needs a host; the longer rule text wins, then the longer host; of equal
-rules a block wins over an allow; repeated pages are all judged; with no rule fitting the verdict is ``default``.
+rules a block wins over an allow; repeated pages are all judged; with no rule fitting the verdict is ``default``;
+other columns are not looked at and not returned.
 """
 
 from __future__ import annotations
