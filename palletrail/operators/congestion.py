@@ -6,22 +6,24 @@ does not forgive.  Here the pairs are counted without being built.
 A carrier counts once per window: at its first movement inside, which is the movement
 whose previous one (same day, route and carrier) is not inside.  So the number asked for
 is the number of movements with a time inside the window and a previous time before it.
+Every movement before the window has its previous one before it too, so this is the number up to the
+window's end with a previous time before the window, less the number before the window.
 
-The seconds of a day are grouped in a tree: blocks of 1, 8, 64, ... seconds.  Every
-movement is counted in each block it lies in, together with its previous time; every
-window is cut into the few blocks that make it up.  Per block, a running sum over the
-previous times answers all windows.  A block holds at most one row per second of the day
-on either side, whatever the number of movements or orders.
+Movements travel once, to the group of their day, and are sorted once.  A day with very many movements
+is several groups, each with some of the carriers, whose counts add up; a group holds about ``SLICE`` movements.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from palletrail.config import Route
 
+SLICE = 500_000
 SHIFT = 3
 FAN = 1 << SHIFT
 LEVELS = 6  # FAN ** LEVELS > 86400 + 2
@@ -67,54 +69,74 @@ def route_test(route: Route) -> Column:
     return test
 
 
-def _first_movements(events: DataFrame, routes: Sequence[Route]) -> DataFrame:
-    """Distinct movements per day, route, carrier and second, with the previous second."""
-    names = F.array(*[F.when(route_test(route), F.lit(route.name)) for route in routes])
-    moves = events.select("day", "carrier", F.col("second").cast("bigint").alias("second"), F.explode(names).alias("route"))
-    before = Window.partitionBy("day", "route", "carrier").orderBy("second")
-    return moves.where("route is not null and second is not null").distinct().withColumn(
-        "previous", F.coalesce(F.lag("second").over(before), F.lit(-2).cast("bigint")))
-
-
-def interval_congestion(windows: DataFrame, events: DataFrame, routes: Sequence[Route]) -> DataFrame:
+def _movements(events: DataFrame, routes: Sequence[Route]) -> DataFrame:
+    """Movements per day, carrier and number of a route; a movement may be on several."""
+    numbers = F.array_compact(F.array(*[F.when(route_test(route), F.lit(i)) for i, route in enumerate(routes)]))
+    moves = events.where("day is not null and second is not null")
+    return moves.select("day", "carrier", F.col("second").cast("int").alias("second"), F.explode(numbers).alias("route"))
+
+
+def counter(routes: Sequence[Route]) -> Callable[[tuple, pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+    """Counts of a group's movements in the windows of its day.  All that tasks need is inside, so that they import nothing of this package."""
+    names, inclusive = [route.name for route in routes], [route.inclusive for route in routes]
+
+    def lower_among(ranks: np.ndarray, upto: np.ndarray, limit: np.ndarray) -> np.ndarray:
+        """How many of the first ``upto`` of the ranks 0, 1, ... (in any order) are below ``limit``: one stable partition per bit."""
+        low, high, found = np.zeros_like(upto), upto.copy(), np.zeros_like(upto)
+        for bit in reversed(range(int(len(ranks)).bit_length())):
+            unset = (ranks >> bit) & 1 == 0
+            before = np.concatenate([[0], np.cumsum(unset)])
+            low_unset, high_unset, above = before[low], before[high], (limit >> bit) & 1 == 1
+            found += np.where(above, high_unset - low_unset, 0)
+            low = np.where(above, before[-1] + low - low_unset, low_unset)
+            high = np.where(above, before[-1] + high - high_unset, high_unset)
+            ranks = np.concatenate([ranks[unset], ranks[~unset]])
+        return found
+
+    def counted(_: tuple, moves: pd.DataFrame, windows: pd.DataFrame) -> pd.DataFrame:
+        result, start, end = windows[["day", "start", "end"]].copy(), windows["start"].to_numpy("int64"), windows["end"].to_numpy("int64")
+        route, second, previous = (moves[name].to_numpy("int64") for name in ("route", "second", "previous"))
+        for i, name in enumerate(names):
+            first, last = (start, end) if inclusive[i] else (start + 1, end - 1)
+            ours = np.flatnonzero(route == i)
+            ours = ours[np.argsort(second[ours], kind="stable")]
+            seconds, order = second[ours], np.argsort(previous[ours], kind="stable")
+            ranks = np.empty(len(ours), "int64")
+            ranks[order] = np.arange(len(ours))
+            upto = np.searchsorted(seconds, last, "right")
+            new = lower_among(ranks, upto, np.searchsorted(previous[ours][order], first, "left"))
+            result[name] = np.maximum(new - np.searchsorted(seconds, first, "left"), 0)
+        return result
+
+    return counted
+
+
+def interval_congestion(windows: DataFrame, events: DataFrame, routes: Sequence[Route], slice_rows: int = SLICE) -> DataFrame:
     """Add one count per route to ``windows``, whose rows must be distinct.
 
     ``windows``: ``day``, ``start`` and ``end`` in seconds of the day, and what names the window.
     ``events``: ``day``, ``second``, ``carrier``, ``from_place``, ``to_place``, ``carrier_type``.
     Bounds are excluded, or included for routes that say so.
     """
-    names = [route.name for route in routes]
-    cells = (
-        each_level(_first_movements(events, routes).withColumnRenamed("previous", "at"))
-        .withColumn("block", F.expr(f"shiftright(second, {SHIFT} * level)"))
-        .groupBy(*BLOCK, "at")
-        .agg(*[F.count_if(F.col("route") == name).alias(name) for name in names])
-    )
-
-    # Seconds the windows cover, once without and once with their bounds.
-    kinds = F.explode(F.array(*[
-        F.struct(F.lit(inclusive).alias("inclusive"),
-                 (F.col("start") + (0 if inclusive else 1)).cast("bigint").alias("first"),
-                 (F.col("end") - (0 if inclusive else 1)).cast("bigint").alias("last"))
-        for inclusive in sorted({route.inclusive for route in routes})]))
-    spans = windows.select("*", kinds.alias("_kind")).select(
-        *windows.columns, "_kind.inclusive", "_kind.first", "_kind.last", (F.col("_kind.first") - 1).alias("at"))
-    asked = with_blocks(spans).drop("first", "last")
-
-    probes = asked.select(*BLOCK, "at").where("block is not null").distinct()
-    zeros = [F.lit(0).cast("bigint").alias(name) for name in names]
-    lined_up = cells.select(*BLOCK, "at", *names, F.lit(False).alias("probe")).unionByName(
-        probes.select(*BLOCK, "at", *zeros, F.lit(True).alias("probe")))
-    so_far = Window.partitionBy(*BLOCK).orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    answers = (
-        lined_up.withColumns({name: F.sum(name).over(so_far) for name in names})
-        .where("probe").drop("probe")
-    )
-    counts = {
-        route.name: F.sum(F.when(F.col("inclusive") == route.inclusive, F.col(route.name))) for route in routes
-    }
-    return (
-        asked.join(answers, [*BLOCK, "at"], "left")
-        .groupBy(*windows.columns)
-        .agg(*[F.coalesce(count, F.lit(0).cast("bigint")).alias(name) for name, count in counts.items()])
+    names, bounds = [route.name for route in routes], ["day", "start", "end"]
+    moves = _movements(events, routes)
+    # One row per day that has movements: small, whatever they are.
+    days = F.broadcast(moves.groupBy("day").agg(F.ceil(F.count("*") / slice_rows).cast("int").alias("slices")))
+    dealt = moves.join(days, "day").select(
+        "day", F.pmod(F.xxhash64("carrier"), "slices").cast("int").alias("slice"), "route", "carrier", "second")
+    # The window's rows are those of a group already, so that nothing is shuffled or sorted for it again.
+    before = Window.partitionBy("day", "slice", "route", "carrier").orderBy("second")
+    movements = (
+        dealt.repartition("day", "slice").withColumn("previous", F.lag("second").over(before))
+        .where("previous is null or previous < second")  # the same second again is the same movement
+        .select("day", "slice", "route", "second", F.coalesce("previous", F.lit(-(1 << 31))).alias("previous"))
     )
+    spans = windows.select("day", *[F.col(name).cast("int").alias(name) for name in ("start", "end")]).where(
+        "day is not null and start is not null and `end` is not null").distinct()
+    asked = spans.join(days, "day").select(*bounds, F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
+
+    schema = ", ".join([f"day {dict(windows.dtypes)['day']}", "start int", "`end` int", *[f"`{name}` bigint" for name in names]])
+    parts = movements.groupBy("day", "slice").cogroup(asked.groupBy("day", "slice")).applyInPandas(counter(routes), schema)
+    answers = parts.groupBy(*bounds).agg(*[F.sum(name).alias(name) for name in names])
+    return windows.join(answers, bounds, "left").select(
+        *windows.columns, *[F.coalesce(name, F.lit(0).cast("bigint")).alias(name) for name in names])

@@ -55,10 +55,11 @@ def order_windows(transport_log: DataFrame, order_status: DataFrame, order_monit
                   min_colli: int = c.MIN_COLLI) -> DataFrame:
     """Distinct large orders with the latest release and the latest arrival of their cartons."""
     cartons = order_monitor.where(
-        (F.col("channel") == c.ORDER_CHANNEL) & F.col("carton").like("4%") & (F.col("state") != c.ORDER_DELETED))
+        (F.col("channel") == c.ORDER_CHANNEL) & F.col("carton").like("4%") & (F.col("state") != c.ORDER_DELETED)
+    ).select("carton", "order_no", times.stamp_to_date(F.col("release_text")).alias("day"), "station")
     timed = cartons.join(carton_times(transport_log), "carton", "left")
     rows = (
-        timed.groupBy("order_no", times.stamp_to_date(F.col("release_text")).alias("day"), "station")
+        timed.groupBy("order_no", "day", "station")
         .agg(F.max("released").alias("start"), F.max("arrived").alias("end"))
     )
     whole_order = Window.partitionBy("order_no")
