@@ -14,6 +14,8 @@ from palletrail.functions.predicates import between_window, keep, ref_filter, se
 from palletrail.operators.skew import HOT_ROWS, hot_keys, sequence_index
 
 KEY = "local_transaction_id"
+BUCKETS = 1 << 20
+HOT_LEGS = 1_000
 
 # Attributes a report needs from either leg.
 OUT_ATTRIBUTES = ("reference", "grade_sector", "sortable", "category_id", "source_id",
@@ -112,26 +114,63 @@ def _with_own_carrier(legs: DataFrame, carrier: str) -> DataFrame:
 
 def pair_totals(
     outs: DataFrame, ins: DataFrame, place: Sequence[str], rule_out: Sequence[str], rule_in: Sequence[str],
-    described: Mapping[str, Column], numeric_target: bool = False,
+    described: Mapping[str, Column], numeric_target: bool = False, hot_legs: int = HOT_LEGS,
 ) -> DataFrame:
     """Quantity and number of pairs by columns of the out leg and by what both legs say together.
 
     Same pairs as :func:`pair_legs`, for reports that sum them up.  ``place`` are columns of
     the out leg that are kept, ``described`` are expressions over ``rule_out`` and ``rule_in``.
 
-    The pairs are counted and not built: all pairs of a transaction, less those that stay on one
-    carrier.  Both sides are summed up first, per transaction and values of their rule columns for the former and per
-    carrier as well for the latter, and met in one join; so the work grows with the legs and their different values, whatever
-    a transaction holds.  Groups whose pairs cancel out remain, with 0 pairs in total.
+    Transactions with few legs are paired, which takes one shuffle of their legs; those with very many
+    are counted.  Which is which is part of the plan, a broadcast of the buckets that hold many legs, and decides
+    about the work only: both ways give the same sums.
     """
-    key, side = ["good_type", KEY], ["own", "on"]
+    key = ["good_type", KEY]
     flags = list(dict.fromkeys([*rule_in, "to_numeric"]))
     rule_out = [name for name in rule_out if name not in key]
+    outs = outs.select(*key, "source_lhm", "quantity", *place, *rule_out)
+    ins = ins.select(*key, "ziel_lhm", *flags)
     if numeric_target:
         ins = ins.where("to_numeric")
-    many_outs = _with_own_carrier(outs.select(*key, "source_lhm", "quantity", *place, *rule_out), "source_lhm").groupBy(
+    hot = F.broadcast(hot_buckets(outs, ins, hot_legs))
+
+    def held(legs: DataFrame, how: str) -> DataFrame:
+        return legs.join(hot, _bucket() == F.col("_hot"), how)
+
+    pairs = pair_legs(held(outs, "left_anti"), held(ins, "left_anti"), numeric_target)
+    built = pairs.select(
+        *place, *[value.alias(name) for name, value in described.items()], "quantity", F.lit(1).cast("bigint").alias("pairs"))
+    return built.unionByName(_counted_pairs(held(outs, "left_semi"), held(ins, "left_semi"), place, rule_out, flags, described, numeric_target))
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64(KEY), F.lit(BUCKETS))
+
+
+def hot_buckets(outs: DataFrame, ins: DataFrame, at_least: int = HOT_LEGS) -> DataFrame:
+    """Buckets of transactions (``_hot``) that hold ``at_least`` legs or more.
+
+    A transaction with so many legs is in one of them, whatever else is in its bucket.  There are ``BUCKETS`` at most, however many
+    transactions there are, and they are added up before they travel.
+    """
+    legs = outs.select(_bucket().alias("_hot")).unionByName(ins.select(_bucket().alias("_hot")))
+    return legs.groupBy("_hot").agg(F.count("*").alias("_legs")).where(F.col("_legs") >= at_least).select("_hot")
+
+
+def _counted_pairs(
+    outs: DataFrame, ins: DataFrame, place: Sequence[str], rule_out: Sequence[str], flags: Sequence[str],
+    described: Mapping[str, Column], numeric_target: bool,
+) -> DataFrame:
+    """Totals of pairs that are counted and not built: all pairs of a transaction, less those that stay on one carrier.
+
+    Both sides are summed up first, per transaction and values of their rule columns for the former and per
+    carrier as well for the latter, and met in one join; so the work grows with the legs and their different values, whatever
+    a transaction holds.  Groups whose pairs cancel out remain, with 0 pairs in total.
+    """
+    key, side = ["good_type", KEY], ["own", "on"]
+    many_outs = _with_own_carrier(outs, "source_lhm").groupBy(
         *key, *side, *place, *rule_out).agg(F.sum("quantity").alias("q"), F.count("*").alias("n"))
-    many_ins = _with_own_carrier(ins.select(*key, "ziel_lhm", *flags), "ziel_lhm").groupBy(*key, *side, *flags).agg(F.count("*").alias("m"))
+    many_ins = _with_own_carrier(ins, "ziel_lhm").groupBy(*key, *side, *flags).agg(F.count("*").alias("m"))
     met = many_outs.join(many_ins, [*key, *side], "inner" if numeric_target else "left")
     alone = F.when(~F.col("own") & (F.col("good_type") == "NORMAL"), 1)
     times = F.coalesce("m", alone) * F.when(F.col("own"), -1).otherwise(1)
