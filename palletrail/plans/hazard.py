@@ -63,9 +63,20 @@ def hazard_volume_rollup(merged: DataFrame) -> DataFrame:
 
 
 def drill_down(merged: DataFrame) -> DataFrame:
-    """Volume in total, per load carrier, and per article on the carrier."""
-    finest = merged.groupBy("carrier", "artnr").agg(F.sum("volume").alias("volume"))
-    return finest.rollup("carrier", "artnr").agg(F.grouping_id().alias("level"), F.sum("volume").alias("volume"))
+    """Volume in total (``level`` 3), per load carrier (1), and per article on the carrier (0).
+
+    Nearly every article of a carrier is a group of its own, so these are summed once and
+    the other levels are made of their sums; a rollup would hold and shuffle them again.
+    """
+    def level(rows: DataFrame, number: int) -> DataFrame:
+        blank = {name: F.lit(None).cast(merged.schema[name].dataType) for name in ("carrier", "artnr") if name not in rows.columns}
+        return rows.withColumns({**blank, "level": F.lit(number).cast("bigint")}).select("carrier", "artnr", "level", "volume")
+
+    volume = F.sum("volume").alias("volume")
+    finest = merged.groupBy("carrier", "artnr").agg(volume)
+    carriers = finest.groupBy("carrier").agg(volume)
+    total = carriers.groupBy(F.lit(3).alias("_all")).agg(volume)  # no row without stock
+    return level(finest, 0).unionByName(level(carriers, 1)).unionByName(level(total, 3))
 
 
 def hazard_compliance(merged: DataFrame) -> DataFrame:
