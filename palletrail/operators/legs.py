@@ -14,6 +14,8 @@ from palletrail.functions.predicates import between_window, keep, ref_filter, se
 from palletrail.operators.skew import HOT_ROWS, hot_keys, sequence_index
 
 KEY = "local_transaction_id"
+# What legs are met by.  The transaction is first: sorts compare the first column by its prefix, and there are two kinds only.
+PAIR = [KEY, "good_type"]
 BUCKETS = 1 << 20
 HOT_LEGS = 1_000
 
@@ -97,7 +99,7 @@ def pair_legs(outs: DataFrame, ins: DataFrame, numeric_target: bool = False) ->
     A single join serves both kinds of goods: the kind is part of the key.  Transactions
     with very many legs are split by adaptive execution on the out side.
     """
-    pairs = outs.join(ins, ["good_type", KEY], "left")
+    pairs = outs.join(ins, PAIR, "left")
     if numeric_target:
         pairs = pairs.where("to_numeric")
     else:
@@ -125,11 +127,10 @@ def pair_totals(
     are counted.  Which is which is part of the plan, a broadcast of the buckets that hold many legs, and decides
     about the work only: both ways give the same sums.
     """
-    key = ["good_type", KEY]
     flags = list(dict.fromkeys([*rule_in, "to_numeric"]))
-    rule_out = [name for name in rule_out if name not in key]
-    outs = outs.select(*key, "source_lhm", "quantity", *place, *rule_out)
-    ins = ins.select(*key, "ziel_lhm", *flags)
+    rule_out = [name for name in rule_out if name not in PAIR]
+    outs = outs.select(*PAIR, "source_lhm", "quantity", *place, *rule_out)
+    ins = ins.select(*PAIR, "ziel_lhm", *flags)
     if numeric_target:
         ins = ins.where("to_numeric")
     hot = F.broadcast(hot_buckets(outs, ins, hot_legs))
@@ -167,7 +168,7 @@ def _counted_pairs(
     carrier as well for the latter, and met in one join; so the work grows with the legs and their different values, whatever
     a transaction holds.  Groups whose pairs cancel out remain, with 0 pairs in total.
     """
-    key, side = ["good_type", KEY], ["own", "on"]
+    key, side = PAIR, ["own", "on"]
     many_outs = _with_own_carrier(outs, "source_lhm").groupBy(
         *key, *side, *place, *rule_out).agg(F.sum("quantity").alias("q"), F.count("*").alias("n"))
     many_ins = _with_own_carrier(ins, "ziel_lhm").groupBy(*key, *side, *flags).agg(F.count("*").alias("m"))
@@ -222,7 +223,7 @@ def pair_legs_sequenced(ledger: DataFrame, how: LegFilter, hot_rows: int = HOT_R
     ins = json_fields(ins, ("sku", "sort_id")).select(
         "good_type", KEY, "rn", F.col("lhmnr").alias("ziel_lhm"), F.col("artnr").alias("in_artnr"),
         F.col("sku").alias("in_sku"), F.col("sort_id").alias("in_sort_id"))
-    pairs = outs.withColumnRenamed("lhmnr", "source_lhm").join(ins, ["good_type", KEY, "rn"], "left")
+    pairs = outs.withColumnRenamed("lhmnr", "source_lhm").join(ins, [*PAIR, "rn"], "left")
     return pairs.where(
         self_transfer_drop(F.col("source_lhm"), F.col("ziel_lhm"))
         & F.col("ziel_lhm").rlike("^[0-9]+$"))
