@@ -22,7 +22,7 @@ def nested_keys(document: Column) -> Column:
 
     Few documents hold one, so the others are told by a search for the two characters.
     """
-    suspicious = (F.locate("{", document, 2) > 0) | document.contains("[")
+    suspicious = F.substring(document, 2, (1 << 31) - 1).contains("{") | document.contains("[")
     kinds = F.from_json(document, "map<string, variant>")
     return F.when(suspicious, F.map_keys(F.map_filter(kinds, lambda _, value: F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)"))))
 

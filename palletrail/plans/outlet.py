@@ -21,6 +21,15 @@ def _event(event: int, process: int) -> Column:
     return (F.col("typ_id") == event) & (F.col("tpartnr") == process)
 
 
+def item_code(carrier: str = "lhmnr", article: str = "artnr") -> Column:
+    """Number that begins the sort and join keys of items, so that nearly every comparison is settled by it.
+
+    Many rows share a carrier, whose text alone would settle few.  Equal items have equal codes; different
+    items may share one, so the texts stay in the keys.  Rows of a carrier stay near each other.
+    """
+    return F.shiftleft(F.hash(carrier).cast("bigint"), 32).bitwiseXOR(F.hash(article).cast("bigint"))
+
+
 def outlet_carrier(carrier: str = "lhmnr") -> Column:
     return has_prefix(F.col(carrier), CARRIERS)
 
@@ -32,10 +41,14 @@ def booked_and_clarified(ledger: DataFrame, start: datetime | None, end: datetim
     one from the other needs no join.  Clarifications of an unknown article meet no
     booking.  The representative document is the greatest as text.
     """
+    return _booked_and_clarified(ledger, start, end).drop("item")
+
+
+def _booked_and_clarified(ledger: DataFrame, start: datetime | None, end: datetime | None) -> DataFrame:
     booked, clarified = _event(c.EVENT_BOOKED, c.BOOKING), _event(c.EVENT_CLARIFIED, c.CLARIFICATION)
     rows = keep(ledger.where((booked | clarified) & outlet_carrier()), open_window(F.col("created"), start, end))
     return (
-        rows.groupBy(*ITEM)
+        rows.withColumn("item", item_code()).groupBy("item", *ITEM)
         .agg(
             F.sum(F.when(booked, F.col("menge"))).alias("total_booked"),
             F.sum(F.when(clarified & F.col("artnr").isNotNull(), F.abs("menge"))).alias("total_clarified"),
@@ -50,8 +63,12 @@ def booked_and_clarified(ledger: DataFrame, start: datetime | None, end: datetim
 
 def net_booked(ledger: DataFrame, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
     """Items with something left after clarifications."""
+    return _net_booked(ledger, start, end).drop("item")
+
+
+def _net_booked(ledger: DataFrame, start: datetime | None, end: datetime | None) -> DataFrame:
     net = F.col("total_booked") - null_to_zero(F.col("total_clarified"))
-    return booked_and_clarified(ledger, start, end).withColumn("quantity", net).where("quantity > 0")
+    return _booked_and_clarified(ledger, start, end).withColumn("quantity", net).where("quantity > 0")
 
 
 def first_grade(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -64,7 +81,12 @@ def first_grade(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def graded_history(ledger: DataFrame) -> DataFrame:
     """Grade an item was booked out with, per carrier and article."""
-    return first_grade(ledger.where(_event(c.EVENT_GRADED, c.DUMMY_OUT) & (F.col("menge") < 0) & outlet_carrier()), ITEM)
+    return _graded_history(ledger).drop("item")
+
+
+def _graded_history(ledger: DataFrame) -> DataFrame:
+    rows = ledger.where(_event(c.EVENT_GRADED, c.DUMMY_OUT) & (F.col("menge") < 0) & outlet_carrier())
+    return first_grade(rows.withColumn("item", item_code()), ["item", *ITEM])
 
 
 def station_grade(ledger: DataFrame) -> DataFrame:
@@ -91,13 +113,23 @@ def or_key_lookup(stock: DataFrame) -> DataFrame:
 
 def best_grade_dedup(stock: DataFrame) -> DataFrame:
     """One grade per carrier and article: the last in text order, a missing grade before all."""
-    rows = unpivot_carriers(stock, "artnr", "quality").where(outlet_carrier("lc"))
-    return first_per_key(rows.select("lc", "artnr", "quality"), ["lc", "artnr"], [F.col("quality").desc_nulls_first()])
+    return _best_grade(stock, ["lc", "artnr"])
+
+
+def _best_grade(stock: DataFrame, keys: list[str]) -> DataFrame:
+    rows = unpivot_carriers(stock, "artnr", "quality").where(outlet_carrier("lc")).withColumn("item", item_code("lc"))
+    return first_per_key(rows.select(*keys, "quality"), keys, [F.col("quality").desc_nulls_first()])
+
+
+def _stock_grades(stock: DataFrame) -> DataFrame:
+    """Stock grades to join items with; renaming its columns first makes every use the same plan, so that Spark runs it once."""
+    own = stock.select(*[F.col(name).alias(name) for name in ("mainlhm", "sublhm", "artnr", "quality")])
+    return _best_grade(own, ["item", "lc", "artnr"]).withColumnRenamed("artnr", "ean")
 
 
 def _item_columns() -> list[Column]:
     return [
-        times.iso_day(F.col("created")).alias("date"),
+        F.to_date("created").alias("day"),
         times.shift_of(F.col("created")).alias("shift"),
         F.col("lhmnr").alias("lc"),
         rules.category_map(F.col("category_id"), None).alias("category"),
@@ -107,11 +139,20 @@ def _item_columns() -> list[Column]:
     ]
 
 
+def _dated(items: DataFrame) -> DataFrame:
+    """The day as text, as it is reported."""
+    return items.withColumn("day", F.col("day").cast("string")).withColumnRenamed("day", "date")
+
+
 def net_items(ledger: DataFrame, start: datetime | None, end: datetime | None) -> DataFrame:
     """Booked items (origin 1), graded from their own history."""
-    items = json_fields(net_booked(ledger, start, end), ("category_id", "sort_id"))
-    items = items.join(graded_history(ledger), ITEM, "left")
-    return items.select(*_item_columns(), F.col("grade").alias("fallback"), F.lit(1).alias("origin"))
+    return _dated(_net_items(ledger, start, end).drop("item"))
+
+
+def _net_items(ledger: DataFrame, start: datetime | None, end: datetime | None) -> DataFrame:
+    items = json_fields(_net_booked(ledger, start, end), ("category_id", "sort_id"))
+    items = items.join(_graded_history(ledger), ["item", *ITEM], "left")
+    return items.select("item", *_item_columns(), F.col("grade").alias("fallback"), F.lit(1).alias("origin"))
 
 
 def clarified_items(ledger: DataFrame, stock: DataFrame, start: datetime | None, end: datetime | None,
@@ -122,6 +163,11 @@ def clarified_items(ledger: DataFrame, stock: DataFrame, start: datetime | None,
     the carrier, earlier items of the carrier.  Equal items are added up first, so that a
     carrier with very many clarifications goes into the lookups as few rows.
     """
+    return _dated(_clarified_items(ledger, stock, start, end, own_grade_only).drop("item"))
+
+
+def _clarified_items(ledger: DataFrame, stock: DataFrame, start: datetime | None, end: datetime | None,
+                     own_grade_only: bool) -> DataFrame:
     rows = keep(
         ledger.where(_event(c.EVENT_CLARIFIED, c.CLARIFICATION) & outlet_carrier()),
         open_window(F.col("created"), start, end),
@@ -145,7 +191,7 @@ def clarified_items(ledger: DataFrame, stock: DataFrame, start: datetime | None,
             .join(history, "lc", "left")
             .withColumn("fallback", F.coalesce("own", "at_station", "in_stock", "in_history"))
         )
-    return graded.select("date", "shift", "lc", "category", "sort_id", "ean", "quantity", "fallback",
+    return graded.select(item_code("lc", "ean").alias("item"), "day", "shift", "lc", "category", "sort_id", "ean", "quantity", "fallback",
                          F.lit(2).alias("origin"))
 
 
@@ -155,18 +201,20 @@ def outlet_booking(ledger: DataFrame, stock: DataFrame, start: datetime | None =
 
     The stock grade is joined before the two kinds of items are put together: the booked
     items are still spread by carrier and article then, so they are not shuffled again.
+    Stock without an article meets no item and is left out first, so that both joins read
+    the same grades and these are shuffled once.  Items are added up under their day and
+    origin; both become text afterwards.
     """
-    grades = best_grade_dedup(stock).select("lc", F.col("artnr").alias("ean"), "quality")
-    kinds = [net_items(ledger, start, end), clarified_items(ledger, stock, start, end, own_grade_only)]
+    kinds = [_net_items(ledger, start, end), _clarified_items(ledger, stock, start, end, own_grade_only)]
     named = [
-        items.join(grades, ["lc", "ean"], "left").select(
-            "date", "shift", F.col("lc").alias("hus"), "category", "sort_id",
-            F.coalesce("quality", "fallback").alias("quality"),
-            rules.clarification_flag(F.col("origin")).alias("clarification"), "quantity")
+        items.join(_stock_grades(stock), ["item", "lc", "ean"], "left").select(
+            "day", "shift", F.col("lc").alias("hus"), "category", "sort_id",
+            F.coalesce("quality", "fallback").alias("quality"), "origin", "quantity")
         for items in kinds
     ]
     keys = [name for name in named[0].columns if name != "quantity"]
-    return having_positive(named[0].unionByName(named[1]), keys, "quantity", "items")
+    items = having_positive(named[0].unionByName(named[1]), keys, "quantity", "items")
+    return _dated(items).withColumn("origin", rules.clarification_flag(F.col("origin"))).withColumnRenamed("origin", "clarification")
 
 
 def having_positive(rows: DataFrame, keys: list[str], measure: str, name: str) -> DataFrame:
