@@ -9,6 +9,9 @@ of the other half, of which the edit again leaves one whole.  Words that meet ar
 Nulls and edges: a null or empty word is no word; repeated rows count each; a word of any length is
 handled whole, keys being hashes; words with equal keys that are not one edit apart are dropped; a table without words gives no rows;
 other columns of the input are not looked at.
+
+Every join asks for a merge of shuffled sides.  Spark sizes a stored table by its packed files and an exploded one by the
+rows before, many times too low, and would send tables through the driver that do not fit there.
 """
 
 from __future__ import annotations
@@ -76,7 +79,7 @@ def near_pairs(vocab: DataFrame) -> DataFrame:
     grams = sized.select(F.col("word").alias("b"), grams.alias("key"))
     once = (F.length("a") < F.length("b")) | ((F.length("a") == F.length("b")) & (F.col("a") < F.col("b")))
     near = F.levenshtein(F.col("a"), F.col("b"), 1) == 1
-    return chunks.join(grams, "key").where(once & near).select("a", "b").distinct()
+    return chunks.join(grams.hint("merge"), "key").where(once & near).select("a", "b").distinct()
 
 
 def roots_of(forms: DataFrame, max_rounds: int = 7) -> DataFrame:
@@ -88,7 +91,7 @@ def roots_of(forms: DataFrame, max_rounds: int = 7) -> DataFrame:
     steps = stored(forms.select("word", F.col("form").alias("root")), "forms")
     for _ in range(max_rounds):
         further = steps.select(F.col("word").alias("_word"), F.col("root").alias("_next"))
-        moved = steps.join(further, steps["root"] == further["_word"], "left")
+        moved = steps.join(further.hint("merge"), steps["root"] == further["_word"], "left")
         steps = stored(moved.select("word", F.coalesce("_next", "root").alias("root"), F.col("_next").isNotNull().alias("moved")), "forms")
         if steps.where("moved").isEmpty():
             return steps.select("word", "root")
@@ -110,11 +113,11 @@ def variants(words: DataFrame, word_col: str = "word", min_length: int = MIN_LEN
     both = pairs.union(pairs.select("b", "a"))
     other = vocab.select(F.col("word").alias("b"), F.col("n").alias("m"))
     best = F.min(F.struct((-F.col("m")).alias("back"), F.col("b").alias("form")))
-    found = both.join(other, "b").groupBy("a").agg(F.count("*").alias("n_near"), best.alias("best"))
-    told = vocab.join(found.withColumnRenamed("a", "word"), "word", "left")
+    found = both.join(other.hint("merge"), "b").groupBy("a").agg(F.count("*").alias("n_near"), best.alias("best"))
+    told = vocab.join(found.withColumnRenamed("a", "word").hint("merge"), "word", "left")
     often = -F.col("best.back")
     fits = often >= ratio * F.col("n")
     told = stored(told.select("word", "n", F.when(fits, F.col("best.form")).alias("form"), F.when(fits, often).alias("form_n"),
                               F.coalesce("n_near", F.lit(0).cast("bigint")).alias("n_near")), "variants")
     roots = roots_of(told.where("form is not null"))
-    return told.join(roots, "word", "left").withColumn("root", F.coalesce("root", "word"))
+    return told.join(roots.hint("merge"), "word", "left").withColumn("root", F.coalesce("root", "word"))

@@ -76,6 +76,18 @@ def test_variants(spark):
     assert got(spelling.variants(frame, min_length=4, min_count=1, ratio=3)) == plain(counts, 4, 1, 3)
 
 
+def test_no_table_of_words_is_sent_through_the_driver(spark, monkeypatch):
+    """Words, their keys and forms grow with the texts, however small Spark takes them to be."""
+    plan = lambda df: spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+    kept, plans = spelling.stored, {}
+    monkeypatch.setattr(spelling, "stored", lambda df, name: plans.setdefault(name, []).append(plan(df)) or kept(df, name))
+    counts = {f"word{'abcdefgh'[i % 8]}{'abcdefgh'[i // 8]}": 3 * 2 ** (i % 5) for i in range(64)}
+    result = spelling.variants(spark.createDataFrame([(w,) for w, n in counts.items() for _ in range(n)], "word string"))
+    joined = [*plans["near-words"], *plans["variants"], *plans["forms"][1:], plan(result)]
+    assert len(joined) > 3 and all("SortMergeJoin" in p and "Broadcast" not in p for p in joined)
+    assert got(result) == plain(counts)
+
+
 def test_query_on_given_tables(spark):
     path = "/root/testdata/sf0.001"
     pairs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{path}/documents.parquet").collect()]
